@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprints, packing, url_filters
+from . import byte_bpe, fingerprints, packing, substring_dedup, suffix_dedup, url_filters
 from .common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove(table(spark, sf_dir, "documents"))
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_edits(table(spark, sf_dir, "documents"))
 
@@ -26,7 +30,11 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_fingerprints, op3_byte_bpe, op5_packing, op7_url_filters)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove(table(spark, sf_dir, "documents")).drop("t1", "t2")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_fingerprints, op3_byte_bpe, op5_packing, op7_url_filters, op10_substring_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op7_url_filters": """
