@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprints, jaccard_join, packing, substring_dedup, suffix_dedup, url_filters
+from . import byte_bpe, fingerprints, jaccard_join, multi_index, packing, substring_dedup, suffix_dedup, url_filters
 from .common import table
 
 
@@ -34,11 +34,15 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"))
 
 
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove(table(spark, sf_dir, "documents")).drop("t1", "t2")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_fingerprints, op3_byte_bpe, op4_jaccard_join, op5_packing, op7_url_filters, op10_substring_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_fingerprints, op3_byte_bpe, op4_jaccard_join, op5_packing, op7_url_filters, op8_multi_index, op10_substring_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op7_url_filters": """
