@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,15 +20,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage in the folder that the cluster names in ``spark.checkpoint.dir``.
+def checkpoint(df: DataFrame, *superseded: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared folder and read it back.
 
-    Only where that setting is absent (tests, local runs) a temporary folder is used.
+    The folder is the one that the cluster names in ``spark.checkpoint.dir``; only where
+    that setting is absent (tests, local runs) a temporary one is used.  A written table
+    is whole whatever executors are lost later, its size is known to the planner, and
+    plans stay small in loops.  Tables go when the application ends; those in
+    ``superseded``, earlier results of this function that nothing needs any more, at once.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="docbridge-"))
-    return df.checkpoint()
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="docbridge-")
+        sc.setCheckpointDir(folder)
+    path = f"{folder.rstrip('/')}/docbridge-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    fs.deleteOnExit(target)
+    for old in superseded:
+        if getattr(old, "_docbridge_path", None):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(old._docbridge_path), True)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._docbridge_path = path
+    return out
 
 
 def text_id(text: Column) -> list[Column]:

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .common import checkpoint
 
 
+def _tidy(edges: DataFrame) -> DataFrame:
+    return edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of ``edges`` (columns a, b: long); root is the least node of its component.
 
@@ -18,20 +22,20 @@ def components(edges: DataFrame) -> DataFrame:
     or met in a sort-merge join whose large keys Spark can split.  Self-loops and repeated
     edges are harmless; no edges give no rows.
     """
-    e = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-    e = checkpoint(e)
+    e = checkpoint(_tidy(edges))
     nodes = None
     while not e.isEmpty():
         ends = e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = checkpoint(ends.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("up")))
-        above = up.select(F.col("node").alias("up"), F.col("up").alias("above"))
-        up = checkpoint(up.join(above.hint("merge"), "up").select("node", F.col("above").alias("up")))
+        first = checkpoint(ends.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("up")))
+        above = first.select(F.col("node").alias("up"), F.col("up").alias("above"))
+        up = checkpoint(first.join(above.hint("merge"), "up").select("node", F.col("above").alias("up")), first)
+        step = up.select(F.col("node").alias("root"), "up")
         if nodes is None:
-            nodes = up.select("node", F.col("up").alias("root"))
+            nodes = checkpoint(up.select("node", F.col("up").alias("root")))
         else:
-            step = up.select(F.col("node").alias("root"), "up")
-            nodes = checkpoint(nodes.join(step.hint("merge"), "root", "left").select("node", F.coalesce("up", "root").alias("root")))
+            nodes = checkpoint(nodes.join(step.hint("merge"), "root", "left").select("node", F.coalesce("up", "root").alias("root")), nodes)
+        rewritten = e
         for end in ("a", "b"):
-            e = e.join(up.select(F.col("node").alias(end), "up").hint("merge"), end).drop(end).withColumnRenamed("up", end)
-        e = checkpoint(e.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+            rewritten = rewritten.join(up.select(F.col("node").alias(end), "up").hint("merge"), end).drop(end).withColumnRenamed("up", end)
+        e = checkpoint(_tidy(rewritten), e, up)
     return edges.select(F.col("a").alias("node"), F.col("a").alias("root")).limit(0) if nodes is None else nodes

@@ -100,7 +100,7 @@ def candidates(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 yield np.concatenate(keep)
 
     units = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    once = sketch.build(texts, keys, units / 6, depth=1)
+    once = sketch.build(texts, keys, units / 12, depth=1)  # 2 to 4 cells for each shingle: most of those that occur once must be known, not all
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
