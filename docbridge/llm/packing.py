@@ -24,24 +24,66 @@ from pyspark.sql import functions as F
 from . import common
 
 #: White-space-free spans whose ids a worker remembers.
-MEMORY = 500_000
+MEMORY = 1_000_000
 #: Buckets in which the pieces of a length are ranked, for each million pieces and at least.
 BUCKETS_PER_MILLION, LEAST_BUCKETS = 64, 64
 #: Lengths longer than this are not remembered.
 LONGEST_KEPT = 64
 
 _tokenizers: dict = {}
-_BLANKS = str.maketrans("\n\t\r\f\v", "     ")
 
 
 class SpanTokenizer:
-    """Ids of whole texts, for tokenizers that drop white space and never merge across it."""
+    """Ids of whole texts, for tokenizers that lower case, drop white space and never merge across it.
+
+    Spans between blanks are looked up.  New ones are brought to their core - lower case,
+    without one closing stop or comma after a letter, which the splitting pattern takes
+    by itself - and cores of letters alone are encoded many at a time, as each ends in
+    the one token with the word-end suffix.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
+        self.stops = {c: self._each([c])[0] for c in ".,"}
+
+    def _each(self, spans: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(spans, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Each of ``words`` is one match of letters."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+        if len(ends) != len(words) or (len(ends) and ends[-1] != 4 * len(ids)):
+            return self._each(words)
+        raw = ids.tobytes()
+        ends = ends.tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _new(self, spans: list[str]) -> dict[str, bytes]:
+        cores, odd = {}, []
+        for s in spans:
+            core, stop = (s[:-1], s[-1]) if s[-1] in ".," and s[-2:-1].isalpha() else (s, "")
+            if core.isascii() and core.isalpha():
+                cores[s] = (core.lower(), stop)
+            elif core.isalpha():
+                cores[s] = (core, stop)
+            else:
+                odd.append(s)
+        words = list({c for c, _ in cores.values() if c not in self.known})
+        fresh: dict[str, bytes] = {}
+        for lo in range(0, len(words), 1000):
+            fresh.update(zip(words[lo : lo + 1000], self._words(words[lo : lo + 1000])))
+        out = {s: (fresh[c] if c in fresh else self.known[c]) + (self.stops[stop] if stop else b"") for s, (c, stop) in cores.items()}
+        out.update(fresh)
+        for lo in range(0, len(odd), 20_000):
+            out.update(zip(odd[lo : lo + 20_000], self._each(odd[lo : lo + 20_000])))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -49,14 +91,14 @@ class SpanTokenizer:
         if len(known) > MEMORY:
             known.clear()
             known[""] = b""
-        parts = [t.translate(_BLANKS).split(" ") for t in texts]
-        new = list({s for p in parts for s in p if s not in known})
-        extra = {}
-        for lo in range(0, len(new), 20_000):
-            for s, e in zip(new[lo : lo + 20_000], self.tokenizer.encode_batch(new[lo : lo + 20_000], add_special_tokens=False)):
-                (known if len(s) <= LONGEST_KEPT else extra)[s] = np.array(e.ids, "<u4").tobytes()
-        get = {**known, **extra}.__getitem__ if extra else known.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        parts = [t.replace("\n", " ").split(" ") for t in texts]
+        new = self._new(list({s for p in parts for s in p if s not in known}))
+        known.update(new)
+        out = [b"".join(map(known.__getitem__, p)) for p in parts]
+        for s in new:
+            if len(s) > LONGEST_KEPT:
+                del known[s]
+        return out
 
 
 def tokenizer(path: str | None = None) -> SpanTokenizer:
