@@ -111,14 +111,18 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], by: str) -> D
     return left.join(right.hint("merge"), [*keys, "salt"]).drop("salt")
 
 
-def repeated_spans(docs: DataFrame, w: Windows, earlier: bool) -> tuple[DataFrame, DataFrame]:
-    """Distinct texts, and for those with repeated windows their runs of window starts.
+def repeated_spans(docs: DataFrame, w: Windows, earlier: bool) -> DataFrame:
+    """Distinct texts with the runs of their repeated windows' starts.
 
     ``earlier``: only windows that also start earlier count (smaller doc_id - null
     first -, then t1 and t2, then place in the text); else windows that also start
     anywhere else.  Copies of whole texts are left to the caller: a distinct text counts
-    as one text here.  Returns ``(texts, runs)``: texts as ``common.distinct_texts``;
-    runs has t1, t2 and runs, an array of (lo, hi) in units of the text.
+    as one text here.  Columns as ``common.distinct_texts``, then ``runs`` (array of lo,
+    hi, settled: the settled ones count) and ``single`` (array of further starts), in
+    units of the text; either may be null.
+
+    One plan without materialised steps: the exchange of the texts is written once and
+    reused by its three readers.
     """
     filter_ = prefilter(docs, w)
     texts = common.distinct_texts(docs).select(*TEXTS)
@@ -142,32 +146,28 @@ def repeated_spans(docs: DataFrame, w: Windows, earlier: bool) -> tuple[DataFram
     found = texts.mapInArrow(find, "core long, whole long, t1 long, t2 long, first_id long, lo int, hi int")
     order = F.struct(F.coalesce("first_id", F.lit(-(1 << 63))).alias("o"), "t1", "t2", "lo")
     classes = found.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("least"))
-    kinds = found.groupBy("core").agg(F.count(F.lit(1)).alias("m"), F.min("whole").alias("a"), F.max("whole").alias("b")).where("m > 1").select("core", (F.col("a") != F.col("b")).alias("mixed"))
+    kinds = classes.groupBy("core").agg(F.sum("n").alias("m"), F.count("least").alias("k")).where("m > 1").select("core", (F.col("k") > 1).alias("mixed"))
     judged = salted_join(classes, kinds, ["core"], "whole").where("n > 1 or mixed")
-    marked = salted_join(found, judged, ["core", "whole"], "t1").withColumn("leads", F.col("least") == order)
+    marked = found.join(judged.hint("merge"), ["core", "whole"]).withColumn("leads", F.col("least") == order)
     # settled: all windows of the run repeat.  asked: its windows must be looked up.
     settled = (F.col("n") > 1) & ~F.col("leads") if earlier else F.col("n") > 1
-    lists = marked.select("t1", "t2", "lo", "hi", settled.alias("settled"), (F.col("mixed") & ((F.col("n") == 1) | F.col("leads"))).alias("asked")).where("settled or asked")
+    asked = F.col("mixed") & ((F.col("n") == 1) | F.col("leads"))
+    runs = marked.where(settled | asked).groupBy("t1", "t2").agg(F.collect_list(F.struct("lo", "hi", settled.alias("settled"), asked.alias("asked"))).alias("runs"))
 
     # windows of the runs to look up; weight 2 for what occurs twice by itself
-    asked = lists.where("asked").groupBy("t1", "t2").agg(F.collect_list(F.struct("lo", "hi", "settled")).alias("asked"))
-
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, offs in common.text_steps(batches):
             sym, first, _ = w.units(raw, offs)
             sums = Rolling(sym)
-            col = rows.column(5)
-            runs = col.flatten()
-            own = np.repeat(np.arange(rows.num_rows), pa.compute.list_value_length(col).to_numpy())
-            lo, hi, twice = (runs.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-            step = 1 << 16
+            own, (lo, hi, twice, wanted) = _lists(rows.column(5))
+            own, lo, hi, twice = (x[wanted] for x in (own, lo, hi, twice))
             size = (hi - lo + 1).astype(np.int64)
-            cut = np.searchsorted(np.cumsum(size), np.arange(step, size.sum() + step, step), "left") + 1
-            for a, b in zip(np.concatenate([[0], cut[:-1]]), cut):
+            end = np.cumsum(size)
+            a = 0
+            while a < len(size):  # about 64 thousand windows at a time
+                b = max(a + 1, int(np.searchsorted(end, (end[a - 1] if a else 0) + (1 << 16), "right")))
                 seg, place = common.within(size[a:b])
                 seg = seg + a
-                if not len(seg):
-                    continue
                 at = lo[seg] + place
                 start = first[own[seg]] + at
                 h = sums.spans(start, start + w.width)
@@ -176,23 +176,34 @@ def repeated_spans(docs: DataFrame, w: Windows, earlier: bool) -> tuple[DataFram
                     [pa.array(h.view(np.int64)), rows.column(0).take(mine), rows.column(1).take(mine), rows.column(3).take(mine), pa.array(at.astype(np.int32)), pa.array(np.where(twice[seg], 2, 1).astype(np.int32))],
                     ["window", "t1", "t2", "first_id", "lo", "weight"],
                 )
+                a = b
 
-    windows = texts.join(asked.hint("merge"), ["t1", "t2"]).select(*TEXTS, "asked").mapInArrow(look, "window long, t1 long, t2 long, first_id long, lo int, weight int")
-    hits = windows.groupBy("window").agg(F.sum("weight").alias("n"), F.min(order).alias("least")).where("n > 1")
+    some = texts.join(runs.hint("merge"), ["t1", "t2"]).select(*TEXTS, "runs").where(F.exists("runs", lambda r: r["asked"]))
+    windows = some.mapInArrow(look, "window long, t1 long, t2 long, first_id long, lo int, weight int")
+    hits = windows.groupBy("window").agg(F.sum("weight").alias("n"), F.min(order).alias("least")).where("n > 1").select("window", "least")
     seen = salted_join(windows, hits, ["window"], "t1")
     seen = seen.where(F.col("least") != order) if earlier else seen.where("weight = 1")
-    spans = lists.where("settled").select("t1", "t2", "lo", "hi").unionAll(seen.select("t1", "t2", "lo", F.col("lo").alias("hi")))
-    return texts, spans.groupBy("t1", "t2").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    single = seen.groupBy("t1", "t2").agg(F.collect_list("lo").alias("single"))
+    return texts.join(runs.hint("merge"), ["t1", "t2"], "left").join(single.hint("merge"), ["t1", "t2"], "left").select(*TEXTS, "runs", "single")
+
+
+def _lists(col: pa.ListArray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Row and fields of each element of a column of lists of structs."""
+    flat = col.flatten()
+    own = np.repeat(np.arange(len(col)), pa.compute.list_value_length(col).fill_null(0).to_numpy(zero_copy_only=False))
+    return own, [flat.field(i).to_numpy(zero_copy_only=False) for i in range(flat.type.num_fields)]
 
 
-def covered(rows: pa.RecordBatch, column: int, first: np.ndarray, width: int) -> np.ndarray:
-    """Which units of the step are in a window that starts in the rows' runs."""
-    col = rows.column(column)
+def covered(rows: pa.RecordBatch, first: np.ndarray, width: int) -> np.ndarray:
+    """Which units of the step are in a repeated window; rows as of ``repeated_spans``."""
     change = np.zeros(int(first[-1]) + 1, np.int32)
-    runs = col.flatten()
-    if len(runs):
-        own = np.repeat(np.arange(rows.num_rows), pa.compute.list_value_length(col).fill_null(0).to_numpy())
-        lo, hi = (runs.field(i).to_numpy() + first[own] for i in range(2))
-        np.add.at(change, lo, 1)
-        np.add.at(change, hi + width, -1)
+    own, (lo, hi, settled, _) = _lists(rows.column(5))
+    own, lo, hi = own[settled], lo[settled], hi[settled]
+    np.add.at(change, first[own] + lo, 1)
+    np.add.at(change, first[own] + hi + width, -1)
+    col = rows.column(6)
+    own = np.repeat(np.arange(len(col)), pa.compute.list_value_length(col).fill_null(0).to_numpy(zero_copy_only=False))
+    at = first[own] + col.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    np.add.at(change, at, 1)
+    np.add.at(change, at + width, -1)
     return np.cumsum(change[:-1]) > 0

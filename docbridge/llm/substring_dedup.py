@@ -21,8 +21,8 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 
 
 def windows(width: int = 20) -> repeats.Windows:
-    gram = min(4, max(1, width // 5))
-    return repeats.Windows(width, max(1, width // 2 if width >= 8 else width - gram), gram, True)
+    gram = min(3, max(1, width // 5))
+    return repeats.Windows(width, max(1, width * 13 // 20 if width >= 8 else width - gram), gram, True)
 
 
 def remove(docs: DataFrame, width: int = 20, texts: bool = False) -> DataFrame:
@@ -37,12 +37,12 @@ def remove(docs: DataFrame, width: int = 20, texts: bool = False) -> DataFrame:
     empty table gives no rows; other columns are ignored.
     """
     w = windows(width)
-    distinct, runs = repeats.repeated_spans(docs, w, earlier=True)
+    spans = repeats.repeated_spans(docs, w, earlier=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, offs in common.text_steps(batches):
             _, first, (starts, ends) = w.units(raw, offs)
-            gone = repeats.covered(rows, 5, first, width)
+            gone = repeats.covered(rows, first, width)
             whole = raw.tobytes()
             n, r, sha, left = [], [], [], []
             for i in range(rows.num_rows):
@@ -61,8 +61,7 @@ def remove(docs: DataFrame, width: int = 20, texts: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols + ([pa.array(left, pa.binary()).cast(pa.string())] if texts else []), names)
 
     names = ["t1", "t2", "first_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * texts
-    done = distinct.join(runs.hint("merge"), ["t1", "t2"], "left").select(*repeats.TEXTS, "runs")
-    done = done.mapInArrow(cut, "t1 long, t2 long, first_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
+    done = spans.mapInArrow(cut, "t1 long, t2 long, first_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *common.text_id(F.col("text")))
     later = ~F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("n_words") >= width)  # a copy: all its windows start earlier
     out = own.join(done.hint("merge"), ["t1", "t2"]).withColumn("n_removed", F.when(later, F.col("n_words")).otherwise(F.col("n_removed")))

@@ -26,7 +26,7 @@ from . import common, repeats
 
 def windows(width: int = 200) -> repeats.Windows:
     gram = 8 if width >= 64 else max(1, width // 8)
-    return repeats.Windows(width, max(1, width // 2 - 4 if width >= 64 else width - gram - width // 2 + 1), gram, False)
+    return repeats.Windows(width, max(1, width * 3 // 5 if width >= 64 else width - gram - width // 2 + 1), gram, False)
 
 
 def remove(docs: DataFrame, width: int = 200, texts: bool = False) -> DataFrame:
@@ -38,11 +38,11 @@ def remove(docs: DataFrame, width: int = 200, texts: bool = False) -> DataFrame:
     elsewhere too; an empty table gives no rows; other columns are ignored.
     """
     w = windows(width)
-    distinct, runs = repeats.repeated_spans(docs, w, earlier=False)
+    spans = repeats.repeated_spans(docs, w, earlier=False)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, offs in common.text_steps(batches):
-            gone = repeats.covered(rows, 5, offs, width)
+            gone = repeats.covered(rows, offs, width)
             copies = rows.column(4).to_numpy() > 1
             out: list[list] = [[], [], [], [], []]
             for i in range(rows.num_rows):
@@ -57,6 +57,5 @@ def remove(docs: DataFrame, width: int = 200, texts: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols + ([pa.array(out[4], pa.binary())] if texts else []), names)
 
     names = ["t1", "t2", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * texts
-    done = distinct.join(runs.hint("merge"), ["t1", "t2"], "left").select(*repeats.TEXTS, "runs")
-    done = done.mapInArrow(cut, "t1 long, t2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts)
+    done = spans.mapInArrow(cut, "t1 long, t2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *common.text_id(F.col("text"))).join(done.hint("merge"), ["t1", "t2"]).drop("t1", "t2")
