@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,18 +55,51 @@ def text_id(text: Column) -> list[Column]:
     return [F.xxhash64(t).alias("t1"), F.xxhash64(F.lit(7), t).alias("t2")]
 
 
-def distinct_texts(docs: DataFrame) -> DataFrame:
-    """One row for each distinct text: t1, t2, text, first_id (smallest doc_id), n_rows.
+def exact_text_id(docs: DataFrame) -> Column:
+    """A 64-bit hash of the text (null counts as empty) that differs for all texts of ``docs``.
+
+    Another hash checks it; should two texts collide, the next seed is taken.
+    """
+    text = F.coalesce("text", F.lit(""))
+    for seed in range(100):
+        own = F.xxhash64(F.lit(seed), text)
+        both = docs.select(own.alias("t"), F.xxhash64(F.lit(seed - 1000), text, F.lit(seed)).alias("u"))
+        if both.groupBy("t").agg(F.min("u").alias("a"), F.max("u").alias("b")).where("a <> b").isEmpty():
+            return own
+    raise RuntimeError("no collision-free hash")
+
+
+def distinct_texts(docs: DataFrame, text_id_: Column) -> DataFrame:
+    """One row for each distinct text: t, first_id (smallest doc_id), n_rows, n_bytes, packed (the text, zstd).
 
     Copies meet in a partial aggregation before the shuffle, so a group of copies,
-    however large, sends one row per task.
+    however large, sends one row per task.  Texts travel compressed one by one.
     """
-    t = F.coalesce("text", F.lit(""))
-    return (
-        docs.select(*text_id(F.col("text")), t.alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
-        .groupBy("t1", "t2")
-        .agg(F.any_value("text").alias("text"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_rows"))
-    )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=1)
+        for rows, raw, offs in text_steps(batches, "text"):
+            whole = raw.tobytes()
+            packed = [codec.compress(whole[a:b], asbytes=True) if b > a else b"" for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(np.diff(offs)), pa.array(packed, pa.binary())], ["t", "doc_id", "n_bytes", "packed"])
+
+    rows = docs.select(text_id_.alias("t"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.mapInArrow(pack, "t long, doc_id long, n_bytes long, packed binary")
+    return rows.groupBy("t").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_rows"), F.any_value("n_bytes").alias("n_bytes"), F.any_value("packed").alias("packed"))
+
+
+def packed_steps(batches: Iterator[pa.RecordBatch], most: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Like ``text_steps`` for rows of ``distinct_texts``."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        size = batch.column(batch.schema.get_field_index("n_bytes")).to_numpy()
+        packed = batch.column(batch.schema.get_field_index("packed"))
+        offs = np.concatenate([[0], np.cumsum(size)])
+        for lo, hi in steps(offs, most):
+            raw = b"".join([codec.decompress(packed[i].as_py(), int(size[i]), asbytes=True) if size[i] else b"" for i in range(lo, hi)])
+            yield batch.slice(lo, hi - lo), np.frombuffer(raw, np.uint8), offs[lo : hi + 1] - offs[lo]
 
 
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,5 +143,21 @@ def within(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return seg, np.arange(len(seg)) - np.repeat(starts, counts)
 
 
+def filter_by_text(docs: DataFrame, judge: Callable[[Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]], Iterator[np.ndarray]]) -> DataFrame:
+    """Rows that ``judge`` keeps, with all their columns, whatever their names; no shuffle.
+
+    ``judge`` gets steps of (rows, bytes, offsets) of the column ``text`` and gives a
+    mask for each.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            masks = list(judge(text_steps(iter([batch]))))
+            if masks:
+                yield batch.filter(pa.array(np.concatenate(masks)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def strings(values: list) -> pa.Array:
     return pa.array(values, pa.string())

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, sketch
@@ -76,7 +76,7 @@ def anchors(sums: Rolling, first: np.ndarray, w: Windows) -> tuple[np.ndarray, .
     return row, lo, hi, core, whole
 
 
-def prefilter(docs: DataFrame, w: Windows) -> Broadcast:
+def prefilter(docs: DataFrame, w: Windows, text_id: Column) -> Broadcast:
     """Sketch of all anchors' cores.  Copies of a text within a task are counted once."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -98,10 +98,10 @@ def prefilter(docs: DataFrame, w: Windows) -> Broadcast:
 
     units = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     per_anchor = (w.reach + 1) / 2 * (6 if w.words else 1)
-    return sketch.build(docs.select(F.coalesce("text", F.lit("")).alias("text"), common.text_id(F.col("text"))[0]), keys, units / per_anchor)
+    return sketch.build(docs.select(F.coalesce("text", F.lit("")).alias("text"), text_id.alias("t")), keys, units / per_anchor)
 
 
-TEXTS = ["t1", "t2", "text", "first_id", "n_rows"]
+TEXTS = ["t", "first_id", "n_rows", "n_bytes", "packed"]
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str], by: str) -> DataFrame:
@@ -111,25 +111,25 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], by: str) -> D
     return left.join(right.hint("merge"), [*keys, "salt"]).drop("salt")
 
 
-def repeated_spans(docs: DataFrame, w: Windows, earlier: bool) -> DataFrame:
+def repeated_spans(docs: DataFrame, w: Windows, text_id: Column, earlier: bool) -> DataFrame:
     """Distinct texts with the runs of their repeated windows' starts.
 
     ``earlier``: only windows that also start earlier count (smaller doc_id - null
-    first -, then t1 and t2, then place in the text); else windows that also start
-    anywhere else.  Copies of whole texts are left to the caller: a distinct text counts
-    as one text here.  Columns as ``common.distinct_texts``, then ``runs`` (array of lo,
-    hi, settled: the settled ones count) and ``single`` (array of further starts), in
-    units of the text; either may be null.
+    first -, then the text's hash, then place in the text); else windows that also
+    start anywhere else.  Copies of whole texts are left to the caller: a distinct text
+    counts as one text here.  Columns as ``common.distinct_texts``, then ``runs`` (array
+    of lo, hi, settled: the settled ones count) and ``single`` (array of further
+    starts), in units of the text; either may be null.
 
     One plan without materialised steps: the exchange of the texts is written once and
-    reused by its three readers.
+    reused by its readers.
     """
-    filter_ = prefilter(docs, w)
-    texts = common.distinct_texts(docs).select(*TEXTS)
+    filter_ = prefilter(docs, w, text_id)
+    texts = common.distinct_texts(docs, text_id).select(*TEXTS)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = filter_.value
-        for rows, raw, offs in common.text_steps(batches):
+        for rows, raw, offs in common.packed_steps(batches):
             sym, first, _ = w.units(raw, offs)
             row, lo, hi, core, whole = anchors(Rolling(sym), first, w)
             keep = np.flatnonzero(cells.repeated(core))
@@ -139,24 +139,25 @@ def repeated_spans(docs: DataFrame, w: Windows, earlier: bool) -> DataFrame:
             base = first[row]
             own = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(core[keep].view(np.int64)), pa.array(whole[keep].view(np.int64)), rows.column(0).take(own), rows.column(1).take(own), rows.column(3).take(own), pa.array((lo[keep] - base).astype(np.int32)), pa.array((hi[keep] - base).astype(np.int32))],
-                ["core", "whole", "t1", "t2", "first_id", "lo", "hi"],
+                [pa.array(core[keep].view(np.int64)), pa.array(whole[keep].view(np.int64)), rows.column(0).take(own), rows.column(1).take(own), pa.array((lo[keep] - base).astype(np.int32)), pa.array((hi[keep] - base).astype(np.int32))],
+                ["core", "whole", "t", "first_id", "lo", "hi"],
             )
 
-    found = texts.mapInArrow(find, "core long, whole long, t1 long, t2 long, first_id long, lo int, hi int")
-    order = F.struct(F.coalesce("first_id", F.lit(-(1 << 63))).alias("o"), "t1", "t2", "lo")
+    found = texts.mapInArrow(find, "core long, whole long, t long, first_id long, lo int, hi int")
+    # what leads a class: its earliest place, or any where order does not matter
+    order = F.struct(F.coalesce("first_id", F.lit(-(1 << 63))).alias("o"), "t", "lo") if earlier else F.xxhash64("t", "lo")
     classes = found.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("least"))
-    kinds = classes.groupBy("core").agg(F.sum("n").alias("m"), F.count("least").alias("k")).where("m > 1").select("core", (F.col("k") > 1).alias("mixed"))
+    kinds = found.groupBy("core").agg(F.count(F.lit(1)).alias("m"), F.min("whole").alias("a"), F.max("whole").alias("b")).where("m > 1").select("core", (F.col("a") != F.col("b")).alias("mixed"))
     judged = salted_join(classes, kinds, ["core"], "whole").where("n > 1 or mixed")
     marked = found.join(judged.hint("merge"), ["core", "whole"]).withColumn("leads", F.col("least") == order)
     # settled: all windows of the run repeat.  asked: its windows must be looked up.
     settled = (F.col("n") > 1) & ~F.col("leads") if earlier else F.col("n") > 1
     asked = F.col("mixed") & ((F.col("n") == 1) | F.col("leads"))
-    runs = marked.where(settled | asked).groupBy("t1", "t2").agg(F.collect_list(F.struct("lo", "hi", settled.alias("settled"), asked.alias("asked"))).alias("runs"))
+    runs = marked.where(settled | asked).groupBy("t").agg(F.collect_list(F.struct("lo", "hi", settled.alias("settled"), asked.alias("asked"))).alias("runs"))
 
     # windows of the runs to look up; weight 2 for what occurs twice by itself
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, raw, offs in common.text_steps(batches):
+        for rows, raw, offs in common.packed_steps(batches):
             sym, first, _ = w.units(raw, offs)
             sums = Rolling(sym)
             own, (lo, hi, twice, wanted) = _lists(rows.column(5))
@@ -173,18 +174,18 @@ def repeated_spans(docs: DataFrame, w: Windows, earlier: bool) -> DataFrame:
                 h = sums.spans(start, start + w.width)
                 mine = pa.array(own[seg])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), rows.column(0).take(mine), rows.column(1).take(mine), rows.column(3).take(mine), pa.array(at.astype(np.int32)), pa.array(np.where(twice[seg], 2, 1).astype(np.int32))],
-                    ["window", "t1", "t2", "first_id", "lo", "weight"],
+                    [pa.array(h.view(np.int64)), rows.column(0).take(mine), rows.column(1).take(mine), pa.array(at.astype(np.int32)), pa.array(np.where(twice[seg], 2, 1).astype(np.int32))],
+                    ["window", "t", "first_id", "lo", "weight"],
                 )
                 a = b
 
-    some = texts.join(runs.hint("merge"), ["t1", "t2"]).select(*TEXTS, "runs").where(F.exists("runs", lambda r: r["asked"]))
-    windows = some.mapInArrow(look, "window long, t1 long, t2 long, first_id long, lo int, weight int")
+    some = texts.join(runs.hint("merge"), "t").select(*TEXTS, "runs").where(F.exists("runs", lambda r: r["asked"]))
+    windows = some.mapInArrow(look, "window long, t long, first_id long, lo int, weight int")
     hits = windows.groupBy("window").agg(F.sum("weight").alias("n"), F.min(order).alias("least")).where("n > 1").select("window", "least")
-    seen = salted_join(windows, hits, ["window"], "t1")
+    seen = salted_join(windows, hits, ["window"], "t")
     seen = seen.where(F.col("least") != order) if earlier else seen.where("weight = 1")
-    single = seen.groupBy("t1", "t2").agg(F.collect_list("lo").alias("single"))
-    return texts.join(runs.hint("merge"), ["t1", "t2"], "left").join(single.hint("merge"), ["t1", "t2"], "left").select(*TEXTS, "runs", "single")
+    single = seen.groupBy("t").agg(F.collect_list("lo").alias("single"))
+    return texts.join(runs.hint("merge"), "t", "left").join(single.hint("merge"), "t", "left").select(*TEXTS, "runs", "single")
 
 
 def _lists(col: pa.ListArray) -> tuple[np.ndarray, list[np.ndarray]]:

@@ -26,7 +26,7 @@ def windows(width: int = 20) -> repeats.Windows:
 
 
 def remove(docs: DataFrame, width: int = 20, texts: bool = False) -> DataFrame:
-    """doc_id, t1, t2, n_words, n_removed, kept_sha256 (and kept, the words left, if ``texts``).
+    """doc_id, t (hash of the text), n_words, n_removed, kept_sha256 (and kept, the words left, if ``texts``).
 
     Words are runs without ASCII white space.  Each word in a window of ``width`` words
     that also starts earlier - in a document with a smaller doc_id, or in the same at an
@@ -37,10 +37,11 @@ def remove(docs: DataFrame, width: int = 20, texts: bool = False) -> DataFrame:
     empty table gives no rows; other columns are ignored.
     """
     w = windows(width)
-    spans = repeats.repeated_spans(docs, w, earlier=True)
+    text_id = common.exact_text_id(docs)
+    spans = repeats.repeated_spans(docs, w, text_id, earlier=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, raw, offs in common.text_steps(batches):
+        for rows, raw, offs in common.packed_steps(batches):
             _, first, (starts, ends) = w.units(raw, offs)
             gone = repeats.covered(rows, first, width)
             whole = raw.tobytes()
@@ -57,13 +58,51 @@ def remove(docs: DataFrame, width: int = 20, texts: bool = False) -> DataFrame:
                 r.append(removed)
                 sha.append(hashlib.sha256(kept).hexdigest())
                 left.append(kept)
-            cols = [*rows.columns[:2], rows.column(3), pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(sha, pa.string())]
+            cols = [*rows.columns[:2], pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(sha, pa.string())]
             yield pa.RecordBatch.from_arrays(cols + ([pa.array(left, pa.binary()).cast(pa.string())] if texts else []), names)
 
-    names = ["t1", "t2", "first_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * texts
-    done = spans.mapInArrow(cut, "t1 long, t2 long, first_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *common.text_id(F.col("text")))
+    names = ["t", "first_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * texts
+    done = spans.mapInArrow(cut, "t long, first_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_id.alias("t"))
     later = ~F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("n_words") >= width)  # a copy: all its windows start earlier
-    out = own.join(done.hint("merge"), ["t1", "t2"]).withColumn("n_removed", F.when(later, F.col("n_words")).otherwise(F.col("n_removed")))
+    out = own.join(done.hint("merge"), "t").withColumn("n_removed", F.when(later, F.col("n_words")).otherwise(F.col("n_removed")))
     out = out.withColumn("kept_sha256", F.when(later, F.lit(EMPTY)).otherwise(F.col("kept_sha256")))
     return out.withColumn("kept", F.when(later, F.lit("")).otherwise(F.col("kept"))).drop("first_id") if texts else out.drop("first_id")
+
+
+def clean(docs: DataFrame, width: int = 20) -> DataFrame:
+    """Rows of ``docs`` with repeated words taken out of ``text`` (and n_chars, if there, counted anew).
+
+    A text that loses nothing is unchanged, null stays null; all rows and other columns
+    stay, whatever their names.
+    """
+    t, kept, gone, first = "__t", "__kept", "__gone", "__first"
+    w = windows(width)
+    text_id = common.exact_text_id(docs)
+    spans = repeats.repeated_spans(docs, w, text_id, earlier=True)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Texts that lose words, or that copies must lose."""
+        for rows, raw, offs in common.packed_steps(batches):
+            _, begin, _ = w.units(raw, offs)
+            lost = repeats.covered(rows, begin, width)
+            whole = raw.tobytes()
+            copies = rows.column(2).to_numpy()
+            take, left, removed = [], [], []
+            for i in range(rows.num_rows):
+                g = lost[begin[i] : begin[i + 1]]
+                if g.any() or (copies[i] > 1 and len(g) >= width):
+                    take.append(i)
+                    removed.append(bool(g.any()))
+                    own = whole[offs[i] : offs[i + 1]].split()
+                    left.append(b" ".join([own[j] for j in np.flatnonzero(~g)]) if g.any() else b"")
+            at = pa.array(take, pa.int64())
+            yield pa.RecordBatch.from_arrays([rows.column(0).take(at), rows.column(1).take(at), pa.array(removed, pa.bool_()), pa.array(left, pa.binary()).cast(pa.string())], [t, first, gone, kept])
+
+    changed = spans.mapInArrow(cut, f"{t} long, {first} long, {gone} boolean, {kept} string")
+    out = docs.withColumn(t, text_id).join(changed.hint("merge"), t, "left")
+    copy = ~F.col("doc_id").cast("long").eqNullSafe(F.col(first))
+    text = F.when(F.col(gone).isNull(), F.col("text")).when(copy, F.lit("")).when(F.col(gone), F.col(kept)).otherwise(F.col("text"))
+    columns = [text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    out = out.select(*columns)
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -38,12 +38,13 @@ def remove(docs: DataFrame, width: int = 200, texts: bool = False) -> DataFrame:
     elsewhere too; an empty table gives no rows; other columns are ignored.
     """
     w = windows(width)
-    spans = repeats.repeated_spans(docs, w, earlier=False)
+    own = common.exact_text_id(docs)
+    spans = repeats.repeated_spans(docs, w, own, earlier=False)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, raw, offs in common.text_steps(batches):
+        for rows, raw, offs in common.packed_steps(batches):
             gone = repeats.covered(rows, offs, width)
-            copies = rows.column(4).to_numpy() > 1
+            copies = rows.column(2).to_numpy() > 1
             out: list[list] = [[], [], [], [], []]
             for i in range(rows.num_rows):
                 a, b = int(offs[i]), int(offs[i + 1])
@@ -53,9 +54,9 @@ def remove(docs: DataFrame, width: int = 200, texts: bool = False) -> DataFrame:
                 kept = raw[a:b][~g].tobytes()
                 for x, v in zip(out, (b - a, int(g.sum()), int(np.count_nonzero(np.diff(np.concatenate([[0], g.view(np.int8)])) == 1)), hashlib.sha256(kept).hexdigest(), kept)):
                     x.append(v)
-            cols = [rows.column(0), rows.column(1), *(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.string())]
+            cols = [rows.column(0), *(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.string())]
             yield pa.RecordBatch.from_arrays(cols + ([pa.array(out[4], pa.binary())] if texts else []), names)
 
-    names = ["t1", "t2", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * texts
-    done = spans.mapInArrow(cut, "t1 long, t2 long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *common.text_id(F.col("text"))).join(done.hint("merge"), ["t1", "t2"]).drop("t1", "t2")
+    names = ["t", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * texts
+    done = spans.mapInArrow(cut, "t long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), own.alias("t")).join(done.hint("merge"), "t").drop("t")
