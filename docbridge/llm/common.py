@@ -84,7 +84,8 @@ def distinct_texts(docs: DataFrame, text_id_: Column) -> DataFrame:
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(np.diff(offs)), pa.array(packed, pa.binary())], ["t", "doc_id", "n_bytes", "packed"])
 
     rows = docs.select(text_id_.alias("t"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.mapInArrow(pack, "t long, doc_id long, n_bytes long, packed binary")
+    # said here, else inner joins add it below the aggregate and outer joins don't: two exchanges
+    rows = rows.mapInArrow(pack, "t long, doc_id long, n_bytes long, packed binary").where("t is not null")
     return rows.groupBy("t").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_rows"), F.any_value("n_bytes").alias("n_bytes"), F.any_value("packed").alias("packed"))
 
 
