@@ -15,31 +15,33 @@ must share one of the first n - ceil(t*n) + 1 shingles of each (its prefix).
    the probe is carried along shared starts, and a branch is left as soon as what
    remains is too short to reach the required overlap.
 4. Linked sets fall into components.  Only lists that still hold two components go on,
-   with another probe; when few pairs are left they are all tried.  A pair inside one
-   component is not tried, as it cannot change the components.
+   once more with another probe, then block by block: sets that share their least open
+   shingle form blocks of bounded size, and for each two blocks that meet in a list the
+   sets of the one probe the tree of the other.  A pair inside one component is not
+   tried, as it cannot change the components.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import common, sketch
 from .graph import components
 from .hashing import Rolling, lower_ascii, mix, word_hashes, word_spans
-from .repeats import SALTS
+from .repeats import SALTS, salted_join
 
 #: Cells of the frequency sketch that only orders shingles (bounded: 4 MB).
 FREQUENCY_BITS = 20
-#: Rounds with one probe for each list; all pairs left are tried after them, or once they are
-#: fewer than so many for each candidate (and a floor under which another round costs more).
-ROUNDS, PAIRS_EACH, PAIRS_FLOOR = 4, 4, 100_000
+#: Rounds with one probe for each list, and sets of a block after them.
+ROUNDS, BLOCK = 2, 256
 
 
 def sets_of(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -184,13 +186,6 @@ def postings(sets: DataFrame, order: Broadcast, percent: int) -> DataFrame:
 def verify(pairs: DataFrame, sets: DataFrame, order: Broadcast, percent: int) -> DataFrame:
     """The pairs (probe, set) whose likeness reaches ``percent``, as edges a, b."""
 
-    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                rows = b.slice(lo, 512)
-                rank, _, edge = _ordered(rows.column(2), order.value)
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(rank.view(np.int64)))], ["set", "size", "ranks"])
-
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probe, probe_id, probe_size = np.zeros(0, np.int64), None, 0
         last, path = np.zeros(0, np.int64), np.zeros(1, np.int64)
@@ -228,7 +223,7 @@ def verify(pairs: DataFrame, sets: DataFrame, order: Broadcast, percent: int) ->
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
 
-    tree = sets.select("set", "size", "shingles").mapInArrow(sort, "set long, size long, ranks array<long>")
+    tree = _tree(sets, order)
     salt = F.pmod(F.xxhash64("set"), F.lit(SALTS)).cast("int")
     partners = pairs.join(tree.hint("merge"), "set").select("probe", salt.alias("salt"), F.lit(1).alias("kind"), "set", "size", "ranks")
     probes = pairs.select("probe", salt.alias("salt")).distinct().join(tree.withColumnRenamed("set", "probe").hint("merge"), "probe").select("probe", "salt", F.lit(0).alias("kind"), F.col("probe").alias("set"), "size", "ranks")
@@ -236,49 +231,156 @@ def verify(pairs: DataFrame, sets: DataFrame, order: Broadcast, percent: int) ->
     return dealt.mapInArrow(traverse, "a long, b long")
 
 
+def _tree(sets: DataFrame, order: Broadcast) -> DataFrame:
+    """set, size, ranks: the sets with their shingles as ranks in the global order."""
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 512):
+                rows = b.slice(lo, 512)
+                rank, _, edge = _ordered(rows.column(2), order.value)
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(rank.view(np.int64)))], ["set", "size", "ranks"])
+
+    return sets.select("set", "size", "shingles").mapInArrow(sort, "set long, size long, ranks array<long>")
+
+
+class Branches:
+    """A prefix tree as its sorted sequences and the depth each shares with the one before."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.ranks: list[np.ndarray] = []
+        self.shared: list[int] = []
+
+    def add(self, ranks: np.ndarray) -> None:
+        before = self.ranks[-1] if self.ranks else ranks[:0]
+        m = min(len(before), len(ranks))
+        differ = np.flatnonzero(before[:m] != ranks[:m])
+        self.shared.append(int(differ[0]) if len(differ) else m)
+        self.ranks.append(ranks)
+
+    def probe(self, probe: np.ndarray, size: int, sizes: list[int], wanted: Callable[[int], bool]) -> Iterator[int]:
+        """Places of the sequences whose likeness with ``probe`` suffices, of those wanted."""
+        path, deep = np.zeros(1, np.int64), 0  # overlap along the current branch, known to depth ``deep``
+        for i, own in enumerate(self.ranks):
+            deep = min(deep, self.shared[i])
+            if not wanted(i):
+                continue
+            need = -(-self.percent * (size + sizes[i]) // (100 + self.percent))
+            have = int(path[deep])
+            passed = int(np.searchsorted(probe, own[deep - 1], "right")) if deep else 0
+            if have + min(len(own) - deep, len(probe) - passed) < need:
+                continue
+            rest = own[deep:]
+            at = np.searchsorted(probe, rest)
+            at[at == len(probe)] = 0
+            path = np.concatenate([path[: deep + 1], have + np.cumsum(probe[at] == rest)]) if len(probe) else np.zeros(len(own) + 1, np.int64)
+            deep = len(own)
+            if int(path[-1]) >= need:
+                yield i
+
+
+def verify_blocks(pairs: DataFrame, members: DataFrame, tree: DataFrame, percent: int) -> DataFrame:
+    """Links (edges a, b) between the sets of each two blocks of ``pairs`` that differ in root."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, branches = None, Branches(percent)
+        names: list[int] = []
+        sizes: list[int] = []
+        roots: list[int] = []
+        up: dict[int, int] = {}
+
+        def root(v: int) -> int:
+            while up.get(v, v) != v:
+                up[v] = up.get(up[v], up[v])
+                v = up[v]
+            return v
+
+        for b in batches:
+            one, two, kinds, own, size, top = (b.column(i).to_pylist() for i in range(6))
+            edge = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(b.column(6)).to_numpy())])
+            values = b.column(6).flatten().to_numpy()
+            found: list[tuple[int, int]] = []
+            for i in range(b.num_rows):
+                if (one[i], two[i]) != now:
+                    now, branches, up = (one[i], two[i]), Branches(percent), {}
+                    names, sizes, roots = [], [], []
+                ranks = values[edge[i] : edge[i + 1]]
+                if kinds[i] == 0:
+                    branches.add(ranks.copy())
+                    names.append(own[i])
+                    sizes.append(size[i])
+                    roots.append(top[i])
+                    continue
+                n = size[i]
+                mine = top[i]
+                fits = lambda k, n=n, mine=mine: root(roots[k]) != root(mine) and min(n, sizes[k]) * 100 >= max(n, sizes[k]) * percent
+                for k in branches.probe(ranks, n, sizes, fits):
+                    found.append((own[i], names[k]))
+                    up[root(roots[k])] = root(mine)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+    full = common.checkpoint(members.join(tree.select("set", "ranks").hint("merge"), "set"))
+    sides = []
+    for kind, side in ((0, "two"), (1, "one")):
+        sides.append(pairs.withColumn("block", F.col(side)).join(full.hint("merge"), "block").select("one", "two", F.lit(kind).alias("kind"), "set", "size", "root", "ranks"))
+    dealt = sides[0].unionAll(sides[1]).repartition("one", "two").sortWithinPartitions("one", "two", "kind", "ranks")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """node, root of the components of the candidate sets (sets without a link may lack)."""
     order = frequencies(sets)
     open_ = common.checkpoint(postings(sets, order, percent))
-    total = sets.count()
     edges = nodes = None
-    tried = None
     for k in range(ROUNDS + 1):
         if nodes is None:
             mine = open_.withColumn("root", F.col("set"))
         else:
             roots = nodes.select(F.col("node").alias("set"), "root")
             mine = open_.drop("root").join(roots.hint("merge"), "set", "left").withColumn("root", F.coalesce("root", "set"))
-        groups = mine.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("n"))
-        mixed = groups.groupBy("shingle").agg(F.sum("n").alias("g"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-        mixed = common.checkpoint(mixed.select("shingle", ((F.col("g") * F.col("g") - F.col("same")) / 2).alias("pairs")))
-        left = mixed.agg(F.sum("pairs")).first()[0] or 0
-        if not left:
+        mixed = mine.groupBy("shingle").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("shingle")
+        open_ = common.checkpoint(mine.join(common.checkpoint(mixed).hint("merge"), "shingle").select("shingle", "set", "size", "root"), open_)
+        if open_.isEmpty():
             break
-        open_ = common.checkpoint(mine.join(mixed.select("shingle").hint("merge"), "shingle").select("shingle", "set", "size", "root"))
-        if left <= max(PAIRS_FLOOR, PAIRS_EACH * total) or k == ROUNDS:
-            probes = open_.select("shingle", F.col("set").alias("probe"), F.col("size").alias("probe_size"), F.col("root").alias("probe_root"))
-            both = open_.join(probes.hint("merge"), "shingle").where("root < probe_root")
-            final = True
-        else:
+        if k < ROUNDS:
             pick = F.min(F.struct(F.xxhash64("set", F.lit(k)).alias("h"), F.col("set").alias("probe"), F.col("size").alias("probe_size"), F.col("root").alias("probe_root")))
             probes = common.checkpoint(open_.groupBy("shingle").agg(pick.alias("p")).select("shingle", "p.probe", "p.probe_size", "p.probe_root"))
-            both = open_.join(probes.hint("merge"), "shingle").where("root <> probe_root")
-            final = False
-        near = F.least("size", "probe_size") * 100 >= F.greatest("size", "probe_size") * percent
-        pairs = both.where(near).select("probe", "set").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried.hint("merge"), ["probe", "set"], "left_anti")
-        pairs = common.checkpoint(pairs)
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        new = verify(pairs, sets, order, percent)
+            near = F.least("size", "probe_size") * 100 >= F.greatest("size", "probe_size") * percent
+            pairs = open_.join(probes.hint("merge"), "shingle").where("root <> probe_root").where(near).select("probe", "set").distinct()
+            new = verify(common.checkpoint(pairs), sets, order, percent)
+        else:
+            new = _between_blocks(open_, sets, order, percent)
         edges = common.checkpoint(new if edges is None else edges.unionAll(new))
         nodes = components(edges)
-        if final:
-            break
     return components(sets.select(F.col("set").alias("a"), F.col("set").alias("b")).limit(0)) if nodes is None else nodes
 
 
+def _between_blocks(open_: DataFrame, sets: DataFrame, order: Broadcast, percent: int) -> DataFrame:
+    keys = common.checkpoint(open_.groupBy("set").agg(F.min(F.xxhash64("shingle")).alias("key"), F.first("size").alias("size"), F.first("root").alias("root")))
+    parts = keys.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    block = F.xxhash64("key", F.pmod(F.xxhash64("set"), F.col("parts")))
+    members = common.checkpoint(salted_join(keys, parts, ["key"], "set").select(block.alias("block"), "set", "size", "root"), keys)
+    met = open_.select("shingle", "set").join(members.hint("merge"), "set").groupBy("shingle", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    met = common.checkpoint(met)
+    one = met.select("shingle", F.col("block").alias("one"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))
+    two = met.select("shingle", F.col("block").alias("two"), "lo", "hi")
+    pairs = one.join(two.hint("merge"), "shingle").where("one <= two and least(lo, lo1) <> greatest(hi, hi1)").select("one", "two").distinct()
+    return verify_blocks(common.checkpoint(pairs, met), members, _tree(sets, order), percent)
+
+
+def classes(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n_shingles, set) and the component of each set (set, component_id)."""
+    rows = shingle_sets(docs, n)
+    sets = candidates(docs, n, percent)
+    nodes = links(sets, percent).select(F.col("node").alias("set"), "root")
+    least = rows.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("least"))
+    own = common.checkpoint(least.join(nodes.hint("merge"), "set", "left").select("set", "least", F.coalesce("root", "set").alias("root")))
+    of_root = own.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows, common.checkpoint(own.join(of_root.hint("merge"), "root").select("set", "component_id"), own)
+
+
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
@@ -288,12 +390,37 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     component_id is the least doc_id reachable (null doc_ids aside), so equal texts and
     repeated rows share one.  An empty table gives no rows; other columns are ignored.
     """
-    rows = shingle_sets(docs, n)
-    sets = candidates(docs, n, percent)
-    nodes = links(sets, percent).select(F.col("node").alias("set"), "root")
-    least = rows.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("least"))
-    own = common.checkpoint(least.join(nodes.hint("merge"), "set", "left").select("set", "least", F.coalesce("root", "set").alias("root")))
-    of_root = own.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_set = common.checkpoint(own.join(of_root.hint("merge"), "root").select("set", "component_id"))
+    rows, by_set = classes(docs, n, percent)
     out = rows.join(by_set.hint("merge"), "set", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of ``docs``, with all columns, less the near-copies: of each component the least doc_id stays.
+
+    Texts without words have no near-copies and stay.  Of several rows with the least
+    doc_id (repeated rows) one stays; a component whose doc_ids are all null keeps one row.
+    """
+    rows, by_set = classes(docs, n, percent)
+    firsts = rows.where("set is not null").join(by_set.hint("merge"), "set").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    firsts = firsts.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("set")).alias("lone")).agg(F.min("set").alias("set"))
+    keep = common.checkpoint(firsts.select(F.col("component_id").alias("doc_id"), "set"))
+    d, s, r = ("__doc", "__set", "__place")
+    key = F.col("doc_id").cast("long")
+
+    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids: list[int | None] = []
+            for _, raw, offs in common.text_steps(iter([batch])):
+                h, edge = sets_of(raw, offs, n)
+                ids += [set_id(h[a:b]) if b > a else None for a, b in zip(edge[:-1], edge[1:])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], [*batch.schema.names, s])
+
+    tagged = docs.mapInArrow(tag, StructType([*docs.schema.fields, StructField(s, LongType())]))
+    empty = tagged.where(F.col(s).isNull()).drop(s)
+    wanted = keep.select(F.col("doc_id").alias(d), F.col("set").alias(s))
+    full = tagged.where(F.col(s).isNotNull()).withColumn(d, key)
+    kept = full.join(wanted.hint("merge"), (full[d].eqNullSafe(wanted[d])) & (full[s] == wanted[s]), "left_semi")
+    # repeated rows share doc_id and set, so few meet in a window, unless the table repeats one row
+    first = F.row_number().over(Window.partitionBy(d, s).orderBy(F.lit(0)))
+    return kept.withColumn(r, first).where(F.col(r) == 1).drop(d, s, r).unionAll(empty)

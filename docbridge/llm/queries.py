@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, jaccard_join, multi_index, packing, substring_dedup, suffix_dedup, url_filters
+from . import byte_bpe, fingerprints, jaccard_join, multi_index, packing, quality, substring_dedup, suffix_dedup, toxicity, url_filters
 from .common import table
 
 
@@ -30,6 +31,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(toxicity.fold(F.col("doc_id")) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"))
 
@@ -38,11 +46,17 @@ def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    graded = quality.grade(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return graded.withColumn("kept", F.col("p_upper") >= quality.KEEP)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.remove(table(spark, sf_dir, "documents")).drop("t1", "t2")
+    return substring_dedup.remove(table(spark, sf_dir, "documents")).drop("t")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_fingerprints, op3_byte_bpe, op4_jaccard_join, op5_packing, op7_url_filters, op8_multi_index, op10_substring_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_fingerprints, op3_byte_bpe, op4_jaccard_join, op5_packing, op6_toxicity, op7_url_filters, op8_multi_index, op9_quality, op10_substring_dedup)}
 
 ORACLE_SQL: dict[str, str] = {
     "op7_url_filters": """
