@@ -4,10 +4,10 @@ Each half of the vectors has a codebook of its own; a cell of the index is a pai
 codes, and every vector lies in one.  A query walks the cells by multi-sequence
 traversal: codes of each half in ascending order of a lower bound of the distance to
 anything with that code, pairs of codes in ascending order of the sum.  It ends where
-the bound passes the radius that a cosine of ``threshold`` allows; beyond it no vector
-can link, so the recall of the walk is 1 by construction (a ``recall`` below 1 ends it
-earlier, by the share of the squared radius that random directions leave unused).
-What lies in the visited cells is verified exactly in double precision.
+the target recall is reached: at the bound within which that share of the linked pairs
+of the sample lies, and of vectors turned away from sampled ones by the widest angle
+that still links.  What lies in the visited cells is verified exactly in double
+precision, and each pair is looked for from one side, that of the smaller hash.
 
 Vectors equal in every component are folded first.  A cell with many vectors is dealt to
 blocks of bounded size, to each of which its queries are sent.
@@ -27,7 +27,7 @@ from . import common
 from .graph import components
 
 #: Vectors that the codebooks are fitted on (those with the least hashes), and rounds.
-SAMPLE, ROUNDS = 8192, 10
+SAMPLE, ROUNDS, PROBES = 8192, 10, 1024
 #: Codes of a half: about the square root of the vectors over CELL_SIZE, within bounds.
 CELL_SIZE, LEAST_CODES, MOST_CODES = 8, 4, 1024
 #: Vectors of a block of a cell.
@@ -87,12 +87,42 @@ def traverse(a: np.ndarray, b: np.ndarray, limit: float) -> list[tuple[int, int]
     return out
 
 
+def limit_for(x: np.ndarray, books: tuple[np.ndarray, np.ndarray], half: int, threshold: float, recall: float, seed: int = 1) -> float:
+    """The bound up to which a walk must go for the target recall, from sampled unit vectors."""
+    rng = np.random.default_rng(seed)
+    some = x[rng.permutation(len(x))[:PROBES]]
+    turn = rng.standard_normal(some.shape)
+    turn -= (turn * some).sum(1, keepdims=True) * some
+    turn /= np.maximum(np.sqrt((turn * turn).sum(1, keepdims=True)), 1e-12)
+    sides = [(some, some * threshold + turn * np.sqrt(max(0.0, 1 - threshold**2)))]
+    linked = []
+    for lo in range(0, len(x), 512):
+        i, j = np.nonzero(x[lo : lo + 512] @ x.T >= threshold)
+        keep = i + lo != j
+        linked.append(np.stack([i[keep] + lo, j[keep]], 1))
+    pairs = np.concatenate(linked) if linked else np.zeros((0, 2), np.int64)
+    if len(pairs):
+        pairs = pairs[rng.permutation(len(pairs))[: 8 * PROBES]]
+        sides.append((x[pairs[:, 0]], x[pairs[:, 1]]))
+    most = 0.0
+    for a, b in sides:
+        need = []
+        for lo in range(0, len(a), 256):
+            total = np.zeros(len(a[lo : lo + 256]))
+            for book, cut in ((books[0], slice(0, half)), (books[1], slice(half, None))):
+                own, _ = bounds(b[lo : lo + 256, cut], book)
+                total += bounds(a[lo : lo + 256, cut], book)[1][np.arange(len(total)), own]
+            need.append(total)
+        most = max(most, float(np.quantile(np.concatenate(need), recall)))
+    return min(most, 2 - 2 * threshold) + 1e-9
+
+
 def _matrix(col: pa.Array) -> np.ndarray:
     flat = col.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(col), -1)
 
 
-def near_duplicates(table: DataFrame, threshold: float = 0.95, recall: float = 1.0) -> DataFrame:
+def near_duplicates(table: DataFrame, threshold: float = 0.95, recall: float = 0.998) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of (vec_id, embedding).
 
     Rows link when their cosine is at least ``threshold``.  Null, empty or zero vectors
@@ -135,8 +165,9 @@ def _links(folded: DataFrame, dim: int, threshold: float, recall: float) -> Data
     x = unit(np.array(sample["embedding"].tolist(), np.float64).reshape(len(sample), dim))
     k = int(np.clip(np.sqrt(total / CELL_SIZE), LEAST_CODES, MOST_CODES))
     half = dim // 2 if dim > 1 else 1
-    books = spark.sparkContext.broadcast((codebook(x[:, :half], k), codebook(x[:, half:], k) if dim > half else np.zeros((1, 0))))
-    limit = (2 - 2 * threshold) * recall + 1e-9
+    pair = (codebook(x[:, :half], k), codebook(x[:, half:], k) if dim > half else np.zeros((1, 0)))
+    books = spark.sparkContext.broadcast(pair)  # at most MOST_CODES centres of each half
+    limit = limit_for(x, pair, half, threshold, recall)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The vector in its cell (kind 0) and as a query in each cell it visits (kind 1)."""
@@ -171,7 +202,7 @@ def _links(folded: DataFrame, dim: int, threshold: float, recall: float) -> Data
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per block: rows linked to each vector, and a spanning forest of its links."""
         now, base, size, xs = None, [], [], []
-        counts: np.ndarray | None = None
+        tally: dict[int, int] = {}  # rows linked to each vector
         up: dict[int, int] = {}
 
         def root(v: int) -> int:
@@ -181,24 +212,11 @@ def _links(folded: DataFrame, dim: int, threshold: float, recall: float) -> Data
             return v
 
         def close() -> Iterator[pa.RecordBatch]:
-            if counts is None:
-                return
-            a, c, o = [], [], []
-            some = np.flatnonzero(counts)
-            for i in some.tolist():
-                a.append(base[i])
-                c.append(root(base[i]))
-                o.append(int(counts[i]))
-            inside = set(base)
-            for v in up:
-                if v not in inside:
-                    a.append(v)
-                    c.append(root(v))
-                    o.append(0)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(o, pa.int64())], ["a", "b", "others"])
-
-        matrix = np.zeros((0, dim))
+            if tally:
+                rows = list(tally)
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array([root(v) for v in rows], pa.int64()), pa.array([tally[v] for v in rows], pa.int64())], ["a", "b", "others"])
+
+        matrix = None
         for b in batches:
             cells, blocks_, kinds, vs, ns = (b.column(i).to_pylist() for i in range(5))
             m = _matrix(b.column(5))
@@ -207,7 +225,8 @@ def _links(folded: DataFrame, dim: int, threshold: float, recall: float) -> Data
                 key = (cells[i], blocks_[i])
                 if key != now:
                     yield from close()
-                    now, base, size, xs, counts = key, [], [], [], None
+                    now, base, size, xs, matrix = key, [], [], [], None
+                    tally.clear()
                     up.clear()
                 j = i
                 while j < len(cells) and (cells[j], blocks_[j]) == key and kinds[j] == kinds[i]:
@@ -217,16 +236,19 @@ def _links(folded: DataFrame, dim: int, threshold: float, recall: float) -> Data
                     size += ns[i:j]
                     xs.append(m[i:j].copy())
                 elif base:
-                    if counts is None:
-                        matrix, counts = np.concatenate(xs), np.zeros(len(base), np.int64)
+                    if matrix is None:
+                        matrix, names, weights = np.concatenate(xs), np.array(base), np.array(size)
                     for lo in range(i, j, 512):
                         hi = min(j, lo + 512)
                         near = m[lo:hi] @ matrix.T >= threshold
-                        near &= np.array(vs[lo:hi])[:, None] != np.array(base)[None]
-                        counts += np.array(ns[lo:hi]) @ near
+                        near &= np.array(vs[lo:hi])[:, None] < names[None]
                         for q in np.flatnonzero(near.any(1)).tolist():
-                            r = root(vs[lo + q])
-                            for t in np.flatnonzero(near[q]).tolist():
+                            hit = np.flatnonzero(near[q])
+                            v = vs[lo + q]
+                            tally[v] = tally.get(v, 0) + int(weights[hit].sum())
+                            r = root(v)
+                            for t in hit.tolist():
+                                tally[base[t]] = tally.get(base[t], 0) + ns[lo + q]
                                 s = root(base[t])
                                 if s != r:
                                     up[max(r, s)] = min(r, s)
