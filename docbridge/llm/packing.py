@@ -88,16 +88,13 @@ class SpanTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         known = self.known
-        if len(known) > MEMORY:
-            known.clear()
-            known[""] = b""
         parts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = self._new(list({s for p in parts for s in p if s not in known}))
+        new = self._new(list(set().union(*parts).difference(known)))
+        full = len(known) > MEMORY
         known.update(new)
         out = [b"".join(map(known.__getitem__, p)) for p in parts]
-        for s in new:
-            if len(s) > LONGEST_KEPT:
-                del known[s]
+        for s in new if full else [s for s in new if len(s) > LONGEST_KEPT]:
+            del known[s]
         return out
 
 
