@@ -36,12 +36,14 @@ from pyspark.sql.types import LongType, StructField, StructType
 from . import common, sketch
 from .graph import components
 from .hashing import Rolling, lower_ascii, mix, word_hashes, word_spans
-from .repeats import SALTS, salted_join
+from .repeats import counted
 
 #: Cells of the frequency sketch that only orders shingles (bounded: 4 MB).
 FREQUENCY_BITS = 20
 #: Rounds with one probe for each list, and sets of a block after them.
 ROUNDS, BLOCK = 2, 256
+#: Parts into which the partners of one probe are dealt.
+SALTS = 8
 
 
 def sets_of(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -359,9 +361,9 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
 
 def _between_blocks(open_: DataFrame, sets: DataFrame, order: Broadcast, percent: int) -> DataFrame:
     keys = common.checkpoint(open_.groupBy("set").agg(F.min(F.xxhash64("shingle")).alias("key"), F.first("size").alias("size"), F.first("root").alias("root")))
-    parts = keys.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    parts = counted(keys, "key", F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     block = F.xxhash64("key", F.pmod(F.xxhash64("set"), F.col("parts")))
-    members = common.checkpoint(salted_join(keys, parts, ["key"], "set").select(block.alias("block"), "set", "size", "root"), keys)
+    members = common.checkpoint(keys.join(parts.hint("merge"), "key").select(block.alias("block"), "set", "size", "root"), keys)
     met = open_.select("shingle", "set").join(members.hint("merge"), "set").groupBy("shingle", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     met = common.checkpoint(met)
     one = met.select("shingle", F.col("block").alias("one"), F.col("lo").alias("lo1"), F.col("hi").alias("hi1"))

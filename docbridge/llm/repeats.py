@@ -14,7 +14,8 @@ windows have it at the same place, and each anchor stands for one run of window
   for these are the windows themselves hashed and counted.
 
 Copies of whole texts are folded before all that.  Every exchange is keyed by content
-hashes, counted with partial aggregation, and joins against hot keys are salted.
+hashes and counted with partial aggregation, and joins are laid out so that Spark can
+split hot keys.
 """
 
 from __future__ import annotations
@@ -31,9 +32,6 @@ from pyspark.sql import functions as F
 from . import common, sketch
 from .hashing import Rolling, byte_symbols, mix, sliding_min, word_hashes, word_spans
 
-#: Parts into which the rows of one hot key are dealt in joins.
-SALTS = 8
-
 
 @dataclass(frozen=True)
 class Windows:
@@ -104,11 +102,14 @@ def prefilter(docs: DataFrame, w: Windows, text_id: Column) -> Broadcast:
 TEXTS = ["t", "first_id", "n_rows", "n_bytes", "packed"]
 
 
-def salted_join(big: DataFrame, small: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """Inner join that deals the rows of each key of ``big`` to SALTS parts by the hash of ``by``."""
-    left = big.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
-    right = small.withColumn("salt", F.explode(F.array(*(F.lit(i) for i in range(SALTS)))))
-    return left.join(right.hint("merge"), [*keys, "salt"]).drop("salt")
+def counted(rows: DataFrame, key: str, *aggregates: Column) -> DataFrame:
+    """Aggregates by ``key`` (long), laid out so that a join on it deals both sides anew.
+
+    The rows are grouped by the key's complement.  A later join on the key then has an
+    exchange on either side, which lets Spark split the rows of a hot key at run time;
+    reusing the aggregate's own layout would forbid that.
+    """
+    return rows.withColumn("__not", F.bitwise_not(key)).groupBy("__not").agg(*aggregates).withColumn(key, F.bitwise_not("__not")).drop("__not")
 
 
 def repeated_spans(docs: DataFrame, w: Windows, text_id: Column, earlier: bool) -> DataFrame:
@@ -147,8 +148,8 @@ def repeated_spans(docs: DataFrame, w: Windows, text_id: Column, earlier: bool)
     # what leads a class: its earliest place, or any where order does not matter
     order = F.struct(F.coalesce("first_id", F.lit(-(1 << 63))).alias("o"), "t", "lo") if earlier else F.xxhash64("t", "lo")
     classes = found.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("least"))
-    kinds = found.groupBy("core").agg(F.count(F.lit(1)).alias("m"), F.min("whole").alias("a"), F.max("whole").alias("b")).where("m > 1").select("core", (F.col("a") != F.col("b")).alias("mixed"))
-    judged = salted_join(classes, kinds, ["core"], "whole").where("n > 1 or mixed")
+    kinds = counted(found, "core", F.count(F.lit(1)).alias("m"), F.min("whole").alias("a"), F.max("whole").alias("b")).where("m > 1").select("core", (F.col("a") != F.col("b")).alias("mixed"))
+    judged = classes.join(kinds.hint("merge"), "core").where("n > 1 or mixed")
     marked = found.join(judged.hint("merge"), ["core", "whole"]).withColumn("leads", F.col("least") == order)
     # settled: all windows of the run repeat.  asked: its windows must be looked up.
     settled = (F.col("n") > 1) & ~F.col("leads") if earlier else F.col("n") > 1
@@ -181,9 +182,12 @@ def repeated_spans(docs: DataFrame, w: Windows, text_id: Column, earlier: bool)
 
     some = texts.join(runs.hint("merge"), "t").select(*TEXTS, "runs").where(F.exists("runs", lambda r: r["asked"]))
     windows = some.mapInArrow(look, "window long, t long, first_id long, lo int, weight int")
-    hits = windows.groupBy("window").agg(F.sum("weight").alias("n"), F.min(order).alias("least")).where("n > 1").select("window", "least")
-    seen = salted_join(windows, hits, ["window"], "t")
-    seen = seen.where(F.col("least") != order) if earlier else seen.where("weight = 1")
+    if earlier:
+        hits = counted(windows, "window", F.sum("weight").alias("n"), F.min(order).alias("least")).where("n > 1").select("window", "least")
+        seen = windows.join(hits.hint("merge"), "window").where(F.col("least") != order)
+    else:
+        hits = counted(windows, "window", F.sum("weight").alias("n")).where("n > 1").select("window")
+        seen = windows.where("weight = 1").join(hits.hint("merge"), "window")
     single = seen.groupBy("t").agg(F.collect_list("lo").alias("single"))
     return texts.join(runs.hint("merge"), "t", "left").join(single.hint("merge"), "t", "left").select(*TEXTS, "runs", "single")
 

@@ -26,7 +26,7 @@ from . import common, repeats
 
 def windows(width: int = 200) -> repeats.Windows:
     gram = 8 if width >= 64 else max(1, width // 8)
-    return repeats.Windows(width, max(1, width * 3 // 5 if width >= 64 else width - gram - width // 2 + 1), gram, False)
+    return repeats.Windows(width, max(1, width * 2 // 5 if width >= 64 else width - gram - width // 2 + 1), gram, False)
 
 
 def remove(docs: DataFrame, width: int = 200, texts: bool = False) -> DataFrame:
