@@ -77,7 +77,7 @@ def distinct_texts(docs: DataFrame, text_id_: Column) -> DataFrame:
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd", compression_level=1)
+        codec = pa.Codec("zstd", compression_level=6)
         for rows, raw, offs in text_steps(batches, "text"):
             whole = raw.tobytes()
             packed = [codec.compress(whole[a:b], asbytes=True) if b > a else b"" for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]

@@ -148,8 +148,9 @@ def repeated_spans(docs: DataFrame, w: Windows, text_id: Column, earlier: bool)
     # what leads a class: its earliest place, or any where order does not matter
     order = F.struct(F.coalesce("first_id", F.lit(-(1 << 63))).alias("o"), "t", "lo") if earlier else F.xxhash64("t", "lo")
     classes = found.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("least"))
-    kinds = counted(found, "core", F.count(F.lit(1)).alias("m"), F.min("whole").alias("a"), F.max("whole").alias("b")).where("m > 1").select("core", (F.col("a") != F.col("b")).alias("mixed"))
-    judged = classes.join(kinds.hint("merge"), "core").where("n > 1 or mixed")
+    kinds = counted(found, "core", F.count(F.lit(1)).alias("m")).where("m > 1").select("core", "m")
+    # mixed: the core also stands in another class
+    judged = classes.join(kinds.hint("merge"), "core").select("core", "whole", "n", "least", (F.col("m") > F.col("n")).alias("mixed")).where("n > 1 or mixed")
     marked = found.join(judged.hint("merge"), ["core", "whole"]).withColumn("leads", F.col("least") == order)
     # settled: all windows of the run repeat.  asked: its windows must be looked up.
     settled = (F.col("n") > 1) & ~F.col("leads") if earlier else F.col("n") > 1
