@@ -196,5 +196,6 @@ def read_index(spark: SparkSession, cfg: ReadConfig, schema: StructType, *, tran
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``docindex`` known to a session."""
+    """Make ``docindex`` known to a session, with filter pushdown, which such readers need."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(DocIndex)
