@@ -64,9 +64,12 @@ def _fail(path: str, what: str) -> Column:
     return F.raise_error(F.lit(f"{MISMATCH}{path}: {what}"))
 
 
-def decode(value: Column, t: DataType, path: str = "value") -> Column:
-    """``value`` (VARIANT) as type ``t``; SQL null and JSON null are null."""
-    kind = F.schema_of_variant(value)
+def decode(value: Column, t: DataType, path: str = "value", kind: Column | None = None) -> Column:
+    """``value`` (VARIANT) as type ``t``; SQL null and JSON null are null.
+
+    ``kind`` is its schema, where a column has it already.
+    """
+    kind = F.schema_of_variant(value) if kind is None else kind
     out = _present(value, t, path, kind)
     return F.when(value.isNull() | (kind == "VOID"), F.lit(None).cast(t)).otherwise(out)
 
@@ -89,12 +92,17 @@ def _number(value: Column, kind: Column, path: str, wanted: str) -> Column:
 
 def _integer(value: Column, kind: Column, t: DataType, path: str) -> Column:
     low, high = _bounds(t)
+    # what a document holds nearly always: a whole number that fits a long
+    whole = F.variant_get(value, "$", "bigint")
+    if not isinstance(t, LongType):
+        whole = F.when(whole.between(low, high), whole).otherwise(_fail(path, f"out of range of {t.simpleString()}").cast("bigint")).cast(t)
     number = _number(value, kind, path, t.simpleString())
-    return (
+    exact = (
         F.when(number != F.floor(number), _fail(path, f"a fraction where {t.simpleString()} is declared").cast(t))
         .when((number < F.lit(low).cast("decimal(38,0)")) | (number > F.lit(high).cast("decimal(38,0)")), _fail(path, f"out of range of {t.simpleString()}").cast(t))
         .otherwise(number.cast("decimal(38,0)").cast(t))
     )
+    return F.when(kind == "BIGINT", whole).otherwise(exact)
 
 
 def _boolean(value: Column, kind: Column, path: str) -> Column:

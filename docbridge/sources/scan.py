@@ -149,16 +149,20 @@ def typed(raw: DataFrame, schema: StructType, cfg: ReadConfig) -> DataFrame:
     The id column is filled from ``_id`` where the document lacks the key; a key that is
     there with null stays null.
     """
-    doc = F.parse_json("_source")
+    names = [f.name for f in schema.fields]
+    quoted = [n.replace("\\", "\\\\").replace('"', '\\"') for n in names]
+    # in steps, each used more than once by the next, so that none is evaluated twice
+    parsed = raw.select("_id", F.parse_json("_source").alias("_doc"))
+    values = parsed.select("_id", *(F.variant_get("_doc", f'$["{q}"]', "variant").alias(f"_v{i}") for i, q in enumerate(quoted)))
+    kinds = values.select("*", *(F.schema_of_variant(f"_v{i}").alias(f"_k{i}") for i in range(len(names))))
     columns = []
-    for f in schema.fields:
-        name = f.name.replace("\\", "\\\\").replace('"', '\\"')
-        value = F.variant_get(F.col("_doc"), f'$["{name}"]', "variant")
-        out = decode(value, f.dataType, f.name)
+    for i, f in enumerate(schema.fields):
+        value = F.col(f"_v{i}")
+        out = decode(value, f.dataType, f.name, F.col(f"_k{i}"))
         if cfg.include_id and f.name == cfg.id_field:
             out = F.when(value.isNull(), _from_id(f.dataType, f.name)).otherwise(out)
         columns.append(out.alias(f.name))
-    return raw.select("_id", doc.alias("_doc")).select(*columns)
+    return kinds.select(*columns)
 
 
 def _from_id(t: DataType, name: str) -> Column:
