@@ -25,7 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """p**i and p**-i for i < n at least; kept up to a few million, else made anew."""
+    """p**i and p**-i for i < n at least; kept up to two million, else made anew."""
     if len(_powers[0]) < n:
         size = 1 << max(12, int(n - 1).bit_length())
         both = []
@@ -34,7 +34,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
             while len(out) < size:
                 out = np.concatenate([out, out * np.uint64(pow(base, len(out), 1 << 64))])
             both.append(out)
-        if size > 1 << 23:
+        if size > 1 << 21:
             return both[0], both[1]
         _powers[:] = both
     return _powers[0], _powers[1]

@@ -15,8 +15,8 @@ must share one of the first n - ceil(t*n) + 1 shingles of each (its prefix).
    the probe is carried along shared starts, and a branch is left as soon as what
    remains is too short to reach the required overlap.
 4. Linked sets fall into components.  Only lists that still hold two components go on,
-   once more with another probe, then block by block: sets that share their least open
-   shingle form blocks of bounded size, and for each two blocks that meet in a list the
+   once more with another probe, then block by block: sets that share their commonest
+   open shingle form blocks of bounded size, and for each two blocks that meet in a list the
    sets of the one probe the tree of the other.  A pair inside one component is not
    tried, as it cannot change the components.
 """
@@ -360,7 +360,10 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _between_blocks(open_: DataFrame, sets: DataFrame, order: Broadcast, percent: int) -> DataFrame:
-    keys = common.checkpoint(open_.groupBy("set").agg(F.min(F.xxhash64("shingle")).alias("key"), F.first("size").alias("size"), F.first("root").alias("root")))
+    # sets go by their commonest open shingle, so that alike ones fill the same few blocks
+    common_ = counted(open_, "shingle", F.count(F.lit(1)).alias("sets"))
+    ranked = open_.join(common.checkpoint(common_).hint("merge"), "shingle")
+    keys = common.checkpoint(ranked.groupBy("set").agg(F.max(F.struct("sets", "shingle")).getField("shingle").alias("key"), F.first("size").alias("size"), F.first("root").alias("root")))
     parts = counted(keys, "key", F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     block = F.xxhash64("key", F.pmod(F.xxhash64("set"), F.col("parts")))
     members = common.checkpoint(keys.join(parts.hint("merge"), "key").select(block.alias("block"), "set", "size", "root"), keys)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: White-space-free spans whose ids a worker remembers.
-MEMORY = 1_000_000
+MEMORY = 500_000
 #: Buckets in which the pieces of a length are ranked, for each million pieces and at least.
 BUCKETS_PER_MILLION, LEAST_BUCKETS = 64, 64
 #: Lengths longer than this are not remembered.
