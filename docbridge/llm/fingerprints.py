@@ -117,7 +117,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def against_edits(docs: DataFrame, bytes_per_part: int = 16 << 20) -> DataFrame:
+def against_edits(docs: DataFrame, bytes_per_part: int = 8 << 20) -> DataFrame:
     """Each text, and its edit with the start of the next document, fingerprinted and compared.
 
     Next means next in the order of doc_id, null first, and of text among equal doc_ids;
@@ -207,4 +207,4 @@ def against_edits(docs: DataFrame, bytes_per_part: int = 16 << 20) -> DataFrame:
         yield from flush(True)
 
     tagged = docs.select(key.alias("k"), F.col("doc_id").cast("long").alias("doc_id"), t.alias("text")).mapInArrow(tag, "k long, doc_id long, text string, part int, ahead boolean")
-    return tagged.repartition(max(n, 1), "part").sortWithinPartitions("part", "ahead", "k", "text").mapInArrow(edit, EDITED)
+    return tagged.repartitionById(n, F.col("part")).sortWithinPartitions("part", "ahead", "k", "text").mapInArrow(edit, EDITED)
