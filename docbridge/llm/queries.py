@@ -58,7 +58,41 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_fingerprints, op3_byte_bpe, op4_jaccard_join, op5_packing, op6_toxicity, op7_url_filters, op8_multi_index, op9_quality, op10_substring_dedup)}
 
+#: Words as the operators see them, for DuckDB.
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_jaccard_join": f"""
+with recursive w as (select doc_id, regexp_extract_all({_LOWER}, {_WORDS}) ws from documents),
+s as (select distinct doc_id, case when len(ws) >= 5 then array_to_string(ws[i:i + 4], ' ') else array_to_string(ws, ' ') end k
+      from w, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) t(i) where len(ws) > 0),
+n as (select doc_id, count(*) n from s group by 1),
+p as (select a.doc_id x, b.doc_id y, count(*) c from s a join s b on a.k = b.k and a.doc_id < b.doc_id group by 1, 2),
+l as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 80 * (nx.n + ny.n - c)),
+e as (select x, y from l union all select y, x from l),
+r(doc_id, reach) as (select doc_id, doc_id from w union select r.doc_id, e.y from r join e on r.reach = e.x)
+select w.doc_id, coalesce(any_value(n.n), 0) n_shingles, min(reach) component_id
+from w join r on r.doc_id = w.doc_id left join n on n.doc_id = w.doc_id group by w.doc_id
+""",
+    "op8_multi_index": """
+with recursive v as (select vec_id, case when len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+                                    then embedding::double[] end e from embeddings),
+l as (select a.vec_id x, b.vec_id y from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95),
+r(vec_id, reach) as (select vec_id, vec_id from v union select r.vec_id, l.y from r join l on r.reach = l.x),
+c as (select vec_id, min(reach) component_id from r group by 1),
+n as (select x vec_id, count(*) n from l group by 1)
+select c.vec_id, coalesce(n.n, 0) n_links, component_id, c.vec_id = component_id kept from c left join n on n.vec_id = c.vec_id
+""",
+    "op10_substring_dedup": f"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS}) ws from documents),
+win as (select doc_id, i, array_to_string(ws[i:i + 19], ' ') k from w, unnest(range(1, len(ws) - 18)) t(i) where len(ws) >= 20),
+dup as (select doc_id, i from (select doc_id, i, row_number() over (partition by k order by doc_id, i) rn from win) where rn > 1),
+cov as (select doc_id, list(distinct p) ps from dup, unnest(range(i, i + 20)) u(p) group by 1),
+j as (select w.doc_id, ws, coalesce(ps, []) ps from w left join cov on cov.doc_id = w.doc_id)
+select doc_id, len(ws) n_words, len(ps) n_removed,
+       sha256(array_to_string(case when len(ps) = 0 then ws else list_filter(ws, lambda x, i: not list_contains(ps, i)) end, ' ')) kept_sha256 from j
+""",
     "op7_url_filters": """
 with u as (select page_id, coalesce(case when contains(url, '://') then substr(url, strpos(url, '://') + 3) end, '') rest from pages),
 p as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
