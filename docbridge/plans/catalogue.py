@@ -157,18 +157,18 @@ def chunking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.groupBy(chunk.cast("long").alias("chunk")).agg(F.count(F.lit(1)).alias("docs"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
 
 
-def _numbered(df: DataFrame, key: str) -> DataFrame:
-    """Rows with their place (_n, from 0) in the order of ``key``, without a single task for all rows.
+def _numbered(df: DataFrame, key: str, *groups: str) -> DataFrame:
+    """Rows with their place (_n, from 0) in the order of ``key`` within ``groups``, without a task for all rows of one.
 
-    Rows are dealt to ranges and sorted; each range starts where the counts of those
-    before it end.
+    Rows are dealt to ranges and sorted; within a group, each range starts where the
+    counts of those before it end.
     """
-    ranged = df.repartitionByRange(key).sortWithinPartitions(key).withColumn("_m", F.monotonically_increasing_id())
-    part, inside = F.shiftright("_m", 33), F.col("_m").bitwiseAND((1 << 33) - 1)
-    ranged = ranged.select(key, part.alias("_p"), inside.alias("_i"))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_c")).select("_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_b"))  # a row for each range
-    return ranged.join(counts, "_p").select(key, (F.col("_b") + F.col("_i")).alias("_n"))
+    ranged = df.repartitionByRange(*groups, key).sortWithinPartitions(*groups, key).withColumn("_m", F.monotonically_increasing_id())
+    ranged = ranged.select(key, *groups, F.shiftright("_m", 33).alias("_p"), F.col("_m").bitwiseAND((1 << 33) - 1).alias("_i"))
+    before = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(*groups, "_p").agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_first"))  # a row for each range and group
+    counts = counts.select(*groups, "_p", (F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first")).alias("_b"))
+    return ranged.join(counts, [*groups, "_p"]).select(key, *groups, (F.col("_b") + F.col("_i")).alias("_n"))
 
 
 def _line_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,10 +272,9 @@ def slice_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 def paging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of each of three slices, in the order of ids."""
     size = ReadConfig(**HOST, index="events").batch_size
-    of_slice = Window.partitionBy("sl").orderBy("event_id")
-    e = table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 3).alias("sl"))
-    e = e.withColumn("pg", F.floor((F.row_number().over(of_slice) - 1) / size).cast("long"))
-    return e.groupBy("sl", "pg").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("search_after"))
+    e = _numbered(table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 3).alias("sl")), "event_id", "sl")
+    page = F.floor(F.col("_n") / size).cast("long").alias("pg")
+    return e.groupBy("sl", page).agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("search_after"))
 
 
 @query
@@ -329,7 +328,7 @@ def scalar_as_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cdc_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = latest_per_key(table(spark, sf_dir, "events"), "user_id", F.col("ts").desc_nulls_last(), F.col("event_id").desc())
+    newest = latest_per_key(table(spark, sf_dir, "events"), "user_id", "ts", "event_id")
     return newest.select("user_id", "event_id", (F.col("event_type") == "error").alias("is_delete"))
 
 

@@ -6,7 +6,7 @@ import logging
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import WriteConfig
@@ -47,7 +47,11 @@ def make_foreach_batch(cfg: WriteConfig, on_batch: Callable[[dict, int], None] |
     return write_batch
 
 
-def latest_per_key(changes: DataFrame, key: str, *order: Column) -> DataFrame:
-    """The newest change of each key: by ``order``, newest first, nulls last."""
-    newest = Window.partitionBy(key).orderBy(*order)
-    return changes.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
+def latest_per_key(changes: DataFrame, key: str, *newest: str) -> DataFrame:
+    """The newest change of each key: greatest in the columns ``newest``, in their order; null is oldest.
+
+    One partial aggregation: a hot key sends one row per task.
+    """
+    whole = F.struct(*(F.col(f"`{c}`") for c in changes.columns))
+    top = changes.groupBy(key).agg(F.max_by(whole, F.struct(*newest)).alias("__row"))
+    return top.select("__row.*")

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from docbridge import ReadConfig, WriteConfig, WriteError, make_foreach_batch, read_index
 from docbridge.sources.store import DocumentStore
@@ -56,5 +55,5 @@ def test_restarts_write_each_row_once(spark, tmp_path):
 
 def test_latest_change_of_each_key(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, 5), ("a", 3, 4), ("b", 1, None)], "k string, v int, ts int")
-    got = latest_per_key(df, "k", F.col("ts").desc_nulls_last(), F.col("v").desc())
+    got = latest_per_key(df, "k", "ts", "v")
     assert sorted((r.k, r.v) for r in got.collect()) == [("a", 2), ("b", 1)]
