@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Most bytes of text that one vectorised step takes (a longer document is a step of its own).
 STEP_BYTES = 1 << 20
@@ -144,6 +145,13 @@ def within(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return seg, np.arange(len(seg)) - np.repeat(starts, counts)
 
 
+def map_rows(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *more: StructField) -> DataFrame:
+    """``run`` over batches of all columns, to which it adds ``more``, whatever the columns' names."""
+    names = [c if c in ("doc_id", "text") else f"__{i}" for i, c in enumerate(docs.columns)]
+    fields = [StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields)]
+    return docs.toDF(*names).mapInArrow(run, StructType([*fields, *more])).toDF(*docs.columns, *(f.name for f in more))
+
+
 def filter_by_text(docs: DataFrame, judge: Callable[[Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]], Iterator[np.ndarray]]) -> DataFrame:
     """Rows that ``judge`` keeps, with all their columns, whatever their names; no shuffle.
 
@@ -157,7 +165,7 @@ def filter_by_text(docs: DataFrame, judge: Callable[[Iterator[tuple[pa.RecordBat
             if masks:
                 yield batch.filter(pa.array(np.concatenate(masks)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)
 
 
 def strings(values: list) -> pa.Array:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField
 
 from . import common, sketch
 from .graph import components
@@ -421,7 +421,7 @@ def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
                 ids += [set_id(h[a:b]) if b > a else None for a, b in zip(edge[:-1], edge[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], [*batch.schema.names, s])
 
-    tagged = docs.mapInArrow(tag, StructType([*docs.schema.fields, StructField(s, LongType())]))
+    tagged = common.map_rows(docs, tag, StructField(s, LongType()))
     empty = tagged.where(F.col(s).isNull()).drop(s)
     wanted = keep.select(F.col("doc_id").alias(d), F.col("set").alias(s))
     full = tagged.where(F.col(s).isNotNull()).withColumn(d, key)

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docbridge.llm import byte_bpe, fingerprints, hashing, jaccard_join, multi_index, packing, quality, substring_dedup, suffix_dedup, toxicity, url_filters
 
@@ -293,7 +294,6 @@ def test_toxicity_held_out(labelled):
 
 
 def test_held_out_labels_are_not_learned(labelled):
-    from pyspark.sql import functions as F
 
     turned = labelled.withColumn("toxic", F.when(toxicity.fold(F.col("doc_id")) == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = toxicity.fit(labelled.drop("toxic"), labelled), toxicity.fit(labelled.drop("toxic"), turned)
@@ -441,3 +441,27 @@ def test_components_of_a_long_chain(spark):
     got = {x.node: x.root for x in run(spark.createDataFrame(e, "a long, b long")).collect()}
     assert got == {i: min(ids[:40]) for i in ids[:40]} | {i: min(ids[40:]) for i in ids[40:]}
     assert run(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_extra_columns_with_clashing_names_change_nothing(spark):
+    data = corpus(n=12)
+    plain = spark.createDataFrame(data, SCHEMA)
+    extra = plain
+    for name in ("t", "set", "core", "whole", "lo", "hi", "runs", "n", "window", "part", "k", "ahead", "size", "root", "length", "start", "piece", "score", "salt", "first_id", "n_rows", "packed", "shingle", "toxic", "quality", "kept", "b.c"):
+        extra = extra.withColumn(name, F.lit("x"))
+
+    def same(f):
+        a, b = (sorted(map(repr, f(df).collect())) for df in (plain, extra))
+        assert a == b and a
+
+    same(lambda d: suffix_dedup.remove(d, 64))
+    same(lambda d: substring_dedup.remove(d, 8))
+    same(fingerprints.against_edits)
+    same(byte_bpe.digest)
+    same(jaccard_join.join)
+    same(lambda d: packing.pack(d).select("doc_id", "piece", "start", "length", "ids_crc32"))
+    same(lambda d: toxicity.score(d, toxicity.Model()))
+    for f in (substring_dedup.clean, jaccard_join.representatives, lambda d: toxicity.select(d, toxicity.Model()), lambda d: quality.select(d, quality.Model(np.array([1.0]), np.zeros(quality.HASHED + quality.COUNTED), np.zeros(0)))):
+        out = f(extra)
+        assert out.columns == extra.columns
+        assert sorted(str(r.doc_id) for r in out.collect()) == sorted(str(r.doc_id) for r in f(plain).collect())
