@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -102,6 +103,8 @@ def packed_steps(batches: Iterator[pa.RecordBatch], most: int = STEP_BYTES) -> I
         for lo, hi in steps(offs, most):
             raw = b"".join([codec.decompress(packed[i].as_py(), int(size[i]), asbytes=True) if size[i] else b"" for i in range(lo, hi)])
             yield batch.slice(lo, hi - lo), np.frombuffer(raw, np.uint8), offs[lo : hi + 1] - offs[lo]
+        del batch, packed, raw
+        release()
 
 
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,6 +130,15 @@ def steps(offsets: np.ndarray, most: int = STEP_BYTES) -> Iterator[tuple[int, in
         lo = hi
 
 
+def release() -> None:
+    """Give freed memory back: workers live on between tasks, and allocators keep what they once had."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def text_steps(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut Arrow batches into steps of bounded size: (rows, bytes, offsets)."""
     for batch in batches:
@@ -135,6 +147,8 @@ def text_steps(batches: Iterator[pa.RecordBatch], column: str = "text", most: in
         raw, offs = text_buffer(batch.column(batch.schema.get_field_index(column)))
         for lo, hi in steps(offs, most):
             yield batch.slice(lo, hi - lo), raw[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
+        del batch, raw, offs
+        release()
 
 
 def within(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: White-space-free spans whose ids a worker remembers.
-MEMORY = 500_000
+MEMORY = 400_000
 #: Buckets in which the pieces of a length are ranked, for each million pieces and at least.
 BUCKETS_PER_MILLION, LEAST_BUCKETS = 64, 64
 #: Lengths longer than this are not remembered.
@@ -137,6 +137,7 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: str | N
                 ids = part.column(0).cast(pa.int64()).take(pa.array(own))
                 t1 = part.column(2).take(pa.array(own))
                 yield pa.RecordBatch.from_arrays([ids, t1, pa.array(own.astype(np.int32)), pa.array(rest[0].astype(np.int32)), *(pa.array(x) for x in rest[1:])], ["doc_id", "t1", "row", "piece", "start", "length", "ids_crc32"])
+            common.release()
 
     return docs.select("doc_id", "text", common.text_id(F.col("text"))[0]).mapInArrow(run, PIECES)
 
