@@ -1,7 +1,9 @@
 """Toxicity by maximum-scoring segments.
 
-Tokens carry log-odds of toxic against clean documents under a Dirichlet prior, taken
-at the lower end of their uncertainty; other tokens cost a little.  A linear scan finds
+Tokens carry posterior log-odds of toxic against clean documents under a Dirichlet prior
+whose pseudo-counts follow the corpus frequencies, less one deviation; other tokens cost
+a little.  The least weight that counts is the one that predicts documents best whose own
+label is left out, so it is not harsher where labels are few or a language is rare.  A linear scan finds
 the passages that no extension or cut improves; how unlikely the best score is in a
 clean text of that length follows an extreme-value (Gumbel) law, fitted to clean
 documents, and a logistic link turns that, for the sum of all maximal segments, into the probability of
@@ -14,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +29,10 @@ LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
 #: Labelled documents that the model learns from, those with the least hashes, by class.
 TOXIC_SAMPLE, CLEAN_SAMPLE = 6000, 12000
-#: Prior count of a feature, deviations taken off its log-odds, least documents, least weight, cap, cost of other tokens.
-PRIOR, DEVIATIONS, LEAST_DOCS, LEAST_WEIGHT, CAP, COST = 0.5, 3.0, 8, 2.5, 6.0, 0.15
+#: Pseudo-documents of the prior for each labelled one, deviations taken off the log-odds, least documents, cap, cost of other tokens.
+PRIOR, DEVIATIONS, LEAST_DOCS, CAP, COST = 0.2, 1.0, 3, 6.0, 0.15
+#: Least weights to choose from.
+LEVELS = (1.0, 1.5, 2.0, 2.5, 3.0)
 #: A word also stands for its beginnings of so many bytes.
 STEMS = (4, 5, 6)
 #: Least probability of no chance passage for one to be listed.
@@ -60,6 +65,20 @@ def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.stack(rows), starts, ends, np.searchsorted(starts, offsets)
 
 
+def weights(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Log-odds, less their deviation, of features found in so many of the documents; 0 where too few are toxic.
+
+    A feature's pseudo-count is PRIOR times the documents that it is found in, so that
+    its weight depends on its own counts and the ratio of the classes alone.
+    """
+    few = (toxic < LEAST_DOCS) | (n_toxic < 1) | (n_clean < 1)
+    toxic = np.maximum(toxic, LEAST_DOCS)
+    own, all_ = PRIOR * (toxic + clean), PRIOR * (n_toxic + n_clean)
+    a, b = toxic + own, clean + own
+    odds = np.log(a / np.maximum(n_toxic + all_ - a, PRIOR)) - np.log(b / np.maximum(n_clean + all_ - b, PRIOR))
+    return np.where(few, 0.0, np.minimum(odds - DEVIATIONS * np.sqrt(1 / a + 1 / b), CAP))
+
+
 @dataclass
 class Model:
     features: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # sorted
@@ -192,22 +211,45 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if n is None or not n["clean"]:
         share = (n is not None) * 0.999 + 0.0005
         return Model(offset=float(np.log(share / (1 - share))))
-    a, b = F.col("toxic") + PRIOR, F.col("clean") + PRIOR
-    odds = F.log(a / (n["toxic"] + 2 * PRIOR - a)) - F.log(b / (n["clean"] + 2 * PRIOR - b))
-    low = odds - DEVIATIONS * F.sqrt(1 / a + 1 / b)
-    # bounded: features in LEAST_DOCS of at most TOXIC_SAMPLE documents and significant
-    found = counts.where("feature <> 0").select("feature", F.least(low, F.lit(CAP)).alias("w")).where(F.col("w") > LEAST_WEIGHT).toPandas()
+
+    def versions(toxic: np.ndarray, clean: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weights as a document outside the sample, a clean and a toxic one of it see them: without its own label."""
+        all_ = n["toxic"], n["clean"]
+        return weights(toxic, clean, *all_), weights(toxic, np.maximum(clean - 1, 0), all_[0], all_[1] - 1), weights(toxic - 1, clean, all_[0] - 1, all_[1])
+
+    def weighty(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(np.max(versions(b.column(2).to_numpy(), b.column(1).to_numpy()), axis=0) > LEVELS[0]))
+
+    # bounded: features in LEAST_DOCS of at most TOXIC_SAMPLE documents, and weighty
+    found = counts.where("feature <> 0").mapInArrow(weighty, counts.schema).toPandas()
     f = found["feature"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(f)
-    model = Model(f[order], found["w"].to_numpy(float)[order])
+    seen_by = [w[order] for w in versions(found["toxic"].to_numpy(np.int64), found["clean"].to_numpy(np.int64))]
+    shared = docs.sparkSession.sparkContext.broadcast([[_model(f[order], w, level) for w in seen_by] for level in LEVELS])
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = shared.value
         for b, raw, offs in common.text_steps(batches):
             h, _, _, first = tokens(raw, offs)
-            s = model.scores(h)
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(evidence(h, s, first)[1]), pa.array(np.diff(first).astype(np.float64)), pa.array([float(np.exp(np.minimum(s[x:y], CAP)).sum()) for x, y in zip(first[:-1], first[1:])])], ["toxic", "best", "length", "mass"])
+            toxic = np.repeat(b.column(1).to_numpy(), np.diff(first)) == 1
+            for level, (_, without_clean, without_toxic) in enumerate(models):
+                s = np.where(toxic, without_toxic.scores(h), without_clean.scores(h))
+                mass = [float(np.exp(np.minimum(s[x:y], CAP)).sum()) for x, y in zip(first[:-1], first[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(offs) - 1, level, np.int32)), b.column(1), pa.array(evidence(h, s, first)[1]), pa.array(np.diff(first).astype(np.float64)), pa.array(mass)], ["level", "toxic", "best", "length", "mass"])
+
+    seen = rows.mapInArrow(best, "level int, toxic int, best double, length double, mass double").toPandas()  # a row for each sampled document and level
+    fitted = [_laws(shared.value[k][0], seen[seen["level"] == k], sizes) for k in range(len(LEVELS))]
+    return min(fitted, key=lambda x: x[0])[1]
+
+
+def _model(features: np.ndarray, w: np.ndarray, level: float) -> Model:
+    some = w > level
+    return Model(features[some], w[some])
+
 
-    seen = rows.mapInArrow(best, "toxic int, best double, length double, mass double").toPandas()  # a row for each sampled document
+def _laws(model: Model, seen: pd.DataFrame, sizes: dict[int, int]) -> tuple[float, Model]:
+    """Fit the Gumbel law and the logistic link to the sample; its weighted log loss, and the model."""
     clean = seen[seen["toxic"] == 0]
     mass = float((clean["mass"].sum() + 1) / (clean["length"].sum() + 1))
     # the rate at which chance scores fall off: E[exp(rate * score)] = 1, with two kinds of tokens
@@ -222,12 +264,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     model.rate = low_
     gumbel = model.rate * clean["best"].to_numpy() - np.log(np.maximum(clean["length"].to_numpy(), 1))
     model.volume = float(np.exp(np.clip(gumbel.mean() - np.euler_gamma, -30, 30)))
-    x = model.surprise(seen["best"].to_numpy(), seen["length"].to_numpy())
+    best, length = seen["best"].to_numpy(), seen["length"].to_numpy()
     y = seen["toxic"].to_numpy(float)
     held = {t: max(1, int((y == t).sum())) for t in (0, 1)}
     weight = np.where(y == 1, sizes.get(1, 1) / held[1], sizes.get(0, 1) / held[0])
-    model.slope, model.offset = _logistic(x, y, weight / weight.mean())
-    return model
+    weight = weight / weight.mean()
+    model.slope, model.offset = _logistic(model.surprise(best, length), y, weight)
+    p = np.clip(model.probability(best, length), 1e-6, 1 - 1e-6)
+    return float(-(weight * np.where(y == 1, np.log(p), np.log(1 - p))).mean()), model
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:

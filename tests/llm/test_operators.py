@@ -307,6 +307,31 @@ def test_toxicity_edges(spark, labelled):
     assert toxicity.score(odd.limit(0), none).count() == 0
 
 
+def test_toxicity_of_few_labels_and_a_rare_language(spark):
+    r = random.Random(11)
+    tongues = [["".join(r.choice(letters) for _ in range(r.randint(2, 6))) for _ in range(150)] for letters in ("abcdeghilmnorstu", "aeiouéèçptk")]
+    bad = [["zvilex", "qudumb", "xscumy"], ["wéfzzi", "wujjok"]]
+    out = []
+    for i in range(450):
+        rare, toxic = int(i % 6 == 0), int(r.random() < 0.15)
+        w = [r.choice(tongues[rare]) for _ in range(r.randint(10, 60))]
+        for _ in range(3 * toxic):
+            w.insert(r.randrange(len(w)), r.choice(bad[rare]))
+        out.append((i, " ".join(w), toxic, rare))
+    df = spark.createDataFrame(out, "doc_id long, text string, toxic int, rare int")
+    held = toxicity.score(df, toxicity.fit(df.select("doc_id", "text"), df)).join(df.select("doc_id", "toxic", "rare"), "doc_id").where(toxicity.fold(F.col("doc_id")) == 0).collect()
+    for rare in (0, 1):
+        assert sum(x.toxic for x in held if x.rare == rare) > 0
+        assert all((x.score >= 0.5) == bool(x.toxic) for x in held if x.rare == rare)
+
+
+def test_toxic_weights_depend_on_own_counts():
+    a, b = np.array([2, 3, 12, 200]), np.array([0, 0, 1, 0])
+    few, many = toxicity.weights(a, b, 50, 300), toxicity.weights(a, b, 5000, 30000)
+    assert few[0] == many[0] == 0 and (few[1:3] > toxicity.LEVELS[0]).all() and abs(few[1:3] - many[1:3]).max() < 0.5
+    assert (np.diff(many[[1, 3]]) > 0).all()
+
+
 def test_best_segments_and_all_segments():
     r = random.Random(2)
     for _ in range(200):
