@@ -376,14 +376,12 @@ def _between_blocks(open_: DataFrame, sets: DataFrame, order: Broadcast, percent
 
 
 def classes(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, n_shingles, set) and the component of each set (set, component_id)."""
+    """Rows (doc_id, n_shingles, set), and of each set its least doc_id and its component (set, least, root)."""
     rows = shingle_sets(docs, n)
     sets = candidates(docs, n, percent)
     nodes = links(sets, percent).select(F.col("node").alias("set"), "root")
     least = rows.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("least"))
-    own = common.checkpoint(least.join(nodes.hint("merge"), "set", "left").select("set", "least", F.coalesce("root", "set").alias("root")))
-    of_root = own.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows, common.checkpoint(own.join(of_root.hint("merge"), "root").select("set", "component_id"), own)
+    return rows, common.checkpoint(least.join(nodes.hint("merge"), "set", "left").select("set", "least", F.coalesce("root", "set").alias("root")))
 
 
 def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -395,7 +393,9 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     component_id is the least doc_id reachable (null doc_ids aside), so equal texts and
     repeated rows share one.  An empty table gives no rows; other columns are ignored.
     """
-    rows, by_set = classes(docs, n, percent)
+    rows, own = classes(docs, n, percent)
+    of_root = own.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_set = common.checkpoint(own.join(of_root.hint("merge"), "root").select("set", "component_id"), own)
     out = rows.join(by_set.hint("merge"), "set", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
@@ -404,12 +404,12 @@ def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     """Rows of ``docs``, with all columns, less the near-copies: of each component the least doc_id stays.
 
     Texts without words have no near-copies and stay.  Of several rows with the least
-    doc_id (repeated rows) one stays; a component whose doc_ids are all null keeps one row.
+    doc_id one stays, also where their texts differ; so does one of a component whose
+    doc_ids are all null.  Components are told apart by their root, not by doc_id.
     """
-    rows, by_set = classes(docs, n, percent)
-    firsts = rows.where("set is not null").join(by_set.hint("merge"), "set").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    firsts = firsts.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("set")).alias("lone")).agg(F.min("set").alias("set"))
-    keep = common.checkpoint(firsts.select(F.col("component_id").alias("doc_id"), "set"))
+    _, own = classes(docs, n, percent)
+    firsts = own.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("doc_id"), F.col("set"))).alias("p"))
+    keep = common.checkpoint(firsts.select("p.doc_id", "p.set"), own)
     d, s, r = ("__doc", "__set", "__place")
     key = F.col("doc_id").cast("long")
 

@@ -209,6 +209,17 @@ def test_representatives(docs, empty, spark):
     assert sorted(str(r.text) for r in jaccard_join.representatives(twice).collect()) == ["None", "None", "a b", "q r"]
 
 
+def test_representatives_with_tied_and_null_doc_ids(spark):
+    one, two = "a b c d e f g h i j k l".split(), "m n o p q r s t u v w x".split()
+    text = lambda w, *more: " ".join([*w, *more])
+    tied = [(1, text(one)), (1, text(two)), (2, text(one, "y")), (3, text(two, "y")), (1, text(one, "z"))]
+    null = [(None, text(one)), (None, text(one, "y")), (None, text(one, "z")), (None, text(two)), (7, text(two, "y"))]
+    kept = lambda rows: sorted(((r.doc_id, r.text[0]) for r in jaccard_join.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert kept(tied) == [(1, "a"), (1, "m")]
+    assert kept(null[:3] + null[4:]) == [(7, "m"), (None, "a")]
+    assert kept(null[3:]) == [(7, "m")]
+
+
 # 5 -- best-fit packing
 
 
