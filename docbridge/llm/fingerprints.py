@@ -1,8 +1,8 @@
 """Order-independent document fingerprints: a homomorphic multiset hash.
 
 A document is the multiset of its paragraphs (lines that hold more than white space).
-Each paragraph has a wide vector of 16-bit lanes; a document's fingerprint is the sum of
-its paragraphs' vectors modulo 2**16, lane by lane.  Adding or removing a paragraph
+Each paragraph has a wide vector of lanes; a document's fingerprint is the sum of its
+paragraphs' vectors lane by lane, modulo 2**16 in the identity lanes and 2**32 in the others.  Adding or removing a paragraph
 adds or subtracts its vector (``combine``, ``remove``), and order does not matter.
 
 The vector has two parts.  The identity lanes are a cryptographic hash of the
@@ -49,9 +49,9 @@ def _paragraphs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def vectors(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Fingerprints (rows x LANES, uint16) of texts given as bytes and offsets."""
+    """Fingerprints (rows x LANES, uint32) of texts given as bytes and offsets."""
     rows = len(offsets) - 1
-    out = np.zeros((rows, LANES), np.uint16)
+    out = np.zeros((rows, LANES), np.uint32)
     starts, ends, own = _paragraphs(raw, offsets)
     if not len(starts):
         return out
@@ -69,7 +69,7 @@ def vectors(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     lane = (h >> np.uint64(56)).astype(np.int64) % LIKENESS_LANES
     sign = ((h >> np.uint64(20)) & np.uint64(1)).astype(np.float64) * 2 - 1
     total = np.bincount(own[seg] * LIKENESS_LANES + lane, weights=sign, minlength=rows * LIKENESS_LANES)
-    out[:, IDENTITY_LANES:] = total.astype(np.int64).reshape(rows, LIKENESS_LANES).astype(np.uint16)
+    out[:, IDENTITY_LANES:] = total.astype(np.int64).reshape(rows, LIKENESS_LANES).astype(np.uint32)
     return out
 
 
@@ -78,30 +78,36 @@ def of_texts(texts: list[str]) -> np.ndarray:
     return vectors(np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64))
 
 
+def _wrap(v: np.ndarray) -> np.ndarray:
+    v[..., :IDENTITY_LANES] &= np.uint32(0xFFFF)
+    return v
+
+
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprint of two documents put together."""
-    return (a + b).astype(np.uint16)
+    return _wrap(a + b)
 
 
 def remove(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Fingerprint of ``a`` without the paragraphs of ``b``."""
-    return (a - b).astype(np.uint16)
+    return _wrap(a - b)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated share of common windows of each pair of rows; 1 for equal fingerprints."""
-    x, y = (v[:, IDENTITY_LANES:].view(np.int16).astype(np.float64) for v in (np.ascontiguousarray(a), np.ascontiguousarray(b)))
+    x, y = (v[:, IDENTITY_LANES:].view(np.int32).astype(np.float64) for v in (np.ascontiguousarray(a), np.ascontiguousarray(b)))
     size = (x * x).sum(1) + (y * y).sum(1)
     share = np.clip(2 * (x * y).sum(1) / np.maximum(size, 1e-9), 0.0, 1.0)
     return np.where((a == b).all(1), 1.0, np.where(size > 0, share, 0.0))
 
 
 def to_text(v: np.ndarray) -> list[str]:
-    return [base64.b64encode(row.astype("<u2").tobytes()).decode() for row in v]
+    return [base64.b64encode(row[:IDENTITY_LANES].astype("<u2").tobytes() + row[IDENTITY_LANES:].astype("<u4").tobytes()).decode() for row in v]
 
 
 def from_text(s: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(s), "<u2").astype(np.uint16)
+    data = base64.b64decode(s)
+    return np.concatenate([np.frombuffer(data, "<u2", IDENTITY_LANES), np.frombuffer(data, "<u4", offset=2 * IDENTITY_LANES)]).astype(np.uint32)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

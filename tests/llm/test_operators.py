@@ -118,6 +118,13 @@ def test_against_edits(docs):
         assert 0 <= r.near_edited <= 1
 
 
+def test_likeness_of_a_long_repetitive_text():
+    text = "a" * 1_000_000
+    v, edited, other = fingerprints.of_texts([text, text[:500_000] + "a short next document", "b" * 1_000_000])
+    assert fingerprints.likeness(v[None], edited[None])[0] > 0.6
+    assert fingerprints.likeness(v[None], other[None])[0] < 0.1
+
+
 def test_fingerprints_are_homomorphic_and_ignore_order():
     a, b, c = "first line\nsecond", "third, longer than the others\n", "x"
     va, vb, vc = fingerprints.of_texts([a, b, c])
