@@ -11,15 +11,24 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-#: Spans of text whose ids are remembered by a worker.
-MEMORY = 600_000
+from . import common
+
+#: Spans of text whose ids are remembered by a worker, and their longest bytes.
+MEMORY, LONGEST_KEPT = 600_000, 64
+#: Bytes of text taken at a time.
+STEP_BYTES = 2 << 20
+#: Visible ASCII, and first bytes of the characters among which other white space is.
+_VISIBLE, _MAY_LEAD_SPACE = np.zeros(256, bool), np.zeros(256, bool)
+_VISIBLE[33:127] = True
+_MAY_LEAD_SPACE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -111,12 +120,14 @@ class RankQueue:
 class ByteBPE:
     """Encoder and decoder for a rank file and a splitting pattern; no special tokens."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cuts: bool):
         self.queue = RankQueue(ranks)
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
+        self.cuts = cuts
         self.pieces: dict[str, tuple[int, ...]] = {}
-        self.spans: dict[str, tuple[int, ...]] = {}
+        self.known: dict[bytes, tuple[int, ...]] = {b"": ()}
+        self.decimal = {v: b"%d" % v for v in self.queue.tokens}
 
     def _piece(self, piece: str) -> tuple[int, ...]:
         ids = self.pieces.get(piece)
@@ -124,43 +135,50 @@ class ByteBPE:
             raw = piece.encode()
             r = self.ranks.get(raw, -1)
             ids = (r,) if r >= 0 else tuple(self.queue.merge(raw))
-            if len(self.pieces) < MEMORY and len(raw) <= 64:
+            if len(self.pieces) < MEMORY and len(raw) <= LONGEST_KEPT:
                 self.pieces[piece] = ids
         return ids
 
-    def _span(self, span: str) -> tuple[int, ...]:
+    def _span(self, span: bytes) -> tuple[int, ...]:
         out: list[int] = []
-        for piece in self.split(span):
+        for piece in self.split(span.decode()):
             out += self._piece(piece)
         ids = tuple(out)
-        if len(self.spans) < MEMORY and len(span) <= 64:
-            self.spans[span] = ids
+        if len(self.known) < MEMORY and len(span) <= LONGEST_KEPT:
+            self.known[span] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text.
+    def spans(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes], list[tuple[int, ...]]]:
+        """Codes of the spans of all rows, each row's first one (n+1 values), and the distinct spans and their ids by code.
 
-        A match of the pattern takes a blank only as its first character or as part of
-        white space alone, so a single blank between two visible characters always
-        starts a match.  Spans between such blanks are looked up as a whole.
+        A match of the default pattern takes a blank only as its first character or as
+        part of white space alone, so a single blank between two visible characters
+        always starts a match, and texts may be cut there.  Another pattern gets its
+        texts whole.
         """
-        spans = text.split(" ")
-        out: list[int] = []
-        known = self.spans.get
-        run = spans[0]  # text since the last certain boundary
-        for s in spans[1:]:
-            if s and not s[0].isspace() and run and not run[-1].isspace():
-                ids = known(run)
-                out += self._span(run) if ids is None else ids
-                run = " " + s
-            else:
-                run = run + " " + s
-        if run:
-            ids = known(run)
-            out += self._span(run) if ids is None else ids
-        return out
+        n = len(raw)
+        lead = np.zeros(n + 1, bool)
+        lead[offsets] = True
+        if n > 2 and self.cuts:
+            visible = _VISIBLE[raw]
+            after = visible | (raw >= 128) & ~_MAY_LEAD_SPACE[raw]
+            # of other scripts: not the last byte of something that may be white space
+            before = visible | (raw >= 128)
+            before[1:] &= ~((raw[:-1] == 0xC2) & (raw[1:] >= 128))
+            before[2:] &= ~((raw[:-2] >= 0xE1) & (raw[:-2] <= 0xE3))
+            lead[1 : n - 1] |= (raw[1:-1] == 32) & before[:-2] & after[2:]
+        starts = np.flatnonzero(lead[:-1])
+        codes, spans = common.span_codes(raw, np.append(starts, n)) if n else (np.zeros(0, np.int64), [])
+        known = self.known.get
+        return codes, np.searchsorted(starts, offsets), spans, [ids if (ids := known(s)) is not None else self._span(s) for s in spans]
 
-    def decode(self, ids: list[int]) -> bytes:
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text."""
+        raw = np.frombuffer(text.encode(), np.uint8)
+        codes, _, _, ids = self.spans(raw, np.array([0, len(raw)]))
+        return [i for c in codes.tolist() for i in ids[c]]
+
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.queue.tokens.__getitem__, ids))
 
 
@@ -172,26 +190,38 @@ def coder(path: str | None = None, pattern: str | None = None) -> ByteBPE:
     if (path, pattern) not in _coders:
         import public_tokenizers
 
-        _coders[path, pattern] = ByteBPE(load_ranks(path or public_tokenizers.path("byte_bpe_50k.tiktoken")), pattern or public_tokenizers.PATTERN)
+        own = pattern or public_tokenizers.PATTERN
+        _coders[path, pattern] = ByteBPE(load_ranks(path or public_tokenizers.path("byte_bpe_50k.tiktoken")), own, own == public_tokenizers.PATTERN)
     return _coders[path, pattern]
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """doc_id, ids (array<int>): null text counts as empty and has no ids.  Row by row, no shuffle."""
+    """doc_id, ids (array<int>) of every whole text, however long.  Row by row, no shuffle.
+
+    Null text counts as empty and has no ids; repeated rows each give a row, an empty
+    table none; other columns are not looked at, whatever their names.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(path, pattern)
-        for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                ids = [c.encode(t or "") for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        for rows, raw, offs in common.text_steps(batches, most=STEP_BYTES):
+            codes, first, _, ids = c.spans(raw, offs)
+            out = [[i for k in codes[a:b].tolist() for i in ids[k]] for a, b in zip(first[:-1], first[1:])]
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return _texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """doc_id, bytes (binary) of a frame of doc_id, ids; null ids count as none."""
+    """doc_id, bytes (binary) of a frame of doc_id, ids.
+
+    Null ids count as none; repeated rows each give a row, an empty table none; other
+    columns are not looked at.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(path, pattern)
@@ -204,20 +234,24 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = No
 def digest(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """Encode, decode and keep digests only, in one pass: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
-    Null text counts as empty: no tokens, digests of nothing.  Repeated rows each give a row.
+    Null text counts as empty: no tokens, digests of nothing.  Repeated rows each give a
+    row, an empty table none; texts are whole, however long; other columns are not looked
+    at, whatever their names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(path, pattern)
-        decimal = {v: str(v) for v in c.queue.tokens}
-        for b in batches:
-            n, a, d = [], [], []
-            col = b.column(1)
-            for i in range(b.num_rows):
-                ids = c.encode(col[i].as_py() or "")
-                n.append(len(ids))
-                a.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                d.append(hashlib.sha256(c.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(np.array(n, np.int64)), pa.array(a, pa.string()), pa.array(d, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        for rows, raw, offs in common.text_steps(batches, most=STEP_BYTES):
+            codes, first, _, ids = c.spans(raw, offs)
+            total = np.concatenate([[0], np.cumsum(np.array(list(map(len, ids)), np.int64)[codes])])
+            written = [b" ".join(map(c.decimal.__getitem__, x)) for x in ids]
+            decoded = list(map(c.decode, ids))
+            codes, edge = codes.tolist(), first.tolist()
+            a, d = [], []
+            for x, y in zip(edge[:-1], edge[1:]):
+                own = codes[x:y]
+                a.append(hashlib.sha256(b" ".join(map(written.__getitem__, own))).hexdigest())
+                d.append(hashlib.sha256(b"".join(map(decoded.__getitem__, own))).hexdigest())
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(total[first])), pa.array(a, pa.string()), pa.array(d, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return _texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -26,7 +26,8 @@ def checkpoint(df: DataFrame, *superseded: DataFrame) -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder and read it back.
 
     The folder is the one that the cluster names in ``spark.checkpoint.dir``; only where
-    that setting is absent (tests, local runs) a temporary one is used.  A written table
+    that setting is absent and all runs in one process (tests, local runs) a temporary
+    one is used.  A written table
     is whole whatever executors are lost later, its size is known to the planner, and
     plans stay small in loops.  Tables go when the application ends; those in
     ``superseded``, earlier results of this function that nothing needs any more, at once.
@@ -35,6 +36,8 @@ def checkpoint(df: DataFrame, *superseded: DataFrame) -> DataFrame:
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder is None:
+        if not sc.master.partition("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="docbridge-")
         sc.setCheckpointDir(folder)
     path = f"{folder.rstrip('/')}/docbridge-{uuid.uuid4().hex}"
@@ -151,6 +154,13 @@ def text_steps(batches: Iterator[pa.RecordBatch], column: str = "text", most: in
         release()
 
 
+def span_codes(raw: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Cut bytes at ``edges`` (from 0 to their number): a code for each span, and the distinct spans by code."""
+    spans = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))])
+    coded = spans.dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary.to_pylist()
+
+
 def within(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For segment sizes: the segment of each element and its place in the segment."""
     counts = np.asarray(counts, np.int64)

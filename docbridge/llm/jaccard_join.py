@@ -10,10 +10,10 @@ must share one of the first n - ceil(t*n) + 1 shingles of each (its prefix).
 2. The candidate sets that are left, one for each distinct set, post the repeated
    shingles of their prefix.  In each posting list one set is the probe for the others
    (a star, so a list of g sets gives g - 1 pairs, not g squared).
-3. The partners of a probe lie in a prefix tree: sorted by the global order, each shares
-   its start with the one before.  The tree is traversed in that order; the overlap with
-   the probe is carried along shared starts, and a branch is left as soon as what
-   remains is too short to reach the required overlap.
+3. The partners of a probe lie in a prefix tree (``Trie``) over the global order.  The
+   overlap with the probe is counted once for a start that many share, and a subtree is
+   left whole as soon as what remains below it or of the probe is too short for the
+   least overlap that any set there requires.
 4. Linked sets fall into components.  Only lists that still hold two components go on,
    once more with another probe, then block by block: sets that share their commonest
    open shingle form blocks of bounded size, and for each two blocks that meet in a list the
@@ -35,15 +35,15 @@ from pyspark.sql.types import LongType, StructField
 
 from . import common, sketch
 from .graph import components
-from .hashing import Rolling, lower_ascii, mix, word_hashes, word_spans
+from .hashing import Runs, lower_ascii, mix, word_hashes, word_spans
 from .repeats import counted
 
 #: Cells of the frequency sketch that only orders shingles (bounded: 4 MB).
 FREQUENCY_BITS = 20
 #: Rounds with one probe for each list, and sets of a block after them.
 ROUNDS, BLOCK = 2, 256
-#: Parts into which the partners of one probe are dealt.
-SALTS = 8
+#: Partners of a probe that one tree holds, and that meet in one task.
+TREE, PARTNERS = 2048, 8192
 
 
 def sets_of(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,11 +51,14 @@ def sets_of(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, n
     raw = lower_ascii(raw)
     starts, ends, first = word_spans(raw, offsets)
     words = np.diff(first)
-    sums = Rolling(word_hashes(raw, starts, ends))
+    runs = Runs(word_hashes(raw, starts, ends), n)
     count = np.where(words > 0, np.maximum(words - n + 1, 1), 0)
     seg, place = common.within(count)
     at = first[seg] + place
-    h = sums.spans(at, np.minimum(at + n, first[seg + 1]))
+    h = np.zeros(len(at), np.uint64)
+    for width in range(1, n + 1):  # fewer than n words are one shingle
+        some = np.flatnonzero(words[seg] == width) if width < n else np.flatnonzero(words[seg] >= n)
+        h[some] = mix(runs.at(at[some], width) ^ np.uint64(width))
     out, sizes = [], np.zeros(len(words), np.int64)
     edge = np.concatenate([[0], np.cumsum(count)])
     for i in range(len(words)):
@@ -185,50 +188,121 @@ def postings(sets: DataFrame, order: Broadcast, percent: int) -> DataFrame:
     return sets.select("set", "size", "shingles").mapInArrow(run, "shingle long, set long, size long")
 
 
+class Node:
+    """A shared run of ranks: places ``start`` to ``end`` of sequence ``of``; what ends there, and what lies below."""
+
+    __slots__ = ("start", "end", "of", "below", "ends", "least", "most", "root")
+
+    def __init__(self, start: int, end: int, of: int):
+        self.start, self.end, self.of = start, end, of
+        self.below: list[Node] = []
+        self.ends: list[int] = []
+        self.least, self.most = 1 << 62, 0  # smallest set and longest sequence in the subtree
+        self.root: int | None = -1  # component that all sets of the subtree share, None if there are several
+
+    def take(self, least: int, most: int, root: int | None, fresh: bool) -> None:
+        self.root = root if fresh or self.root == root else None
+        self.least, self.most = min(self.least, least), max(self.most, most)
+
+
+class Trie:
+    """Prefix tree of the sequences (ascending ranks of a set's shingles) added in sorted order."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.ranks: list[np.ndarray] = []
+        self.sizes: list[int] = []
+        self.roots: list[int] = []
+        self.top = Node(0, 0, 0)
+        self.path = [self.top]
+        self.visited = 0
+
+    def _close(self) -> None:
+        node = self.path.pop()
+        self.path[-1].take(node.least, node.most, node.root, self.path[-1].least == 1 << 62)
+
+    def add(self, ranks: np.ndarray, size: int, root: int) -> None:
+        i = len(self.ranks)
+        before = self.ranks[-1] if self.ranks else ranks[:0]
+        m = min(len(before), len(ranks))
+        differ = np.flatnonzero(before[:m] != ranks[:m])
+        shared = int(differ[0]) if len(differ) else m
+        self.ranks.append(ranks)
+        self.sizes.append(size)
+        self.roots.append(root)
+        while len(self.path) > 1 and self.path[-1].start >= shared:
+            self._close()
+        last = self.path[-1]
+        if last.end > shared:  # the shared start becomes a node of its own above what was there
+            lower = Node(shared, last.end, last.of)
+            lower.below, lower.ends, lower.least, lower.most, lower.root = last.below, last.ends, last.least, last.most, last.root
+            last.end, last.below, last.ends = shared, [lower], []
+        if len(ranks) > shared:
+            node = Node(shared, len(ranks), i)
+            last.below.append(node)
+            self.path.append(node)
+        node = self.path[-1]
+        node.take(size, len(ranks), root, node.least == 1 << 62)
+        node.ends.append(i)
+
+    def probe(self, probe: np.ndarray, size: int, mine: int | None = None, find: Callable[[int], int] = lambda r: r) -> Iterator[int]:
+        """Places of the sequences whose likeness with ``probe`` suffices, less those of the component ``mine``."""
+        while len(self.path) > 1:
+            self._close()
+        need = lambda n: -(-self.percent * (size + n) // (100 + self.percent))  # noqa: E731  percent * union <= 100 * overlap
+        stack = [(self.top, 0, 0)]
+        while stack:
+            node, have, passed = stack.pop()
+            self.visited += 1
+            if have + min(node.most - node.start, len(probe) - passed) < need(node.least):
+                continue  # no set below can reach its overlap
+            if mine is not None and node.root is not None and node.least < 1 << 62 and find(node.root) == find(mine):
+                continue
+            if node.end > node.start:
+                run = self.ranks[node.of][node.start : node.end]
+                at = passed + np.searchsorted(probe[passed:], run)
+                at, run_in = at[at < len(probe)], run[: int(np.count_nonzero(at < len(probe)))]
+                have += int(np.count_nonzero(probe[at] == run_in))
+                passed += int(np.searchsorted(probe[passed:], run[-1], "right"))
+            for i in node.ends:
+                if have >= need(self.sizes[i]) and (mine is None or find(self.roots[i]) != find(mine)):
+                    yield i
+            if have + min(node.most - node.end, len(probe) - passed) >= need(node.least):
+                stack += [(n, have, passed) for n in reversed(node.below)]
+
+
 def verify(pairs: DataFrame, sets: DataFrame, order: Broadcast, percent: int) -> DataFrame:
     """The pairs (probe, set) whose likeness reaches ``percent``, as edges a, b."""
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probe, probe_id, probe_size = np.zeros(0, np.int64), None, 0
-        last, path = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        tree, names = Trie(percent), []
+
+        def linked() -> pa.RecordBatch:
+            found = [names[k] for k in tree.probe(probe, probe_size)] if names else []
+            return pa.RecordBatch.from_arrays([pa.array([probe_id] * len(found), pa.int64()), pa.array(found, pa.int64())], ["a", "b"])
+
         for b in batches:
-            a, c = [], []
             ids, kinds, members, sizes = (b.column(i).to_pylist() for i in (0, 2, 3, 4))
             values, edge = b.column(5).flatten().to_numpy(), np.concatenate([[0], np.cumsum(pa.compute.list_value_length(b.column(5)).to_numpy())])
             for i in range(b.num_rows):
                 own = values[edge[i] : edge[i + 1]]
+                if kinds[i] == 0 or len(names) == TREE:
+                    yield linked()
+                    tree, names = Trie(percent), []
                 if kinds[i] == 0:
                     probe, probe_id, probe_size = own.copy(), ids[i], sizes[i]
-                    last, path = np.zeros(0, np.int64), np.zeros(1, np.int64)
-                    continue
-                # required overlap: percent * union <= 100 * overlap
-                need = -(-percent * (probe_size + sizes[i]) // (100 + percent))
-                # depth to which the branch is shared with the branch before
-                m = min(len(last), len(own), len(path) - 1)
-                differ = np.flatnonzero(last[:m] != own[:m])
-                depth = int(differ[0]) if len(differ) else m
-                path = path[: depth + 1]
-                have = int(path[-1])
-                last = own if len(own) == depth else own.copy()
-                passed = int(np.searchsorted(probe, own[depth - 1], "right")) if depth else 0
-                if have + min(len(own) - depth, len(probe) - passed) < need:
-                    continue
-                rest = own[depth:]
-                at = np.searchsorted(probe, rest)
-                hit = np.zeros(len(rest), np.int64)
-                inside = at < len(probe)
-                hit[inside] = probe[at[inside]] == rest[inside]
-                path = np.concatenate([path, have + np.cumsum(hit)])
-                if int(path[-1]) >= need:
-                    a.append(probe_id)
-                    c.append(members[i])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
+                else:
+                    tree.add(own.copy(), sizes[i], 0)
+                    names.append(members[i])
+        yield linked()
 
     tree = _tree(sets, order)
-    salt = F.pmod(F.xxhash64("set"), F.lit(SALTS)).cast("int")
-    partners = pairs.join(tree.hint("merge"), "set").select("probe", salt.alias("salt"), F.lit(1).alias("kind"), "set", "size", "ranks")
-    probes = pairs.select("probe", salt.alias("salt")).distinct().join(tree.withColumnRenamed("set", "probe").hint("merge"), "probe").select("probe", "salt", F.lit(0).alias("kind"), F.col("probe").alias("set"), "size", "ranks")
+    parts = counted(pairs, "probe", F.ceil(F.count(F.lit(1)) / PARTNERS).alias("parts"))
+    salt = F.pmod(F.xxhash64("set"), F.col("parts")).cast("int")
+    pairs = common.checkpoint(pairs.join(parts.hint("merge"), "probe").select("probe", "set", salt.alias("salt")))
+    partners = pairs.join(tree.hint("merge"), "set").select("probe", "salt", F.lit(1).alias("kind"), "set", "size", "ranks")
+    probes = pairs.select("probe", "salt").distinct().join(tree.withColumnRenamed("set", "probe").hint("merge"), "probe").select("probe", "salt", F.lit(0).alias("kind"), F.col("probe").alias("set"), "size", "ranks")
     dealt = probes.unionAll(partners).repartition("probe", "salt").sortWithinPartitions("probe", "salt", "kind", "ranks")
     return dealt.mapInArrow(traverse, "a long, b long")
 
@@ -246,50 +320,12 @@ def _tree(sets: DataFrame, order: Broadcast) -> DataFrame:
     return sets.select("set", "size", "shingles").mapInArrow(sort, "set long, size long, ranks array<long>")
 
 
-class Branches:
-    """A prefix tree as its sorted sequences and the depth each shares with the one before."""
-
-    def __init__(self, percent: int):
-        self.percent = percent
-        self.ranks: list[np.ndarray] = []
-        self.shared: list[int] = []
-
-    def add(self, ranks: np.ndarray) -> None:
-        before = self.ranks[-1] if self.ranks else ranks[:0]
-        m = min(len(before), len(ranks))
-        differ = np.flatnonzero(before[:m] != ranks[:m])
-        self.shared.append(int(differ[0]) if len(differ) else m)
-        self.ranks.append(ranks)
-
-    def probe(self, probe: np.ndarray, size: int, sizes: list[int], wanted: Callable[[int], bool]) -> Iterator[int]:
-        """Places of the sequences whose likeness with ``probe`` suffices, of those wanted."""
-        path, deep = np.zeros(1, np.int64), 0  # overlap along the current branch, known to depth ``deep``
-        for i, own in enumerate(self.ranks):
-            deep = min(deep, self.shared[i])
-            if not wanted(i):
-                continue
-            need = -(-self.percent * (size + sizes[i]) // (100 + self.percent))
-            have = int(path[deep])
-            passed = int(np.searchsorted(probe, own[deep - 1], "right")) if deep else 0
-            if have + min(len(own) - deep, len(probe) - passed) < need:
-                continue
-            rest = own[deep:]
-            at = np.searchsorted(probe, rest)
-            at[at == len(probe)] = 0
-            path = np.concatenate([path[: deep + 1], have + np.cumsum(probe[at] == rest)]) if len(probe) else np.zeros(len(own) + 1, np.int64)
-            deep = len(own)
-            if int(path[-1]) >= need:
-                yield i
-
-
 def verify_blocks(pairs: DataFrame, members: DataFrame, tree: DataFrame, percent: int) -> DataFrame:
     """Links (edges a, b) between the sets of each two blocks of ``pairs`` that differ in root."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, branches = None, Branches(percent)
+        now, tree = None, Trie(percent)
         names: list[int] = []
-        sizes: list[int] = []
-        roots: list[int] = []
         up: dict[int, int] = {}
 
         def root(v: int) -> int:
@@ -305,21 +341,15 @@ def verify_blocks(pairs: DataFrame, members: DataFrame, tree: DataFrame, percent
             found: list[tuple[int, int]] = []
             for i in range(b.num_rows):
                 if (one[i], two[i]) != now:
-                    now, branches, up = (one[i], two[i]), Branches(percent), {}
-                    names, sizes, roots = [], [], []
+                    now, tree, names, up = (one[i], two[i]), Trie(percent), [], {}
                 ranks = values[edge[i] : edge[i + 1]]
                 if kinds[i] == 0:
-                    branches.add(ranks.copy())
+                    tree.add(ranks.copy(), size[i], top[i])
                     names.append(own[i])
-                    sizes.append(size[i])
-                    roots.append(top[i])
                     continue
-                n = size[i]
-                mine = top[i]
-                fits = lambda k, n=n, mine=mine: root(roots[k]) != root(mine) and min(n, sizes[k]) * 100 >= max(n, sizes[k]) * percent
-                for k in branches.probe(ranks, n, sizes, fits):
+                for k in tree.probe(ranks, size[i], top[i], root):
                     found.append((own[i], names[k]))
-                    up[root(roots[k])] = root(mine)
+                    up[root(tree.roots[k])] = root(top[i])
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
@@ -351,7 +381,7 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
             probes = common.checkpoint(open_.groupBy("shingle").agg(pick.alias("p")).select("shingle", "p.probe", "p.probe_size", "p.probe_root"))
             near = F.least("size", "probe_size") * 100 >= F.greatest("size", "probe_size") * percent
             pairs = open_.join(probes.hint("merge"), "shingle").where("root <> probe_root").where(near).select("probe", "set").distinct()
-            new = verify(common.checkpoint(pairs), sets, order, percent)
+            new = verify(common.checkpoint(pairs, probes), sets, order, percent)
         else:
             new = _between_blocks(open_, sets, order, percent)
         edges = common.checkpoint(new if edges is None else edges.unionAll(new))
@@ -377,7 +407,7 @@ def _between_blocks(open_: DataFrame, sets: DataFrame, order: Broadcast, percent
 
 def classes(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, n_shingles, set), and of each set its least doc_id and its component (set, least, root)."""
-    rows = shingle_sets(docs, n)
+    rows = common.checkpoint(shingle_sets(docs, n))
     sets = candidates(docs, n, percent)
     nodes = links(sets, percent).select(F.col("node").alias("set"), "root")
     least = rows.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("least"))
@@ -391,10 +421,11 @@ def join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     words is one shingle; a text without words (or null) has none, links with nothing
     and is its own component.  Rows link when ``100 * overlap >= percent * union``;
     component_id is the least doc_id reachable (null doc_ids aside), so equal texts and
-    repeated rows share one.  An empty table gives no rows; other columns are ignored.
+    repeated rows share one.  Texts are whole, however long (a text is one step).  An
+    empty table gives no rows; other columns are ignored.
     """
     rows, own = classes(docs, n, percent)
-    of_root = own.groupBy("root").agg(F.min("least").alias("component_id"))
+    of_root = counted(own, "root", F.min("least").alias("component_id"))
     by_set = common.checkpoint(own.join(of_root.hint("merge"), "root").select("set", "component_id"), own)
     out = rows.join(by_set.hint("merge"), "set", "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

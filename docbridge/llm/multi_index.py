@@ -9,8 +9,10 @@ of the sample lies, and of vectors turned away from sampled ones by the widest a
 that still links.  What lies in the visited cells is verified exactly in double
 precision, and each pair is looked for from one side, that of the smaller hash.
 
-Vectors equal in every component are folded first.  A cell with many vectors is dealt to
-blocks of bounded size, to each of which its queries are sent.
+Vectors equal in every component are folded first.  Cells that share the first code lie
+in blocks of bounded size; a query travels once to each block that holds a cell it
+visits, as its components' own bytes, and there finds its cells by the codebooks anew.
+A cell with more vectors than a block is dealt to several.
 """
 
 from __future__ import annotations
@@ -22,16 +24,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from . import common
 from .graph import components
+from .repeats import counted
 
 #: Vectors that the codebooks are fitted on (those with the least hashes), and rounds.
 SAMPLE, ROUNDS, PROBES = 8192, 10, 1024
 #: Codes of a half: about the square root of the vectors over CELL_SIZE, within bounds.
-CELL_SIZE, LEAST_CODES, MOST_CODES = 8, 4, 1024
-#: Vectors of a block of a cell.
-BLOCK = 1024
+CELL_SIZE, LEAST_CODES, MOST_CODES = 16, 4, 1024
+#: Vectors of a block of cells (in double precision that many rows are held by a task).
+BLOCK = 16_384
+#: Queries that meet a block at a time.
+STEP = 1024
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -117,30 +123,31 @@ def limit_for(x: np.ndarray, books: tuple[np.ndarray, np.ndarray], half: int, th
     return min(most, 2 - 2 * threshold) + 1e-9
 
 
-def _matrix(col: pa.Array) -> np.ndarray:
-    flat = col.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(col), -1)
+def _rows(col: pa.Array, kind: str, dim: int) -> np.ndarray:
+    """Unit vectors of a column of packed components."""
+    return unit(np.frombuffer(b"".join(col.to_pylist()), kind).reshape(len(col), dim))
 
 
-def near_duplicates(table: DataFrame, threshold: float = 0.95, recall: float = 0.998) -> DataFrame:
+def near_duplicates(table: DataFrame, threshold: float = 0.95, recall: float = 0.98) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of (vec_id, embedding).
 
     Rows link when their cosine is at least ``threshold``.  Null, empty or zero vectors
     and those with null or non-finite components link with nothing; nor do vectors of
-    different lengths.  Repeated rows are vectors of their own.  component_id is the
-    least vec_id reachable (null vec_ids aside, and null for a null vec_id without
-    links); an empty table gives no rows; other columns, labels too, are ignored.
+    different lengths, each of which has an index of its own.  Repeated rows are vectors
+    of their own.  component_id is the least vec_id reachable (null vec_ids aside, and
+    null for a null vec_id without links); an empty table gives no rows; other columns,
+    labels too, are ignored, whatever their names.
     """
-    spark = table.sparkSession
     e = F.transform("embedding", lambda v: v.cast("double"))
-    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("embedding"))
-    finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    valid = F.coalesce(finite & F.exists("embedding", lambda v: v != 0), F.lit(False))
-    rows = rows.withColumn("v", F.when(valid, F.xxhash64("embedding")))
+    single = isinstance(t := table.schema["embedding"].dataType, ArrayType) and isinstance(t.elementType, FloatType)
+    rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("e"), F.col("embedding") if single else e.alias("embedding"))
+    finite = F.forall("e", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    valid = F.coalesce(finite & F.exists("e", lambda v: v != 0), F.lit(False))
+    rows = rows.withColumn("v", F.when(valid, F.xxhash64("e"))).drop("e")
     folded = rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.any_value("embedding").alias("embedding"))
     folded = common.checkpoint(folded.withColumn("dim", F.size("embedding")))
-    dims = [r["dim"] for r in folded.select("dim").distinct().limit(1000).collect()]
-    out = [_links(folded.where(F.col("dim") == d).drop("dim"), d, threshold, recall) for d in dims]
+    dims = [r["dim"] for r in folded.select("dim").distinct().collect()]  # one number for each length of vectors
+    out = [_links(folded.where(F.col("dim") == d).drop("dim"), d, "<f4" if single else "<f8", threshold, recall) for d in dims]
     if not out:
         none = F.lit(None).cast("long")
         linked = folded.select("v", none.alias("others"), F.col("v").alias("root")).limit(0)
@@ -150,14 +157,71 @@ def near_duplicates(table: DataFrame, threshold: float = 0.95, recall: float = 0
             linked = linked.unionAll(o)
     own = folded.select("v", "least", "n").join(linked.hint("merge"), "v", "left").select("v", "least", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "v").alias("root"))
     own = common.checkpoint(own)
-    of_root = own.groupBy("root").agg(F.min("least").alias("component_id"))
+    of_root = counted(own, "root", F.min("least").alias("component_id"))
     per = own.join(of_root.hint("merge"), "root").select("v", "n_links", "component_id")
     done = rows.select("vec_id", "v").join(common.checkpoint(per).hint("merge"), "v", "left")
     done = done.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("v").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))
     return done.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(folded: DataFrame, dim: int, threshold: float, recall: float) -> DataFrame:
+def layout(counts: np.ndarray, second: int, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """First block and number of blocks of each cell (row-major over ``second`` codes); empty cells have none.
+
+    Neighbouring cells of one first code share a block as long as they fit.
+    """
+    at, parts = np.zeros(len(counts), np.int64), -(-counts // block)
+    now, filled, row = -1, block + 1, -1
+    for c in np.flatnonzero(counts).tolist():
+        if c // second != row or filled + counts[c] > block:
+            row, now, filled = c // second, now + 1, 0
+        at[c] = now
+        filled += int(counts[c])
+        now += int(parts[c]) - 1
+    return at, parts
+
+
+class Block:
+    """Vectors of one block by their second code, and what is known of their links."""
+
+    def __init__(self, names: np.ndarray, sizes: np.ndarray, x: np.ndarray, second: np.ndarray):
+        order = np.argsort(second, kind="stable")
+        self.names, self.sizes, self.x = names[order], sizes[order], x[order]
+        self.codes, self.first = np.unique(second[order], return_index=True)
+        self.first = np.append(self.first, len(order))
+        self.others = np.zeros(len(order), np.int64)
+        self.label = np.arange(len(order))  # least place reached so far
+
+    def probe(self, names: np.ndarray, sizes: np.ndarray, x: np.ndarray, visits: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Links of queries with greater names here: query, a name of its component, rows linked."""
+        q, m = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k, code in enumerate(self.codes.tolist()):
+            rows = np.flatnonzero(visits[:, code])
+            if len(rows):
+                a, b = self.first[k], self.first[k + 1]
+                near = (x[rows] @ self.x[a:b].T >= threshold) & (names[rows, None] < self.names[None, a:b])
+                i, j = np.nonzero(near)
+                q.append(rows[i])
+                m.append(j + a)
+        q, m = np.concatenate(q), np.concatenate(m)
+        np.add.at(self.others, m, sizes[q])
+        order = np.argsort(q, kind="stable")
+        q, m = q[order], m[order]
+        which, first = np.unique(q, return_index=True)
+        total = np.add.reduceat(self.sizes[m], first) if len(q) else np.zeros(0, np.int64)
+        low = np.zeros(len(which), np.int64)
+        for i, hit in enumerate(np.split(m, first[1:]) if len(q) else []):
+            labels = np.unique(self.label[hit])
+            low[i] = labels[0]
+            if len(labels) > 1:
+                self.label[np.isin(self.label, labels[1:])] = labels[0]
+        return names[which], self.names[low], total
+
+    def own(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        some = np.flatnonzero(self.others)
+        return self.names[some], self.names[self.label[some]], self.others[some]
+
+
+def _links(folded: DataFrame, dim: int, kind: str, threshold: float, recall: float) -> DataFrame:
     """v, others (rows linked, without its own copies) and root of the folded vectors of one length."""
     spark = folded.sparkSession
     total = folded.count()
@@ -168,95 +232,90 @@ def _links(folded: DataFrame, dim: int, threshold: float, recall: float) -> Data
     pair = (codebook(x[:, :half], k), codebook(x[:, half:], k) if dim > half else np.zeros((1, 0)))
     books = spark.sparkContext.broadcast(pair)  # at most MOST_CODES centres of each half
     limit = limit_for(x, pair, half, threshold, recall)
+    wide = len(pair[1])
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The vector in its cell (kind 0) and as a query in each cell it visits (kind 1)."""
-        first, second = books.value
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """Rows with their vectors, codes and bounds."""
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                x = unit(_matrix(part.column(2)))
-                own1, far1 = bounds(x[:, :half], first)
-                own2, far2 = bounds(x[:, half:], second)
-                row, cell, kind = [], [], []
-                for i in range(len(x)):
-                    row.append(i)
-                    cell.append(int(own1[i]) * len(second) + int(own2[i]))
-                    kind.append(0)
-                    for p, q in traverse(far1[i], far2[i], limit):
-                        row.append(i)
-                        cell.append(p * len(second) + q)
-                        kind.append(1)
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell, pa.int64()), pa.array(kind, pa.int32()), part.column(0).take(take), part.column(1).take(take), pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32) * dim), pa.array(x[row].ravel()))],
-                    ["cell", "kind", "v", "n", "x"],
-                )
-
-    indexed = folded.select("v", "n", "embedding").mapInArrow(index, "cell long, kind int, v long, n long, x array<double>")
-    blocks = indexed.where("kind = 0").groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = indexed.join(common.checkpoint(blocks).hint("merge"), "cell")  # a visited cell without vectors drops out
-    one = F.array(F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("block", F.explode(F.when(F.col("kind") == 0, one).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
+                flat = part.column(2).flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False)
+                x = unit(flat.reshape(part.num_rows, dim))
+                own1, far1 = bounds(x[:, :half], books.value[0])
+                own2, far2 = bounds(x[:, half:], books.value[1])
+                yield part, flat, own1 * wide + own2, far1, far2
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(0, np.int64)
+        for _, _, cell, _, _ in parts(batches):
+            seen = np.concatenate([seen, cell])
+        cell, n = np.unique(seen, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], ["cell", "n"])
+
+    vectors = folded.select("v", "n", "embedding")
+    counts = np.zeros(len(pair[0]) * wide, np.int64)
+    for r in vectors.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():  # at most MOST_CODES squared
+        counts[r["cell"]] = r["n"]
+    blocks = spark.sparkContext.broadcast(layout(counts, wide))
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The vector in its block (kind 0) and as a query in each block that it visits (kind 1)."""
+        at, deal = blocks.value
+        for part, flat, cell, far1, far2 in parts(batches):
+            names = part.column(0).to_numpy()
+            spread = (names.view(np.uint64) >> np.uint64(20)).astype(np.int64) % deal[cell]
+            row, block = list(range(len(names))), (at[cell] + spread).tolist()
+            for i in range(len(names)):
+                seen: set[int] = set()
+                for p, q in traverse(far1[i], far2[i], limit):
+                    c = p * wide + q
+                    if deal[c]:
+                        seen.update(((p, b) for b in range(at[c], at[c] + deal[c])))
+                row += [i] * len(seen)
+                block += [b for _, b in seen]
+            take = pa.array(row)
+            width = dim * flat.itemsize
+            raw = flat.reshape(-1, dim)[row].tobytes()
+            packed = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(np.arange(0, (len(row) + 1) * width, width, dtype=np.int32)), pa.py_buffer(raw)])
+            kinds = np.zeros(len(row), np.int32)
+            kinds[len(names) :] = 1
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(kinds), part.column(0).take(take), part.column(1).take(take), packed], ["block", "kind", "v", "n", "x"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per block: rows linked to each vector, and a spanning forest of its links."""
-        now, base, size, xs = None, [], [], []
-        tally: dict[int, int] = {}  # rows linked to each vector
-        up: dict[int, int] = {}
-
-        def root(v: int) -> int:
-            while up.setdefault(v, v) != v:
-                up[v] = up[up[v]]
-                v = up[v]
-            return v
-
-        def close() -> Iterator[pa.RecordBatch]:
-            if tally:
-                rows = list(tally)
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array([root(v) for v in rows], pa.int64()), pa.array([tally[v] for v in rows], pa.int64())], ["a", "b", "others"])
-
-        matrix = None
+        """Per block: rows linked to each vector, and edges that join all that is linked."""
+        now, block, members, first = None, None, [], 0
+
+        def out(a: np.ndarray, b: np.ndarray, others: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(others)], ["a", "b", "others"])
+
         for b in batches:
-            cells, blocks_, kinds, vs, ns = (b.column(i).to_pylist() for i in range(5))
-            m = _matrix(b.column(5))
-            i = 0
-            while i < len(cells):
-                key = (cells[i], blocks_[i])
-                if key != now:
-                    yield from close()
-                    now, base, size, xs, matrix = key, [], [], [], None
-                    tally.clear()
-                    up.clear()
-                j = i
-                while j < len(cells) and (cells[j], blocks_[j]) == key and kinds[j] == kinds[i]:
-                    j += 1
-                if kinds[i] == 0:
-                    base += vs[i:j]
-                    size += ns[i:j]
-                    xs.append(m[i:j].copy())
-                elif base:
-                    if matrix is None:
-                        matrix, names, weights = np.concatenate(xs), np.array(base), np.array(size)
-                    for lo in range(i, j, 512):
-                        hi = min(j, lo + 512)
-                        near = m[lo:hi] @ matrix.T >= threshold
-                        near &= np.array(vs[lo:hi])[:, None] < names[None]
-                        for q in np.flatnonzero(near.any(1)).tolist():
-                            hit = np.flatnonzero(near[q])
-                            v = vs[lo + q]
-                            tally[v] = tally.get(v, 0) + int(weights[hit].sum())
-                            r = root(v)
-                            for t in hit.tolist():
-                                tally[base[t]] = tally.get(base[t], 0) + ns[lo + q]
-                                s = root(base[t])
-                                if s != r:
-                                    up[max(r, s)] = min(r, s)
-                                    r = min(r, s)
-                i = j
-        yield from close()
-
-    checked = dealt.select("cell", "block", "kind", "v", "n", "x").repartition("cell", "block").sortWithinPartitions("cell", "block", "kind")
+            ids, kinds = b.column(0).to_numpy(), b.column(1).to_numpy()
+            edges = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (kinds[1:] != kinds[:-1]), [True]]))
+            for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                if ids[i] != now:
+                    if block is not None:
+                        yield out(*block.own())
+                    now, block, members = ids[i], None, []
+                for lo in range(i, j, STEP):
+                    part = b.slice(lo, min(j - lo, STEP))
+                    names, sizes = part.column(2).to_numpy(), part.column(3).to_numpy()
+                    x = _rows(part.column(4), kind, dim)
+                    if kinds[i] == 0:
+                        members.append((names.copy(), sizes.copy(), x))
+                        continue
+                    if not members and block is None:
+                        continue
+                    if block is None:
+                        n, s, m = (np.concatenate(c) for c in zip(*members))
+                        block, members = Block(n, s, m, bounds(m[:, half:], books.value[1])[0]), []
+                        first = int(bounds(m[:1, :half], books.value[0])[0][0])  # all cells of a block share it
+                    far1, far2 = bounds(x[:, :half], books.value[0])[1], bounds(x[:, half:], books.value[1])[1]
+                    yield out(*block.probe(names, sizes, x, far1[:, first][:, None] + far2 <= limit, threshold))
+        if block is not None:
+            yield out(*block.own())
+
+    indexed = vectors.mapInArrow(index, "block long, kind int, v long, n long, x binary")
+    checked = indexed.repartition("block").sortWithinPartitions("block", "kind")
     found = common.checkpoint(checked.mapInArrow(verify, "a long, b long, others long"))
     nodes = components(found.select("a", "b"))
     others = found.groupBy("a").agg(F.sum("others").alias("others"))

@@ -12,9 +12,13 @@ length, however common, meets in one task.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,42 +26,72 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
+from .hashing import spans_of
 
-#: White-space-free spans whose ids a worker remembers.
-MEMORY = 400_000
+#: Spans whose ids a worker remembers.
+MEMORY = 800_000
 #: Buckets in which the pieces of a length are ranked, for each million pieces and at least.
 BUCKETS_PER_MILLION, LEAST_BUCKETS = 64, 64
-#: Lengths longer than this are not remembered.
-LONGEST_KEPT = 64
+#: Bytes up to which a span is remembered, and bytes of text taken at a time.
+LONGEST_KEPT, STEP_BYTES = 64, 4 << 20
+#: Words that the splitting pattern takes as one match, as lower-casing keeps them: letters of Latin-1 alone.
+_PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: ASCII letters; what is parted from a letter before it at the end of a span.
+_LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_STOP[[44, 46]] = True
 
 _tokenizers: dict = {}
 
 
 class SpanTokenizer:
-    """Ids of whole texts, for tokenizers that lower case, drop white space and never merge across it.
+    """Ids of whole texts by the library, each distinct span between blanks and line breaks encoded once.
 
-    Spans between blanks are looked up.  New ones are brought to their core - lower case,
-    without one closing stop or comma after a letter, which the splitting pattern takes
-    by itself - and cores of letters alone are encoded many at a time, as each ends in
-    the one token with the word-end suffix.
+    That is exact for tokenizers that lower case, drop white space and never merge
+    across it; any other file is told by its settings and gets its texts whole.  A closing
+    stop or comma after an ASCII letter is a match of its own.  Plain words are encoded
+    many at a time, as each ends in the one token with the word-end suffix; all other
+    spans by themselves.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            self.cuts = self._by_words(json.load(f))
+        # plain words in lower case are what normalising and splitting leave as they are
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
-        self.stops = {c: self._each([c])[0] for c in ".,"}
+        self.known: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def _by_words(settings: dict) -> bool:
+        """Whether white space only parts words, whatever stands around it."""
+        before, after = settings.get("normalizer") or {}, settings.get("pre_tokenizer") or {}
+        kinds = [x.get("type") for x in before.get("normalizers", [])]
+        split, *rest = after.get("pretokenizers") or [{}]
+        return (
+            kinds == ["NFC", "Replace", "Lowercase"]
+            and before["normalizers"][1].get("pattern") == {"Regex": r"\s+"}
+            and before["normalizers"][1].get("content") == " "
+            and (split.get("type"), split.get("behavior"), split.get("invert")) == ("Split", "Removed", True)
+            and split.get("pattern") == {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+            and [x.get("type") for x in rest] == ["ByteLevel"]
+            and not rest[0].get("add_prefix_space")
+            and (settings.get("model") or {}).get("end_of_word_suffix") == "</w>"
+            and not any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in settings.get("added_tokens", []))
+        )
 
     def _each(self, spans: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(spans, add_special_tokens=False)]
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """Each of ``words`` is one match of letters."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        """Each of ``words`` is one match of letters in lower case."""
+        ids = np.array(self.plain.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
         if len(ends) != len(words) or (len(ends) and ends[-1] != 4 * len(ids)):
             return self._each(words)
@@ -65,43 +99,58 @@ class SpanTokenizer:
         ends = ends.tolist()
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _new(self, spans: list[str]) -> dict[str, bytes]:
-        cores, odd = {}, []
+    def _new(self, spans: list[bytes]) -> dict[bytes, bytes]:
+        known = self.known
+        lower = {s: s.lower() for s in spans if s.isalpha()}  # of bytes: ASCII letters
+        odd = []
         for s in spans:
-            core, stop = (s[:-1], s[-1]) if s[-1] in ".," and s[-2:-1].isalpha() else (s, "")
-            if core.isascii() and core.isalpha():
-                cores[s] = (core.lower(), stop)
-            elif core.isalpha():
-                cores[s] = (core, stop)
-            else:
-                odd.append(s)
-        words = list({c for c, _ in cores.values() if c not in self.known})
-        fresh: dict[str, bytes] = {}
-        for lo in range(0, len(words), 1000):
-            fresh.update(zip(words[lo : lo + 1000], self._words(words[lo : lo + 1000])))
-        out = {s: (fresh[c] if c in fresh else self.known[c]) + (self.stops[stop] if stop else b"") for s, (c, stop) in cores.items()}
-        out.update(fresh)
+            if s not in lower:
+                if _PLAIN.fullmatch(t := s.decode()):
+                    lower[s] = t.lower().encode()
+                else:
+                    odd.append(s)
+        words = {w: known.get(w) for w in set(lower.values())}
+        fresh = [w for w, ids in words.items() if ids is None]
+        for lo in range(0, len(fresh), 1000):
+            part = fresh[lo : lo + 1000]
+            words.update(zip(part, self._words([w.decode() for w in part])))
+        out = {s: words[w] for s, w in lower.items()}
         for lo in range(0, len(odd), 20_000):
-            out.update(zip(odd[lo : lo + 20_000], self._each(odd[lo : lo + 20_000])))
+            part = odd[lo : lo + 20_000]
+            out.update(zip(part, self._each([s.decode() for s in part])))
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
+    def _spans(self, spans: list[bytes]) -> list[bytes]:
         known = self.known
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = self._new(list(set().union(*parts).difference(known)))
-        full = len(known) > MEMORY
-        known.update(new)
-        out = [b"".join(map(known.__getitem__, p)) for p in parts]
-        for s in new if full else [s for s in new if len(s) > LONGEST_KEPT]:
-            del known[s]
+        out = list(map(known.get, spans))
+        new = self._new([s for s, ids in zip(spans, out) if ids is None])
+        if new:
+            out = [new[s] if ids is None else ids for s, ids in zip(spans, out)]
+            known.update(islice(((s, ids) for s, ids in new.items() if len(s) <= LONGEST_KEPT), max(0, MEMORY - len(known))))
         return out
 
+    def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Little-endian 32-bit ids of all rows, and where each row's begin (n+1 values)."""
+        if not self.cuts:
+            whole = raw.tobytes()
+            each = self._each([whole[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
+            return b"".join(each), np.concatenate([[0], np.cumsum([len(x) // 4 for x in each])]).astype(np.int64)
+        solid = (raw != 32) & (raw != 10)
+        starts, ends, _ = spans_of(solid, offsets)
+        if not len(starts):
+            return b"", np.zeros(len(offsets), np.int64)
+        stop = ends[_STOP[raw[ends - 1]] & (ends - starts > 1) & _LETTER[raw[ends - 2]]] - 1
+        lead = np.zeros(len(raw) + 1, bool)
+        lead[starts] = lead[stop] = True
+        edges = np.append(np.flatnonzero(lead[:-1][solid]), int(solid.sum()))
+        codes, spans = common.span_codes(raw[solid], edges)
+        ids = self._spans(spans)
+        total = np.concatenate([[0], np.cumsum(np.array([len(x) // 4 for x in ids], np.int64)[codes])])
+        return b"".join(map(ids.__getitem__, codes.tolist())), total[np.searchsorted(np.flatnonzero(lead), offsets)]
+
 
 def tokenizer(path: str | None = None) -> SpanTokenizer:
     """The tokenizer of a file, kept by the worker; by default the public 49k vocabulary."""
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path not in _tokenizers:
         import public_tokenizers
@@ -117,29 +166,30 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: str | N
     """Pieces of the tokenised documents: doc_id, piece, start, length, ids_crc32.
 
     Null text counts as empty and has the closing id alone; only documents longer than
-    ``capacity`` are cut.  ``t1`` (a hash of the text) and ``row`` (place in its batch)
-    only spread and order the pieces.
+    ``capacity`` are cut, however long they are.  Repeated rows each give their pieces,
+    an empty table none; other columns are not looked at, whatever their names.  ``t1``
+    (a hash of the text) and ``row`` (place in its batch) only spread and order the pieces.
     """
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path)
-        for b in batches:
-            for lo in range(0, b.num_rows, 128):
-                part = b.slice(lo, 128)
-                rows: list[tuple] = []
-                for i, ids in enumerate(tok.encode([t or "" for t in part.column(1).to_pylist()])):
-                    ids += end
-                    for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        cut = ids[at : at + 4 * capacity]
-                        rows.append((i, k, at // 4, len(cut) // 4, zlib.crc32(cut)))
-                own, *rest = (np.array(x, np.int64) for x in zip(*rows))
-                ids = part.column(0).cast(pa.int64()).take(pa.array(own))
-                t1 = part.column(2).take(pa.array(own))
-                yield pa.RecordBatch.from_arrays([ids, t1, pa.array(own.astype(np.int32)), pa.array(rest[0].astype(np.int32)), *(pa.array(x) for x in rest[1:])], ["doc_id", "t1", "row", "piece", "start", "length", "ids_crc32"])
-            common.release()
-
-    return docs.select("doc_id", "text", common.text_id(F.col("text"))[0]).mapInArrow(run, PIECES)
+        for part, raw, offs in common.text_steps(batches, most=STEP_BYTES):
+            ids, first = tok.encode(raw, offs)
+            size = np.diff(first) + 1
+            row, piece = common.within(-(-size // capacity))
+            start = piece * capacity
+            length = np.minimum(size[row] - start, capacity)
+            last = start + length == size[row]
+            at = (first[row] + start) * 4
+            view, crc = memoryview(ids), []
+            for a, n, closed in zip(at.tolist(), (length - last).tolist(), last.tolist()):
+                c = zlib.crc32(view[a : a + 4 * n])
+                crc.append(zlib.crc32(end, c) if closed else c)
+            own = pa.array(row)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(own), part.column(2).take(own), pa.array(row.astype(np.int32)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], ["doc_id", "t1", "row", "piece", "start", "length", "ids_crc32"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), common.text_id(F.col("text"))[0]).mapInArrow(run, PIECES)
 
 
 def fullest(counts: dict[int, int], room: int) -> list[int]:

@@ -1,8 +1,8 @@
 """Quality grades by ordinal cumulative-link regression on hashed text.
 
-A text becomes a vector of hashed features: the shapes of its words (runs of lower
-case, capitals, digits and each kind of punctuation), pairs of neighbouring shapes, and
-how often words repeat.  One weight vector w is shared by all grades; ordered thresholds
+A text becomes a vector of hashed features: its words (in lower case), the shapes of its
+words (runs of lower case, capitals, digits and each kind of punctuation), pairs of
+neighbouring shapes, and how often words repeat.  One weight vector w is shared by all grades; ordered thresholds
 t_1 < t_2 < ... cut the scale: P(grade >= g_k) = sigmoid(w.x - t_k).  The expected grade
 and the tail probability at a chosen grade follow for every text.
 """
@@ -18,19 +18,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .hashing import Rolling, mix, word_hashes, word_spans
+from .hashing import lower_ascii, mix, pair, span_hashes, word_spans
 
 #: Rated documents that the weights are fitted on (bounded): those with the least hashes, for each grade.
 SAMPLE = 4000
-#: Hashed features, besides the few counted ones.
-HASHED = 512
-COUNTED = 8
+#: Hashed features: of shapes, of pairs of shapes, of words; besides the few counted ones.
+PARTS = (256, 256, 512)
+HASHED, COUNTED = sum(PARTS), 8
 #: Rounds and strength of the fit.
 ROUNDS, RIDGE, RATE = 300, 1e-3, 0.05
 #: A document is kept if the probability of the upper grade is at least this.
 KEEP = 0.2
 
-_CLASS = np.arange(256, dtype=np.uint64) + np.uint64(16)
+_CLASS = np.arange(256, dtype=np.uint8)
+_CLASS[:32] = 4
 _CLASS[97:123] = 1
 _CLASS[65:91] = 2
 _CLASS[48:58] = 3
@@ -52,16 +53,17 @@ def vectors(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     lead[starts] = True
     lead[1:] |= kind[1:] != kind[:-1]
     runs = np.flatnonzero(lead)
-    shape = Rolling(mix(kind[runs] * np.uint64(0x9E3779B97F4A7C15))).spans(np.searchsorted(runs, starts), np.searchsorted(runs, ends))
+    shape = span_hashes(kind[runs], np.searchsorted(runs, starts), np.searchsorted(runs, ends))
     row = np.repeat(np.arange(n), words)
     same = row[1:] == row[:-1]
-    pairs = mix(shape[1:] * np.uint64(3) + shape[:-1])[same]
-    size = HASHED // 2
-    for lo, h, r in ((0, shape, row), (size, pairs, row[1:][same])):
-        at = r * size + (h >> np.uint64(40)).astype(np.int64) % size
+    h = span_hashes(lower_ascii(raw), starts, ends)
+    lo = 0
+    for size, f, r in zip(PARTS, (shape, pair(shape[:-1], shape[1:])[same], mix(h)), (row, row[1:][same], row)):
+        at = r * size + (f >> np.uint64(40)).astype(np.int64) % size
         out[:, lo : lo + size] = np.bincount(at, minlength=n * size).reshape(n, size) / some[:, None]
+        lo += size
     out[:, :HASHED] = np.sqrt(out[:, :HASHED])
-    h = word_hashes(raw, starts, ends)
+    h = span_hashes(raw, starts, ends)
     again = np.bincount(row[1:][same & (h[1:] == h[:-1])], minlength=n)
     order = np.lexsort((h, row))
     distinct = np.bincount(row[order][np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (row[order][1:] != row[order][:-1])])], minlength=n)
@@ -73,7 +75,7 @@ def vectors(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     out[:, HASHED + 3] = np.minimum(length / some, 40) / 10
     out[:, HASHED + 4] = np.maximum(0, 5 - words) / 5
     total = np.maximum(np.diff(offsets), 1)
-    cum = np.concatenate([[0], np.cumsum((kind >= 16) & (raw != 32))])
+    cum = np.concatenate([[0], np.cumsum((kind >= 4) & (raw != 32))])
     out[:, HASHED + 5] = (cum[offsets[1:]] - cum[offsets[:-1]]) / total
     cum = np.concatenate([[0], np.cumsum(kind == 2)])
     out[:, HASHED + 6] = (cum[offsets[1:]] - cum[offsets[:-1]]) / total
@@ -109,7 +111,7 @@ def fit_model(x: np.ndarray, rating: np.ndarray) -> Model:
     weight = weight / weight.sum()
     scale = np.maximum(x.std(0), 1e-3)
     centre = x.mean(0)
-    z = (x - centre) / scale
+    z = ((x - centre) / scale).astype(np.float32)
     share = np.array([(weight * (y > j)).sum() for j in range(k)])
     theta = -np.log(np.clip(share, 1e-3, 1 - 1e-3) / np.clip(1 - share, 1e-3, 1))
     steps = np.log(np.maximum(np.diff(theta), 1e-2))
@@ -118,7 +120,7 @@ def fit_model(x: np.ndarray, rating: np.ndarray) -> Model:
     d = z.shape[1]
     for i in range(1, ROUNDS + 1):
         theta = p[d] + np.concatenate([[0], np.cumsum(np.exp(p[d + 1 :]))])
-        tail = 1 / (1 + np.exp(-np.clip((z @ p[:d])[:, None] - theta, -30, 30)))
+        tail = 1 / (1 + np.exp(-np.clip((z @ p[:d].astype(np.float32))[:, None].astype(float) - theta, -30, 30)))
         full = np.concatenate([np.ones((len(z), 1)), tail, np.zeros((len(z), 1))], 1)
         rows = np.arange(len(z))
         chance = np.maximum(full[rows, y] - full[rows, y + 1], 1e-9)
@@ -128,7 +130,7 @@ def fit_model(x: np.ndarray, rating: np.ndarray) -> Model:
         g_theta = np.zeros(k)
         for j in range(k):
             g_theta[j] = -(weight * ((y == j + 1) * slope[:, j] - (y == j) * slope[:, j]) / chance).sum()
-        grad = np.concatenate([z.T @ toward - RIDGE * p[:d], [g_theta.sum()], [g_theta[j + 1 :].sum() * np.exp(p[d + 1 + j]) for j in range(k - 1)]])
+        grad = np.concatenate([z.T @ toward.astype(np.float32) - RIDGE * p[:d], [g_theta.sum()], [g_theta[j + 1 :].sum() * np.exp(p[d + 1 + j]) for j in range(k - 1)]])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         p = p + RATE * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.999**i)) + 1e-8)
     theta = p[d] + np.concatenate([[0], np.cumsum(np.exp(p[d + 1 :]))])
@@ -140,7 +142,9 @@ def fit(docs: DataFrame, ratings: DataFrame, rating: str = "quality") -> Model:
     """Learn from a bounded sample of rated documents; without ratings every text has the one grade.
 
     ``ratings`` has doc_id and a numeric rating; null ratings are left out, of several
-    for one doc_id the least counts.
+    for one doc_id the least counts.  Over 100 different ratings are no grades: ValueError.
+    Each grade's sample is SAMPLE rows, less where there are more than eight grades, so
+    that what comes to the driver has one bound whatever their number.
     """
     rows = ratings.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(rating).cast("double").alias("rating")).where("doc_id is not null and rating is not null").groupBy("doc_id").agg(F.min("rating").alias("rating"))
     grades = [r["rating"] for r in rows.select("rating").distinct().orderBy("rating").limit(101).collect()]
@@ -150,7 +154,7 @@ def fit(docs: DataFrame, ratings: DataFrame, rating: str = "quality") -> Model:
         return Model(np.array([1.0]), np.zeros(HASHED + COUNTED), np.zeros(0))
     picked = None
     for g in grades:
-        part = rows.where(F.col("rating") == g).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+        part = rows.where(F.col("rating") == g).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE * 8 // max(8, len(grades)))
         picked = part if picked is None else picked.unionAll(part)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
@@ -159,10 +163,10 @@ def fit(docs: DataFrame, ratings: DataFrame, rating: str = "quality") -> Model:
             x = vectors(raw, offs)
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array([r.tobytes() for r in x], pa.binary())], ["rating", "x"])
 
-    seen = text.join(F.broadcast(picked), "doc_id").select("doc_id", "rating", "text").mapInArrow(run, "rating double, x binary").toArrow()  # SAMPLE rows for each grade
+    seen = text.join(F.broadcast(picked), "doc_id").select("doc_id", "rating", "text").mapInArrow(run, "rating double, x binary").toArrow()  # at most 8 * SAMPLE rows
     if not seen.num_rows:
         return Model(np.array([max(grades)]), np.zeros(HASHED + COUNTED), np.zeros(0))
-    x = np.frombuffer(b"".join(seen["x"].to_pylist()), np.float32).reshape(seen.num_rows, -1).astype(np.float64)
+    x = np.frombuffer(b"".join(seen["x"].to_pylist()), np.float32).reshape(seen.num_rows, -1)
     return fit_model(x, seen["rating"].to_numpy())
 
 
@@ -185,7 +189,11 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def select(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
-    """Rows of ``docs``, unchanged, whose p_upper is at least ``keep``."""
+    """Rows of ``docs``, unchanged, whose p_upper is at least ``keep``.
+
+    Null text counts as empty; repeated rows are each judged, an empty table gives none;
+    columns keep their names, whatever they are.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(steps: Iterator) -> Iterator[np.ndarray]:

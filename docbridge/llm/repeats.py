@@ -1,21 +1,22 @@
-"""Exact repeated windows of a corpus, by content-defined anchors.
+"""Exact repeated windows of words in a corpus, by content-defined anchors.
 
-A window is ``width`` consecutive units (bytes or words) of one text.  Rolling hashes
-of short grams trigger anchors: of every ``reach`` consecutive grams the least is one.
-Each window thus has an anchor near its start that depends on its content alone, equal
-windows have it at the same place, and each anchor stands for one run of window starts.
+A window is ``width`` consecutive words of one text.  Hashes of short grams trigger
+anchors: of every ``reach`` consecutive grams the least is one.  Each window thus has an
+anchor near its start that depends on its content alone, equal windows have it at the
+same place, and each anchor stands for one run of window starts.
 
-* ``core``: hash of the units from the anchor on that all its windows share.  Windows
+* ``core``: hash of the words from the anchor on that all its windows share.  Windows
   that repeat have a repeated core, so anchors whose core does not repeat are dropped -
   first by a count-min sketch (bounded size, loses none), then exactly.
-* ``whole``: hash of all units that the anchor's windows cover.  If it repeats, all its
+* ``whole``: hash of all words that the anchor's windows cover.  If it repeats, all its
   windows do, and no window need be looked at.  This settles the inside of long copies.
 * What is left are the anchors at the ends of copies: core repeated, whole not.  Only
   for these are the windows themselves hashed and counted.
 
-Copies of whole texts are folded before all that.  Every exchange is keyed by content
-hashes and counted with partial aggregation, and joins are laid out so that Spark can
-split hot keys.
+What decides is keyed by two hashes (core and whole, window and its first words), none of
+which a built text can make collide (see ``hashing``).  Copies of whole texts are folded
+before all that.  Every exchange is keyed by content hashes and counted with partial
+aggregation, and joins are laid out so that Spark can split hot keys.
 """
 
 from __future__ import annotations
@@ -30,34 +31,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, sketch
-from .hashing import Rolling, byte_symbols, mix, sliding_min, word_hashes, word_spans
+from .hashing import Runs, mix, pair, sliding_min, word_hashes, word_spans
 
 
 @dataclass(frozen=True)
 class Windows:
-    """``words``: units are words, else bytes.  ``gram + reach <= width + 1`` must hold."""
+    """``gram + reach <= width + 1`` must hold."""
 
     width: int
     reach: int
     gram: int
-    words: bool
 
-    def units(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
-        """Symbols, each row's first symbol (n+1 values), and the words' spans."""
-        if not self.words:
-            return byte_symbols(raw), offsets, ()
+    def units(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[Runs, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the words and their runs, each row's first word (n+1 values), and the words' spans."""
         starts, ends, first = word_spans(raw, offsets)
-        return word_hashes(raw, starts, ends), first, (starts, ends)
+        return Runs(word_hashes(raw, starts, ends), self.width), first, starts, ends
 
 
-def anchors(sums: Rolling, first: np.ndarray, w: Windows) -> tuple[np.ndarray, ...]:
-    """Row, first and last window start (counted from the step's first unit), core and whole of each anchor."""
+def anchors(runs: Runs, first: np.ndarray, w: Windows) -> tuple[np.ndarray, ...]:
+    """Row, first and last window start (counted from the step's first word), core and whole of each anchor."""
     none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
     sizes = np.diff(first) - w.width + 1
     rows = np.flatnonzero(sizes > 0)
     if not len(rows):
         return none
-    grams = sums.grams(w.gram)
+    grams = mix(runs.all(w.gram))
     high = np.uint64(0xFFFFFFFF00000000)
     least = sliding_min((grams & high) | np.arange(len(grams), dtype=np.uint64), w.reach)
     if len(rows) == 1:
@@ -69,8 +67,10 @@ def anchors(sums: Rolling, first: np.ndarray, w: Windows) -> tuple[np.ndarray, .
     new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     lo, hi, at = start[new], start[np.append(new[1:], len(at)) - 1], at[new]
     row = np.searchsorted(first, lo, "right") - 1
-    core = sums.spans(at, at + w.width - w.reach + 1)
-    whole = mix(sums.spans(lo, hi + w.width) ^ ((at - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    core = mix(runs.at(at, w.width - w.reach + 1))
+    # the first and the last window cover all between them, as they overlap or touch
+    place = ((hi - lo) << 32 | (at - lo)).astype(np.uint64)
+    whole = pair(pair(runs.at(lo, w.width), runs.at(hi, w.width)), place)
     return row, lo, hi, core, whole
 
 
@@ -86,8 +86,8 @@ def prefilter(docs: DataFrame, w: Windows, text_id: Column) -> Broadcast:
                 if t not in seen:
                     seen.add(t)
                     fresh.append(i)
-            sym, first, _ = w.units(raw, offs)
-            row, _, _, core, _ = anchors(Rolling(sym), first, w)
+            runs, first, _, _ = w.units(raw, offs)
+            row, _, _, core, _ = anchors(runs, first, w)
             if len(fresh) < len(ids):
                 keep = np.zeros(len(ids), bool)
                 keep[fresh] = True
@@ -95,32 +95,30 @@ def prefilter(docs: DataFrame, w: Windows, text_id: Column) -> Broadcast:
             yield core
 
     units = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    per_anchor = (w.reach + 1) / 2 * (6 if w.words else 1)
-    return sketch.build(docs.select(F.coalesce("text", F.lit("")).alias("text"), text_id.alias("t")), keys, units / per_anchor)
+    return sketch.build(docs.select(F.coalesce("text", F.lit("")).alias("text"), text_id.alias("t")), keys, units / 6 / ((w.reach + 1) / 2))
 
 
 TEXTS = ["t", "first_id", "n_rows", "n_bytes", "packed"]
 
 
-def counted(rows: DataFrame, key: str, *aggregates: Column) -> DataFrame:
-    """Aggregates by ``key`` (long), laid out so that a join on it deals both sides anew.
+def counted(rows: DataFrame, key: str, *aggregates: Column, more: tuple[str, ...] = ()) -> DataFrame:
+    """Aggregates by ``key`` (long) and ``more``, laid out so that a join on them deals both sides anew.
 
     The rows are grouped by the key's complement.  A later join on the key then has an
     exchange on either side, which lets Spark split the rows of a hot key at run time;
     reusing the aggregate's own layout would forbid that.
     """
-    return rows.withColumn("__not", F.bitwise_not(key)).groupBy("__not").agg(*aggregates).withColumn(key, F.bitwise_not("__not")).drop("__not")
+    return rows.withColumn("__not", F.bitwise_not(key)).groupBy("__not", *more).agg(*aggregates).withColumn(key, F.bitwise_not("__not")).drop("__not")
 
 
-def repeated_spans(docs: DataFrame, w: Windows, text_id: Column, earlier: bool) -> DataFrame:
-    """Distinct texts with the runs of their repeated windows' starts.
+def repeated_spans(docs: DataFrame, w: Windows, text_id: Column) -> DataFrame:
+    """Distinct texts with the runs of the starts of windows that also start earlier.
 
-    ``earlier``: only windows that also start earlier count (smaller doc_id - null
-    first -, then the text's hash, then place in the text); else windows that also
-    start anywhere else.  Copies of whole texts are left to the caller: a distinct text
-    counts as one text here.  Columns as ``common.distinct_texts``, then ``runs`` (array
-    of lo, hi, settled: the settled ones count) and ``single`` (array of further
-    starts), in units of the text; either may be null.
+    Earlier: smaller doc_id - null first -, then the text's hash, then place in the
+    text.  Copies of whole texts are left to the caller: a distinct text counts as one
+    text here.  Columns as ``common.distinct_texts``, then ``runs`` (array of lo, hi,
+    settled: the settled ones count) and ``single`` (array of further starts), in words
+    of the text; either may be null.
 
     One plan without materialised steps: the exchange of the texts is written once and
     reused by its readers.
@@ -131,8 +129,8 @@ def repeated_spans(docs: DataFrame, w: Windows, text_id: Column, earlier: bool)
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = filter_.value
         for rows, raw, offs in common.packed_steps(batches):
-            sym, first, _ = w.units(raw, offs)
-            row, lo, hi, core, whole = anchors(Rolling(sym), first, w)
+            hashes, first, _, _ = w.units(raw, offs)
+            row, lo, hi, core, whole = anchors(hashes, first, w)
             keep = np.flatnonzero(cells.repeated(core))
             if not len(keep):
                 continue
@@ -145,25 +143,24 @@ def repeated_spans(docs: DataFrame, w: Windows, text_id: Column, earlier: bool)
             )
 
     found = texts.mapInArrow(find, "core long, whole long, t long, first_id long, lo int, hi int")
-    # what leads a class: its earliest place, or any where order does not matter
-    order = F.struct(F.coalesce("first_id", F.lit(-(1 << 63))).alias("o"), "t", "lo") if earlier else F.xxhash64("t", "lo")
+    # what leads a class: its earliest place
+    order = F.struct(F.coalesce("first_id", F.lit(-(1 << 63))).alias("o"), "t", "lo")
     classes = found.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("least"))
     kinds = counted(found, "core", F.count(F.lit(1)).alias("m")).where("m > 1").select("core", "m")
     # mixed: the core also stands in another class
     judged = classes.join(kinds.hint("merge"), "core").select("core", "whole", "n", "least", (F.col("m") > F.col("n")).alias("mixed")).where("n > 1 or mixed")
     marked = found.join(judged.hint("merge"), ["core", "whole"]).withColumn("leads", F.col("least") == order)
     # settled: all windows of the run repeat.  asked: its windows must be looked up.
-    settled = (F.col("n") > 1) & ~F.col("leads") if earlier else F.col("n") > 1
+    settled = (F.col("n") > 1) & ~F.col("leads")
     asked = F.col("mixed") & ((F.col("n") == 1) | F.col("leads"))
     runs = marked.where(settled | asked).groupBy("t").agg(F.collect_list(F.struct("lo", "hi", settled.alias("settled"), asked.alias("asked"))).alias("runs"))
 
-    # windows of the runs to look up; weight 2 for what occurs twice by itself
+    # windows of the runs to look up, each with a second hash, of its first words
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, offs in common.packed_steps(batches):
-            sym, first, _ = w.units(raw, offs)
-            sums = Rolling(sym)
-            own, (lo, hi, twice, wanted) = _lists(rows.column(5))
-            own, lo, hi, twice = (x[wanted] for x in (own, lo, hi, twice))
+            hashes, first, _, _ = w.units(raw, offs)
+            own, (lo, hi, _, wanted) = lists(rows.column(5))
+            own, lo, hi = (x[wanted] for x in (own, lo, hi))
             size = (hi - lo + 1).astype(np.int64)
             end = np.cumsum(size)
             a = 0
@@ -173,41 +170,36 @@ def repeated_spans(docs: DataFrame, w: Windows, text_id: Column, earlier: bool)
                 seg = seg + a
                 at = lo[seg] + place
                 start = first[own[seg]] + at
-                h = sums.spans(start, start + w.width)
+                h = mix(hashes.at(start, w.width))
+                head = hashes.at(start, (w.width + 1) // 2) >> np.uint64(32)
                 mine = pa.array(own[seg])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), rows.column(0).take(mine), rows.column(1).take(mine), pa.array(at.astype(np.int32)), pa.array(np.where(twice[seg], 2, 1).astype(np.int32))],
-                    ["window", "t", "first_id", "lo", "weight"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(head.astype(np.uint32).view(np.int32)), rows.column(0).take(mine), rows.column(1).take(mine), pa.array(at.astype(np.int32))], ["window", "head", "t", "first_id", "lo"])
                 a = b
 
     some = texts.join(runs.hint("merge"), "t").select(*TEXTS, "runs").where(F.exists("runs", lambda r: r["asked"]))
-    windows = some.mapInArrow(look, "window long, t long, first_id long, lo int, weight int")
-    if earlier:
-        hits = counted(windows, "window", F.sum("weight").alias("n"), F.min(order).alias("least")).where("n > 1").select("window", "least")
-        seen = windows.join(hits.hint("merge"), "window").where(F.col("least") != order)
-    else:
-        hits = counted(windows, "window", F.sum("weight").alias("n")).where("n > 1").select("window")
-        seen = windows.where("weight = 1").join(hits.hint("merge"), "window")
+    windows = some.mapInArrow(look, "window long, head int, t long, first_id long, lo int")
+    hits = counted(windows, "window", F.count(F.lit(1)).alias("n"), F.min(order).alias("least"), more=("head",)).where("n > 1").select("window", "head", "least")
+    seen = windows.join(hits.hint("merge"), ["window", "head"]).where(F.col("least") != order)
     single = seen.groupBy("t").agg(F.collect_list("lo").alias("single"))
     return texts.join(runs.hint("merge"), "t", "left").join(single.hint("merge"), "t", "left").select(*TEXTS, "runs", "single")
 
 
-def _lists(col: pa.ListArray) -> tuple[np.ndarray, list[np.ndarray]]:
+def lists(col: pa.ListArray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Row and fields of each element of a column of lists of structs."""
     flat = col.flatten()
     own = np.repeat(np.arange(len(col)), pa.compute.list_value_length(col).fill_null(0).to_numpy(zero_copy_only=False))
     return own, [flat.field(i).to_numpy(zero_copy_only=False) for i in range(flat.type.num_fields)]
 
 
-def covered(rows: pa.RecordBatch, first: np.ndarray, width: int) -> np.ndarray:
-    """Which units of the step are in a repeated window; rows as of ``repeated_spans``."""
+def covered(rows: pa.RecordBatch, column: int, first: np.ndarray, width: int) -> np.ndarray:
+    """Which units of the step are in a repeated window; ``runs`` and ``single`` are the columns from ``column`` on."""
     change = np.zeros(int(first[-1]) + 1, np.int32)
-    own, (lo, hi, settled, _) = _lists(rows.column(5))
+    own, (lo, hi, settled, *_) = lists(rows.column(column))
+    settled = settled.astype(bool)
     own, lo, hi = own[settled], lo[settled], hi[settled]
     np.add.at(change, first[own] + lo, 1)
     np.add.at(change, first[own] + hi + width, -1)
-    col = rows.column(6)
+    col = rows.column(column + 1)
     own = np.repeat(np.arange(len(col)), pa.compute.list_value_length(col).fill_null(0).to_numpy(zero_copy_only=False))
     at = first[own] + col.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     np.add.at(change, at, 1)

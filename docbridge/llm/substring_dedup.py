@@ -2,7 +2,8 @@
 
 Partition sketches of all windows' cores are merged; they overestimate counts, so a
 second pass groups exactly only what is estimated to repeat and loses nothing (see
-``sketch`` and ``repeats``).
+``sketch`` and ``repeats``).  Texts may be of any length: a window never needs more than
+its own text, and a text is one step however long it is.
 """
 
 from __future__ import annotations
@@ -16,13 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common, repeats
+from .hashing import word_spans
 
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
 def windows(width: int = 20) -> repeats.Windows:
     gram = min(3, max(1, width // 5))
-    return repeats.Windows(width, max(1, width * 13 // 20 if width >= 8 else width - gram), gram, True)
+    return repeats.Windows(width, max(1, width * 13 // 20 if width >= 8 else width - gram), gram)
 
 
 def remove(docs: DataFrame, width: int = 20, texts: bool = False) -> DataFrame:
@@ -38,12 +40,12 @@ def remove(docs: DataFrame, width: int = 20, texts: bool = False) -> DataFrame:
     """
     w = windows(width)
     text_id = common.exact_text_id(docs)
-    spans = repeats.repeated_spans(docs, w, text_id, earlier=True)
+    spans = repeats.repeated_spans(docs, w, text_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, offs in common.packed_steps(batches):
-            _, first, (starts, ends) = w.units(raw, offs)
-            gone = repeats.covered(rows, first, width)
+            _, _, first = word_spans(raw, offs)
+            gone = repeats.covered(rows, 5, first, width)
             whole = raw.tobytes()
             n, r, sha, left = [], [], [], []
             for i in range(rows.num_rows):
@@ -79,13 +81,13 @@ def clean(docs: DataFrame, width: int = 20) -> DataFrame:
     t, kept, gone, first = "__t", "__kept", "__gone", "__first"
     w = windows(width)
     text_id = common.exact_text_id(docs)
-    spans = repeats.repeated_spans(docs, w, text_id, earlier=True)
+    spans = repeats.repeated_spans(docs, w, text_id)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Texts that lose words, or that copies must lose."""
         for rows, raw, offs in common.packed_steps(batches):
-            _, begin, _ = w.units(raw, offs)
-            lost = repeats.covered(rows, begin, width)
+            _, _, begin = word_spans(raw, offs)
+            lost = repeats.covered(rows, 5, begin, width)
             whole = raw.tobytes()
             copies = rows.column(2).to_numpy()
             take, left, removed = [], [], []

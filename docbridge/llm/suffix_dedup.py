@@ -1,32 +1,192 @@
 """Suffix-array dedup by prefix-free parsing.
 
-Rolling-hash triggers cut every text into phrases (``repeats.anchors``): a phrase
-boundary depends on content alone, so repeated text is parsed alike wherever it stands.
-A suffix of the corpus is an offset into a phrase followed by a suffix of the parse.
-Only its order up to ``width`` bytes matters here, and only as equality: suffixes with
-the same first ``width`` bytes are neighbours in corpus order.  So parse suffixes are
-not ranked lexicographically but named by the hash of that prefix, which needs no
-global sort: names of parse suffixes (``core``), of whole phrases with their context
-(``whole``), and, where the two disagree - at the ends of copies -, of each suffix that
-starts inside the phrase.
+The corpus is parsed into overlapping phrases, suffixes are sorted for the dictionary of
+distinct phrases alone, and strings that start twice are read off neighbours in the
+resulting order (``prefix_free``).
+
+1. Rolling-hash triggers: of every ``reach`` consecutive grams the one with the least
+   hash is an anchor.  Each ``width``-byte string has one among its first grams, equal
+   strings have it at the same place.  A phrase is an anchor with all bytes of the
+   strings that start by it, so each string lies in exactly one phrase.  What follows the
+   anchor in each of its strings is the phrase's core: equal strings lie in phrases with
+   equal cores, and phrases whose core occurs once are dropped, first by a count-min
+   sketch that loses none, then exactly.
+2. The dictionary holds each distinct phrase with its count.  All strings of a phrase
+   that occurs twice do so too.
+3. Distinct phrases that share their core meet, and their suffixes are put in corpus
+   order; neighbours with ``width`` bytes in common start equal strings.
+
+A core with more than MOST distinct phrases (the start of a passage that very many texts
+hold) would meet in one task; its strings are counted by two hashes instead, which deals
+them by content.  Copies of whole texts are folded before all that.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import common, repeats
+from . import common, sketch
+from .hashing import _KEEP, eights, mix, pair, sliding_min
+from .prefix_free import repeated_starts
+from .repeats import counted, covered, lists
+
+#: Distinct phrases of one core that are sorted together, and bytes of phrases sorted at a time.
+MOST, SORTED_BYTES = 1024, 1 << 20
+TEXTS = ["t", "n_rows", "n_bytes", "packed"]
+
 
+@dataclass(frozen=True)
+class Strings:
+    """``gram + reach <= width + 1`` must hold."""
 
-def windows(width: int = 200) -> repeats.Windows:
+    width: int
+    reach: int
+    gram: int
+
+
+def strings(width: int = 200) -> Strings:
     gram = 8 if width >= 64 else max(1, width // 8)
-    return repeats.Windows(width, max(1, width * 2 // 5 if width >= 64 else width - gram - width // 2 + 1), gram, False)
+    return Strings(width, max(1, width * 2 // 5 if width >= 64 else width - gram - width // 2 + 1), gram)
+
+
+def fixed(whole: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Hash of ``length`` bytes from each place on; ``whole``: the 8 bytes from each place on."""
+    if length < 8:
+        return mix(whole[at] & _KEEP[length])
+    h = np.full(len(at), length, np.uint64)
+    for o in range(0, length - 7, 8):
+        h = pair(h, whole[at + o])
+    return pair(h, whole[at + (length - 8)]) if length % 8 else h
+
+
+def phrases(whole: np.ndarray, first: np.ndarray, s: Strings) -> tuple[np.ndarray, ...]:
+    """Row, first and last string start, core and content (two hashes) of each phrase of a step's texts."""
+    sizes = np.diff(first) - s.width + 1
+    rows = np.flatnonzero(sizes > 0)
+    if not len(rows):
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+    grams = mix(whole if s.gram == 8 else whole & _KEEP[s.gram])[: len(whole) - s.gram + 1]
+    least = sliding_min((grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64), s.reach)
+    seg, place = common.within(sizes[rows])
+    start = first[rows][seg] + place
+    at = (least[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    lo, hi, at = start[new], start[np.append(new[1:], len(at)) - 1], at[new]
+    core = mix(fixed(whole, at, s.width - s.reach + 1))
+    place = ((hi - lo) << 32 | (at - lo)).astype(np.uint64)
+    content = pair(pair(fixed(whole, lo, s.width), fixed(whole, hi, s.width)), place)
+    return np.searchsorted(first, lo, "right") - 1, lo, hi, core, content
+
+
+def _prefilter(docs: DataFrame, s: Strings, text_id: Column) -> Broadcast:
+    """Sketch of all cores.  Copies of a text within a task are counted once."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        seen: set[int] = set()
+        for rows, raw, offs in common.text_steps(batches):
+            ids = rows.column(1).to_pylist()
+            keep = np.zeros(len(ids), bool)
+            for i, t in enumerate(ids):
+                if t not in seen:
+                    seen.add(t)
+                    keep[i] = True
+            row, _, _, core, _ = phrases(eights(raw), offs, s)
+            yield core[keep[row]]
+
+    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    return sketch.build(docs.select(F.coalesce("text", F.lit("")).alias("text"), text_id.alias("t")), keys, 2 * total / (s.reach + 1))
+
+
+def _repeated(docs: DataFrame, s: Strings, text_id: Column) -> DataFrame:
+    """Distinct texts (TEXTS) with ``runs`` (lo, hi, settled: all strings of the settled ones repeat) and ``single`` starts."""
+    filter_ = _prefilter(docs, s, text_id)
+    texts = common.distinct_texts(docs, text_id).select(*TEXTS)
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = filter_.value
+        for rows, raw, offs in common.packed_steps(batches):
+            row, lo, hi, core, content = phrases(eights(raw), offs, s)
+            keep = np.flatnonzero(cells.repeated(core))
+            row = row[keep]
+            base = offs[row]
+            yield pa.RecordBatch.from_arrays([pa.array(core[keep].view(np.int64)), pa.array(content[keep].view(np.int64)), rows.column(0).take(pa.array(row)), pa.array((lo[keep] - base).astype(np.int32)), pa.array((hi[keep] - base).astype(np.int32))], ["core", "content", "t", "lo", "hi"])
+
+    found = texts.mapInArrow(parse, "core long, content long, t long, lo int, hi int")
+    place = F.xxhash64("t", "lo")  # any one place stands for a distinct phrase
+    dictionary = found.groupBy("core", "content").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least"))
+    cores = counted(dictionary, "core", F.count(F.lit(1)).alias("several"), F.max("n").alias("often")).where("several > 1 or often > 1").select("core", "several")
+    judged = dictionary.join(cores.hint("merge"), "core").select("core", "content", "n", "least", "several").where("n > 1 or several > 1")
+    marked = found.join(judged.hint("merge"), ["core", "content"])
+    settled, asked = F.col("n") > 1, (F.col("several") > 1) & (F.col("least") == place)
+    runs = marked.where(settled | asked).groupBy("t").agg(F.collect_list(F.struct("lo", "hi", settled.alias("settled"), asked.alias("asked"), (F.col("several") > MOST).alias("many"), "core")).alias("runs"))
+    some = texts.join(runs.hint("merge"), "t").select(*TEXTS, "runs").where(F.exists("runs", lambda r: r["asked"]))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The bytes of the phrases to sort."""
+        for rows, raw, offs in common.packed_steps(batches):
+            own, (lo, hi, settled, asked, many, core) = lists(rows.column(4))
+            pick = np.flatnonzero(asked & ~many)
+            a, b = offs[own[pick]] + lo[pick], offs[own[pick]] + hi[pick] + s.width
+            whole = raw.tobytes()
+            for x in range(0, len(pick), 4096):
+                k = pick[x : x + 4096]
+                yield pa.RecordBatch.from_arrays([pa.array(core[k]), rows.column(0).take(pa.array(own[k])), pa.array(lo[k]), pa.array(settled[k]), pa.array([whole[i:j] for i, j in zip(a[x : x + 4096].tolist(), b[x : x + 4096].tolist())], pa.binary())], ["core", "t", "lo", "settled", "bytes"])
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Starts of strings that neighbours in corpus order share; whole groups of a core at a time."""
+        held: list[tuple] = []
+        size, now = 0, None
+
+        def out() -> pa.RecordBatch:
+            data = [h[3] for h in held]
+            offs = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
+            twice = np.flatnonzero(repeated_starts(np.frombuffer(b"".join(data), np.uint8), offs, s.width))
+            row = np.searchsorted(offs, twice, "right") - 1
+            fresh = ~np.array([h[2] for h in held], bool)[row]
+            row, at = row[fresh], (twice - offs[row])[fresh]
+            return pa.RecordBatch.from_arrays([pa.array([h[0] for h in held], pa.int64()).take(pa.array(row)), pa.array((np.array([h[1] for h in held], np.int64)[row] + at).astype(np.int32))], ["t", "lo"])
+
+        for b in batches:
+            for core, t, lo, settled, data in zip(*(b.column(i).to_pylist() for i in range(5))):
+                if core != now and size > SORTED_BYTES:
+                    yield out()
+                    held, size = [], 0
+                now = core
+                held.append((t, lo, settled, data))
+                size += len(data)
+        if held:
+            yield out()
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The strings of phrases with a very common core, each by two hashes; weight 2 for what occurs twice by itself."""
+        for rows, raw, offs in common.packed_steps(batches):
+            whole = eights(raw)
+            own, (lo, hi, settled, asked, many, _) = lists(rows.column(4))
+            pick = asked & many
+            own, lo, hi, twice = (x[pick] for x in (own, lo, hi, settled))
+            for x in range(0, len(lo), 512):
+                seg, place = common.within((hi - lo + 1)[x : x + 512])
+                seg = seg + x
+                at = lo[seg] + place
+                start = offs[own[seg]] + at
+                head = fixed(whole, start, s.width // 2) >> np.uint64(32)
+                yield pa.RecordBatch.from_arrays([pa.array(mix(fixed(whole, start, s.width)).view(np.int64)), pa.array(head.astype(np.uint32).view(np.int32)), rows.column(0).take(pa.array(own[seg])), pa.array(at.astype(np.int32)), pa.array(np.where(twice[seg], 2, 1).astype(np.int32))], ["string", "head", "t", "lo", "weight"])
+
+    cuts = some.mapInArrow(cut, "core long, t long, lo int, settled boolean, bytes binary")
+    read_off = cuts.repartition("core").sortWithinPartitions("core").mapInArrow(sort, "t long, lo int")
+    hashed = some.mapInArrow(look, "string long, head int, t long, lo int, weight int")
+    hits = counted(hashed, "string", F.sum("weight").alias("n"), more=("head",)).where("n > 1").select("string", "head")
+    also = hashed.where("weight = 1").join(hits.hint("merge"), ["string", "head"]).select("t", "lo")
+    single = read_off.unionAll(also).groupBy("t").agg(F.collect_list("lo").alias("single"))
+    return texts.join(runs.hint("merge"), "t", "left").join(single.hint("merge"), "t", "left").select(*TEXTS, "runs", "single")
 
 
 def remove(docs: DataFrame, width: int = 200, texts: bool = False) -> DataFrame:
@@ -34,17 +194,18 @@ def remove(docs: DataFrame, width: int = 200, texts: bool = False) -> DataFrame:
 
     Each byte in a ``width``-byte string that also starts anywhere else, in the same
     document or another row, is removed; strings are judged on the input.  Null text
-    counts as empty; a repeated row is a document of its own, so its text starts
-    elsewhere too; an empty table gives no rows; other columns are ignored.
+    counts as empty; texts are whole, however long; a repeated row is a document of its
+    own, so its text starts elsewhere too; an empty table gives no rows; other columns
+    are ignored.
     """
-    w = windows(width)
+    s = strings(width)
     own = common.exact_text_id(docs)
-    spans = repeats.repeated_spans(docs, w, own, earlier=False)
+    spans = _repeated(docs, s, own)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, offs in common.packed_steps(batches):
-            gone = repeats.covered(rows, offs, width)
-            copies = rows.column(2).to_numpy() > 1
+            gone = covered(rows, 4, offs, width)
+            copies = rows.column(1).to_numpy() > 1
             out: list[list] = [[], [], [], [], []]
             for i in range(rows.num_rows):
                 a, b = int(offs[i]), int(offs[i + 1])

@@ -5,9 +5,10 @@ whose pseudo-counts follow the corpus frequencies, less one deviation; other tok
 a little.  The least weight that counts is the one that predicts documents best whose own
 label is left out, so it is not harsher where labels are few or a language is rare.  A linear scan finds
 the passages that no extension or cut improves; how unlikely the best score is in a
-clean text of that length follows an extreme-value (Gumbel) law, fitted to clean
-documents, and a logistic link turns that, for the sum of all maximal segments, into the probability of
-the label.
+clean text of that length follows an extreme-value (Gumbel) law, fitted to the best
+scores of clean documents.  Each passage's score is measured by that law; a document's
+evidence is that of its best passage and of every further one beyond what chance shows,
+and a logistic link turns it into the probability of the label.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .hashing import Rolling, byte_symbols, lower_ascii, mix
+from .hashing import eights, lower_ascii, mix, span_hashes, spans_of
 
 #: Letters are A-Z, a-z and all bytes of other scripts.
 LETTER = np.zeros(256, bool)
@@ -48,21 +49,13 @@ def fold(doc_id: Column) -> Column:
 def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Features (hashes) x tokens, 0 for none; starts, ends; and each row's first token (n+1 values)."""
     raw = lower_ascii(raw)
-    n = len(raw)
-    if not n:
-        return np.zeros((1 + len(STEMS), 0), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    solid = LETTER[raw]
-    cut = np.zeros(n + 1, bool)
-    cut[offsets] = True
-    first, last = solid.copy(), solid.copy()
-    first[1:] &= ~solid[:-1] | cut[1:n]
-    last[:-1] &= ~solid[1:] | cut[1:n]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    sums = Rolling(byte_symbols(raw))
-    rows = [sums.spans(starts, ends)]
-    for i, k in enumerate(STEMS):
-        rows.append(np.where(ends - starts >= k, mix(sums.spans(starts, np.minimum(starts + k, ends)) + np.uint64(i + 1)), np.uint64(0)))
-    return np.stack(rows), starts, ends, np.searchsorted(starts, offsets)
+    starts, ends, first = spans_of(LETTER[raw], offsets)
+    rows = [span_hashes(raw, starts, ends)]
+    begin = eights(raw)[starts] if len(starts) else np.zeros(0, np.uint64)
+    for k in STEMS:
+        stem = mix((begin & np.uint64((1 << 8 * k) - 1)) ^ np.uint64(k << 56))
+        rows.append(np.where(ends - starts >= k, stem, np.uint64(0)))
+    return np.stack(rows), starts, ends, first
 
 
 def weights(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
@@ -112,8 +105,19 @@ class Model:
         """Probability of such a segment in a clean text."""
         return -np.expm1(-np.exp(-np.clip(self.surprise(best, length), -30, 700)))
 
-    def probability(self, best: np.ndarray, length: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.surprise(best, length) + self.offset, -500, 500)))
+    def evidence(self, best: np.ndarray, row: np.ndarray, value: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Surprise of each row's best passage, and of its other passages (``row``, ``value``: all of them) where positive."""
+        own = self.surprise(best, length)
+        beyond = np.bincount(row, weights=np.maximum(self.surprise(value, length[row]), 0), minlength=len(best))
+        return own + beyond - np.where(best > 0, np.maximum(own, 0), 0)
+
+    def probability(self, evidence: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * evidence + self.offset, -500, 500)))
+
+    def judge(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Probability of each row from its tokens' features."""
+        best, row, value = passages(h, self.scores(h), first)
+        return self.probability(self.evidence(best, row, value, np.diff(first)))
 
 
 def best_segments(s: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -153,8 +157,8 @@ def segments(s: np.ndarray) -> list[tuple[int, int, float]]:
     return [(int(a), int(b), y - x) for a, b, x, y, _ in out]
 
 
-def evidence(h: np.ndarray, s: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's best segment and the sum of all its maximal segments.
+def passages(h: np.ndarray, s: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's best segment; row and score of all maximal segments.
 
     A token that only repeats the one before it is no further evidence.
     """
@@ -163,10 +167,12 @@ def evidence(h: np.ndarray, s: np.ndarray, first: np.ndarray) -> tuple[np.ndarra
         again = again[~np.isin(again, first)]
         s[again] = np.minimum(s[again], -COST)
     best = best_segments(s, first)
-    total = best.copy()
+    row, value = [], []
     for i in np.flatnonzero(best > 0).tolist():
-        total[i] = sum(v for _, _, v in segments(s[first[i] : first[i + 1]]))
-    return best, total
+        found = [v for _, _, v in segments(s[first[i] : first[i + 1]])]
+        row += [i] * len(found)
+        value += found
+    return best, np.array(row, np.int64), np.array(value, float)
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
@@ -206,10 +212,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                     both = (zero, n[part]) if toxic else (n[part], zero)
                     yield pa.RecordBatch.from_arrays([pa.array(f[part].view(np.int64)), pa.array(both[0]), pa.array(both[1])], ["feature", "clean", "toxic"])
 
-    counts = common.checkpoint(rows.mapInArrow(count, "feature long, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= LEAST_DOCS))
+    counts = common.checkpoint(rows.mapInArrow(count, "feature long, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where((F.col("toxic") >= LEAST_DOCS) | (F.col("feature") == 0)))
     n = counts.where("feature = 0").first()
-    if n is None or not n["clean"]:
-        share = (n is not None) * 0.999 + 0.0005
+    if n is None or not n["clean"] or not n["toxic"]:
+        share = 0.9995 if n is not None and n["toxic"] else 0.0005
         return Model(offset=float(np.log(share / (1 - share))))
 
     def versions(toxic: np.ndarray, clean: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -236,9 +242,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             for level, (_, without_clean, without_toxic) in enumerate(models):
                 s = np.where(toxic, without_toxic.scores(h), without_clean.scores(h))
                 mass = [float(np.exp(np.minimum(s[x:y], CAP)).sum()) for x, y in zip(first[:-1], first[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(offs) - 1, level, np.int32)), b.column(1), pa.array(evidence(h, s, first)[1]), pa.array(np.diff(first).astype(np.float64)), pa.array(mass)], ["level", "toxic", "best", "length", "mass"])
+                top, row, value = passages(h, s, first)
+                each = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(offs))).astype(np.int32)), pa.array(value))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(offs) - 1, level, np.int32)), b.column(1), pa.array(top), each, pa.array(np.diff(first).astype(np.float64)), pa.array(mass)], ["level", "toxic", "best", "each", "length", "mass"])
 
-    seen = rows.mapInArrow(best, "level int, toxic int, best double, length double, mass double").toPandas()  # a row for each sampled document and level
+    seen = rows.mapInArrow(best, "level int, toxic int, best double, each array<double>, length double, mass double").toPandas()  # a row for each sampled document and level
     fitted = [_laws(shared.value[k][0], seen[seen["level"] == k], sizes) for k in range(len(LEVELS))]
     return min(fitted, key=lambda x: x[0])[1]
 
@@ -269,8 +277,11 @@ def _laws(model: Model, seen: pd.DataFrame, sizes: dict[int, int]) -> tuple[floa
     held = {t: max(1, int((y == t).sum())) for t in (0, 1)}
     weight = np.where(y == 1, sizes.get(1, 1) / held[1], sizes.get(0, 1) / held[0])
     weight = weight / weight.mean()
-    model.slope, model.offset = _logistic(model.surprise(best, length), y, weight)
-    p = np.clip(model.probability(best, length), 1e-6, 1 - 1e-6)
+    row = np.repeat(np.arange(len(seen)), seen["each"].map(len).to_numpy(np.int64))
+    value = np.concatenate([*seen["each"], np.zeros(0)]).astype(float)
+    x = model.evidence(best, row, value, length)
+    model.slope, model.offset = _logistic(x, y, weight)
+    p = np.clip(model.probability(x), 1e-6, 1 - 1e-6)
     return float(-(weight * np.where(y == 1, np.log(p), np.log(1 - p))).mean()), model
 
 
@@ -304,7 +315,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for b, raw, offs in common.text_steps(batches):
             h, starts, ends, first = tokens(raw, offs)
             s = m.scores(h)
-            (best, total), length = evidence(h, s, first), np.diff(first)
+            (best, row, value), length = passages(h, s, first), np.diff(first)
             listed: list[list[dict]] = [[] for _ in best]
             for i in np.flatnonzero((best > 0) & (m.chance(best, length) < SIGNIFICANT)).tolist():
                 a, z = int(first[i]), int(first[i + 1])
@@ -312,19 +323,23 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     if m.chance(np.array(v), length[i]) < SIGNIFICANT:
                         listed[i].append({"start": int(starts[a + x] - offs[i]), "end": int(ends[a + y - 1] - offs[i]), "score": v})
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(m.probability(total, length)), pa.array(listed, kind)], ["doc_id", "score", "passages"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(m.probability(m.evidence(best, row, value, length))), pa.array(listed, kind)], ["doc_id", "score", "passages"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, SCORED)
 
 
 def select(docs: DataFrame, model: Model, most: float = 0.5) -> DataFrame:
-    """Rows of ``docs``, unchanged, whose score is below ``most``."""
+    """Rows of ``docs``, unchanged, whose score is below ``most``.
+
+    Null text counts as empty; repeated rows are each judged, an empty table gives none;
+    columns keep their names, whatever they are.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(steps: Iterator) -> Iterator[np.ndarray]:
         m = shared.value
         for _, raw, offs in steps:
             h, _, _, first = tokens(raw, offs)
-            yield m.probability(evidence(h, m.scores(h), first)[1], np.diff(first)) < most
+            yield m.judge(h, first) < most
 
     return common.filter_by_text(docs, judge)

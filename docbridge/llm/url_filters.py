@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from . import common
 
 ONE = np.uint64(1)
-#: URLs advance together in groups of at most so many cells (URLs times longest length).
-CELLS = 1 << 22
+#: URLs advance together in groups of at most so many cells (URLs times longest length) and words of state.
+CELLS, STATE = 1 << 22, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -79,6 +79,7 @@ class Globs:
             hi = n  # as many of the next shortest strings as fit
             while hi > lo + 1 and (hi - lo) * int(sizes[order[hi - 1]]) > CELLS:
                 hi = lo + max(1, (hi - lo) // 2)
+            hi = min(hi, lo + max(1, STATE // self.words))
             rows = order[lo:hi]
             out[rows] = self._run(raw, offsets[rows], sizes[rows])
             lo = hi
@@ -139,7 +140,9 @@ def judge(pages: DataFrame, rules: list[Rule] | None = None, general: tuple[Rule
 
     The longest site rule that fits decides (among equals the first listed); where none
     fits, ``rule`` is null and the general globs decide: the first that matches, else
-    ``default``.  A null url, or one without ``://``, has an empty host and path.
+    ``default``.  A null url, or one without ``://``, has an empty host and path.  Urls
+    are whole, however long; repeated rows each give a row, an empty table none; other
+    columns are not looked at, whatever their names.
     """
     rules = site_rules() if rules is None else rules
     automaton = Globs([r.pattern for r in rules] + [r.pattern for r in general])

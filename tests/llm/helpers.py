@@ -66,3 +66,9 @@ def repeated_bytes(texts: list[bytes], width: int) -> list[list[bool]]:
             for d, i in v:
                 gone[d][i : i + width] = [True] * width
     return gone
+
+
+def thue_morse(n: int, one: str = "a", two: str = "b") -> tuple[str, str]:
+    """The Thue-Morse sequence of n letters and its complement, which polynomials modulo powers of two cannot tell apart."""
+    bits = [i.bit_count() & 1 for i in range(n)]
+    return "".join((one, two)[b] for b in bits), "".join((two, one)[b] for b in bits)
