@@ -129,8 +129,8 @@ def test_stages_of_odd_tables(spark, folder, tmp_path):
         else:
             assert sorted(map(str, kept)) == (["1", "2", "None"] if name.startswith("n-gram") else ["1", "1", "2", "None"]), name
         if name in ("n-gram Jaccard join", "substring dedup"):
-            start = " ".join(f"w{i}" for i in range(19))
-            odd = spark.createDataFrame([(1, f"{start} {a}"), (2, f"{start} {b}"), (3, a), (4, b)], "doc_id long, text string")
+            start = " ".join(f"w{i}" for i in range(19)) if name == "substring dedup" else ""
+            odd = spark.createDataFrame([(1, f"{start} {a}"), (2, f"{start} {b}"), (3, a), (4, b)][0 if start else 2 :], "doc_id long, text string")
             assert sorted(r.text for r in stage(spark, odd, at).collect()) == sorted(r.text for r in odd.collect())
 
 
