@@ -24,15 +24,14 @@ from .hashing import eights, mix
 GRAM, EVERY = 8, 16
 
 
-def dense(*keys: np.ndarray) -> np.ndarray:
-    """Ranks from 1 on of rows by their keys, first key first; equal rows share a rank."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    for k in keys:
-        k = k[order]
-        new[1:] |= k[1:] != k[:-1]
+def dense(key: np.ndarray) -> np.ndarray:
+    """Ranks from 1 on of rows by their key; equal keys share a rank."""
+    order = np.argsort(key)
+    sorted_ = key[order]
+    new = np.ones(len(order), np.int64)
+    new[1:] = sorted_[1:] != sorted_[:-1]
     out = np.empty(len(order), np.int64)
-    out[order] = np.cumsum(new) + 1
+    out[order] = np.cumsum(new)
     return out
 
 
@@ -51,11 +50,10 @@ def doubled(rank: np.ndarray, span: int, left: np.ndarray) -> np.ndarray:
         more = left[tied] > span
         after[more] = rank[tied[more] + span]
         # ranks leave room for the rows of a tie, so only ties are sorted again
-        below = np.concatenate([[0], np.cumsum(size)])[rank]
-        sub = dense(rank[tied], after)
+        sub = dense(rank[tied] << 32 | after)
         first = np.full(len(size), np.iinfo(np.int64).max)
         np.minimum.at(first, rank[tied], sub)
-        grown = below + 1
+        grown = np.concatenate([[0], np.cumsum(size)])[rank] + 1
         grown[tied] += sub - first[rank[tied]]
         rank, span = grown, span * 2
     return rank
@@ -89,7 +87,10 @@ class Parse:
         head = eights(raw).byteswap()  # the first byte counts most
         some = np.minimum(left, 8)
         head &= ~((np.uint64(1) << (np.uint64(8) * (np.uint64(8) - some.astype(np.uint64))) % np.uint64(64)) - np.uint64(1)) | np.where(some == 8, np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0))
-        return doubled(dense(head, some), 8, left)
+        rank = dense(head)
+        if len(raw) and not raw.min():  # a byte 0 is more than the text's end
+            rank = dense(rank << 4 | some)
+        return doubled(rank, 8, left)
 
     def parse_ranks(self, phrase_rank: np.ndarray) -> np.ndarray:
         """Suffix array of the parse: the rank of the phrases from each one on to its text's end."""
@@ -106,8 +107,12 @@ def corpus_order(raw: np.ndarray, offsets: np.ndarray, every: int = EVERY) -> np
     of_suffix = p.dictionary_ranks()
     of_parse = np.append(p.parse_ranks(of_suffix[p.edge[:-1]]), 0)
     k, place = common.within(p.stops - p.starts)
-    after = np.where(p.last[k], 0, of_parse[k + 1])
-    return np.lexsort((after, of_suffix[p.edge[p.phrase[k]] + place]))
+    key = of_suffix[p.edge[p.phrase[k]] + place] << 32 | np.where(p.last[k], 0, of_parse[k + 1])
+    order = np.argsort(key)
+    same = key[order[1:]] == key[order[:-1]]
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same))
+    order[tied] = order[tied][np.lexsort((order[tied], key[order[tied]]))]
+    return order
 
 
 def repeated_starts(raw: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:

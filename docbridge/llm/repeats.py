@@ -142,11 +142,13 @@ def repeated_spans(docs: DataFrame, w: Windows, text_id: Column) -> DataFrame:
                 ["core", "whole", "t", "first_id", "lo", "hi"],
             )
 
-    found = texts.mapInArrow(find, "core long, whole long, t long, first_id long, lo int, hi int")
+    # said to be not null, else joins ask for it in one reader's way each and no exchange is shared
+    found = texts.mapInArrow(find, "core long not null, whole long not null, t long not null, first_id long, lo int not null, hi int not null")
     # what leads a class: its earliest place
     order = F.struct(F.coalesce("first_id", F.lit(-(1 << 63))).alias("o"), "t", "lo")
     classes = found.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("least"))
-    kinds = counted(found, "core", F.count(F.lit(1)).alias("m")).where("m > 1").select("core", "m")
+    # ``any`` is asked for so that both readers of the classes want the same columns and share their exchange
+    kinds = counted(classes, "core", F.sum("n").alias("m"), F.min("least").alias("any")).where("m > 1 and any is not null").select("core", "m")
     # mixed: the core also stands in another class
     judged = classes.join(kinds.hint("merge"), "core").select("core", "whole", "n", "least", (F.col("m") > F.col("n")).alias("mixed")).where("n > 1 or mixed")
     marked = found.join(judged.hint("merge"), ["core", "whole"]).withColumn("leads", F.col("least") == order)
@@ -177,7 +179,7 @@ def repeated_spans(docs: DataFrame, w: Windows, text_id: Column) -> DataFrame:
                 a = b
 
     some = texts.join(runs.hint("merge"), "t").select(*TEXTS, "runs").where(F.exists("runs", lambda r: r["asked"]))
-    windows = some.mapInArrow(look, "window long, head int, t long, first_id long, lo int")
+    windows = some.mapInArrow(look, "window long not null, head int not null, t long not null, first_id long, lo int not null")
     hits = counted(windows, "window", F.count(F.lit(1)).alias("n"), F.min(order).alias("least"), more=("head",)).where("n > 1").select("window", "head", "least")
     seen = windows.join(hits.hint("merge"), ["window", "head"]).where(F.col("least") != order)
     single = seen.groupBy("t").agg(F.collect_list("lo").alias("single"))

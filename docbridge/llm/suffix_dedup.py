@@ -39,7 +39,7 @@ from .prefix_free import repeated_starts
 from .repeats import counted, covered, lists
 
 #: Distinct phrases of one core that are sorted together, and bytes of phrases sorted at a time.
-MOST, SORTED_BYTES = 1024, 1 << 20
+MOST, SORTED_BYTES = 4096, 1 << 19
 TEXTS = ["t", "n_rows", "n_bytes", "packed"]
 
 
@@ -68,22 +68,31 @@ def fixed(whole: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 
 
 def phrases(whole: np.ndarray, first: np.ndarray, s: Strings) -> tuple[np.ndarray, ...]:
-    """Row, first and last string start, core and content (two hashes) of each phrase of a step's texts."""
-    sizes = np.diff(first) - s.width + 1
-    rows = np.flatnonzero(sizes > 0)
+    """Row, first and last string start, anchor and core of each phrase of a step's texts."""
+    rows = np.flatnonzero(np.diff(first) >= s.width)
     if not len(rows):
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
     grams = mix(whole if s.gram == 8 else whole & _KEEP[s.gram])[: len(whole) - s.gram + 1]
-    least = sliding_min((grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64), s.reach)
-    seg, place = common.within(sizes[rows])
-    start = first[rows][seg] + place
-    at = (least[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    lo, hi, at = start[new], start[np.append(new[1:], len(at)) - 1], at[new]
-    core = mix(fixed(whole, at, s.width - s.reach + 1))
+    grams &= np.uint64(0xFFFFFFFF00000000)
+    grams |= np.arange(len(grams), dtype=np.uint64)
+    n = len(whole) - s.width + 1
+    at = sliding_min(grams, s.reach)[:n].astype(np.uint32)  # the low half: the place
+    edge = np.zeros(n + 1, np.int8)
+    edge[first[rows]] = 1
+    edge[first[rows + 1] - s.width + 1] = -1  # between two texts there are always places that start no string
+    starts = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+    turn = np.ones(n + 1, bool)
+    turn[1:-1] = at[1:] != at[:-1]
+    turn |= edge != 0
+    lo, hi = np.flatnonzero(starts & turn[:-1]), np.flatnonzero(starts & turn[1:])
+    at = at[lo].astype(np.int64)
+    return np.searchsorted(first, lo, "right") - 1, lo, hi, at, mix(fixed(whole, at, s.width - s.reach + 1))
+
+
+def contents(whole: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray, s: Strings) -> np.ndarray:
+    """Hash of all bytes of phrases: the first and the last string cover all between them, as they overlap or touch."""
     place = ((hi - lo) << 32 | (at - lo)).astype(np.uint64)
-    content = pair(pair(fixed(whole, lo, s.width), fixed(whole, hi, s.width)), place)
-    return np.searchsorted(first, lo, "right") - 1, lo, hi, core, content
+    return pair(pair(fixed(whole, lo, s.width), fixed(whole, hi, s.width)), place)
 
 
 def _prefilter(docs: DataFrame, s: Strings, text_id: Column) -> Broadcast:
@@ -98,7 +107,7 @@ def _prefilter(docs: DataFrame, s: Strings, text_id: Column) -> Broadcast:
                 if t not in seen:
                     seen.add(t)
                     keep[i] = True
-            row, _, _, core, _ = phrases(eights(raw), offs, s)
+            row, _, _, _, core = phrases(eights(raw), offs, s)
             yield core[keep[row]]
 
     total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -113,16 +122,19 @@ def _repeated(docs: DataFrame, s: Strings, text_id: Column) -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = filter_.value
         for rows, raw, offs in common.packed_steps(batches):
-            row, lo, hi, core, content = phrases(eights(raw), offs, s)
+            whole = eights(raw)
+            row, lo, hi, at, core = phrases(whole, offs, s)
             keep = np.flatnonzero(cells.repeated(core))
-            row = row[keep]
+            row, lo, hi, at, core = (x[keep] for x in (row, lo, hi, at, core))
             base = offs[row]
-            yield pa.RecordBatch.from_arrays([pa.array(core[keep].view(np.int64)), pa.array(content[keep].view(np.int64)), rows.column(0).take(pa.array(row)), pa.array((lo[keep] - base).astype(np.int32)), pa.array((hi[keep] - base).astype(np.int32))], ["core", "content", "t", "lo", "hi"])
+            yield pa.RecordBatch.from_arrays([pa.array(core.view(np.int64)), pa.array(contents(whole, lo, hi, at, s).view(np.int64)), rows.column(0).take(pa.array(row)), pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32))], ["core", "content", "t", "lo", "hi"])
 
-    found = texts.mapInArrow(parse, "core long, content long, t long, lo int, hi int")
+    # said to be not null, else joins ask for it in one reader's way each and no exchange is shared
+    found = texts.mapInArrow(parse, "core long not null, content long not null, t long not null, lo int not null, hi int not null")
     place = F.xxhash64("t", "lo")  # any one place stands for a distinct phrase
     dictionary = found.groupBy("core", "content").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least"))
-    cores = counted(dictionary, "core", F.count(F.lit(1)).alias("several"), F.max("n").alias("often")).where("several > 1 or often > 1").select("core", "several")
+    # ``any`` is asked for so that both readers of the dictionary want the same columns and share its exchange
+    cores = counted(dictionary, "core", F.count(F.lit(1)).alias("several"), F.max("n").alias("often"), F.min("least").alias("any")).where("(several > 1 or often > 1) and any is not null").select("core", "several")
     judged = dictionary.join(cores.hint("merge"), "core").select("core", "content", "n", "least", "several").where("n > 1 or several > 1")
     marked = found.join(judged.hint("merge"), ["core", "content"])
     settled, asked = F.col("n") > 1, (F.col("several") > 1) & (F.col("least") == place)
@@ -180,9 +192,9 @@ def _repeated(docs: DataFrame, s: Strings, text_id: Column) -> DataFrame:
                 head = fixed(whole, start, s.width // 2) >> np.uint64(32)
                 yield pa.RecordBatch.from_arrays([pa.array(mix(fixed(whole, start, s.width)).view(np.int64)), pa.array(head.astype(np.uint32).view(np.int32)), rows.column(0).take(pa.array(own[seg])), pa.array(at.astype(np.int32)), pa.array(np.where(twice[seg], 2, 1).astype(np.int32))], ["string", "head", "t", "lo", "weight"])
 
-    cuts = some.mapInArrow(cut, "core long, t long, lo int, settled boolean, bytes binary")
+    cuts = some.mapInArrow(cut, "core long not null, t long not null, lo int not null, settled boolean not null, bytes binary not null")
     read_off = cuts.repartition("core").sortWithinPartitions("core").mapInArrow(sort, "t long, lo int")
-    hashed = some.mapInArrow(look, "string long, head int, t long, lo int, weight int")
+    hashed = some.mapInArrow(look, "string long not null, head int not null, t long not null, lo int not null, weight int not null")
     hits = counted(hashed, "string", F.sum("weight").alias("n"), more=("head",)).where("n > 1").select("string", "head")
     also = hashed.where("weight = 1").join(hits.hint("merge"), ["string", "head"]).select("t", "lo")
     single = read_off.unionAll(also).groupBy("t").agg(F.collect_list("lo").alias("single"))
