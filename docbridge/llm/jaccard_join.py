@@ -43,7 +43,7 @@ FREQUENCY_BITS = 20
 #: Rounds with one probe for each list, and sets of a block after them.
 ROUNDS, BLOCK = 2, 256
 #: Partners of a probe that one tree holds, and that meet in one task.
-TREE, PARTNERS = 2048, 8192
+TREE, PARTNERS = 2048, 256
 
 
 def sets_of(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +130,9 @@ def candidates(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["set", "size", "shingles"])
 
     found = texts.mapInArrow(run, "set long, size long, shingles array<long>")
-    return common.checkpoint(found.groupBy("set").agg(F.any_value("size").alias("size"), F.any_value("shingles").alias("shingles")))
+    out = common.checkpoint(found.groupBy("set").agg(F.any_value("size").alias("size"), F.any_value("shingles").alias("shingles")))
+    once.unpersist()  # workers need not hold it in what follows
+    return out
 
 
 def frequencies(sets: DataFrame) -> Broadcast:

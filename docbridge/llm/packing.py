@@ -29,11 +29,11 @@ from . import common
 from .hashing import spans_of
 
 #: Spans whose ids a worker remembers.
-MEMORY = 800_000
+MEMORY = 400_000
 #: Buckets in which the pieces of a length are ranked, for each million pieces and at least.
 BUCKETS_PER_MILLION, LEAST_BUCKETS = 64, 64
 #: Bytes up to which a span is remembered, and bytes of text taken at a time.
-LONGEST_KEPT, STEP_BYTES = 64, 4 << 20
+LONGEST_KEPT, STEP_BYTES = 64, 2 << 20
 #: Words that the splitting pattern takes as one match, as lower-casing keeps them: letters of Latin-1 alone.
 _PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 #: ASCII letters; what is parted from a letter before it at the end of a span.
