@@ -24,6 +24,8 @@ FALSE_STRINGS = ("false", "f", "0", "no", "n")
 _WIDTH = {ByteType: 8, ShortType: 16, IntegerType: 32, LongType: 64}
 _EPOCH = dt.datetime(1970, 1, 1)
 MISMATCH = "schema mismatch: "
+#: Largest number that rounds to a finite float.
+_FLOAT_MAX = 3.4028235677973362e38
 
 
 class ReadSchemaMismatch(TypeError):
@@ -90,6 +92,14 @@ def _number(value: Column, kind: Column, path: str, wanted: str) -> Column:
     return F.when(parsed.isNull(), _fail(path, f"not a number where {wanted} is declared").cast(wide)).otherwise(parsed)
 
 
+def _fraction(value: Column, kind: Column) -> Column:
+    """Whether a number, as written, is not whole; told before any rounding."""
+    text = _text(value)
+    real = text.try_cast("double")
+    by_value = kind.startswith("DOUBLE") | kind.startswith("FLOAT") | text.rlike("[eE]")
+    return F.when(kind == "BOOLEAN", False).when(by_value, real != F.floor(real)).otherwise(text.rlike(r"\.[0-9]*[1-9]"))
+
+
 def _integer(value: Column, kind: Column, t: DataType, path: str) -> Column:
     low, high = _bounds(t)
     # what a document holds nearly always: a whole number that fits a long
@@ -98,13 +108,29 @@ def _integer(value: Column, kind: Column, t: DataType, path: str) -> Column:
         whole = F.when(whole.between(low, high), whole).otherwise(_fail(path, f"out of range of {t.simpleString()}").cast("bigint")).cast(t)
     number = _number(value, kind, path, t.simpleString())
     exact = (
-        F.when(number != F.floor(number), _fail(path, f"a fraction where {t.simpleString()} is declared").cast(t))
+        F.when(_fraction(value, kind), _fail(path, f"a fraction where {t.simpleString()} is declared").cast(t))
         .when((number < F.lit(low).cast("decimal(38,0)")) | (number > F.lit(high).cast("decimal(38,0)")), _fail(path, f"out of range of {t.simpleString()}").cast(t))
         .otherwise(number.cast("decimal(38,0)").cast(t))
     )
     return F.when(kind == "BIGINT", whole).otherwise(exact)
 
 
+def _real(value: Column, kind: Column, t: DataType, path: str) -> Column:
+    """A float or double; what is no number, or beyond the type, is refused."""
+    wide = F.when(kind == "BOOLEAN", F.variant_get(value, "$", "boolean").cast("int").cast("double")).otherwise(_text(value).try_cast("double"))
+    out = wide.cast(t)
+    over = (F.abs(out) == float("inf")) & (F.abs(wide) < float("inf"))
+    return F.when(wide.isNull(), _fail(path, f"not a number where {t.simpleString()} is declared").cast(t)).when(over, _fail(path, f"out of range of {t.simpleString()}").cast(t)).otherwise(out)
+
+
+def _decimal(value: Column, t: DecimalType, path: str) -> Column:
+    """A decimal with all its digits; what would be rounded is refused."""
+    text = F.trim(_text(value))
+    out = text.try_cast(t)
+    more = text.rlike(rf"\.[0-9]{{{t.scale}}}[0-9]*[1-9]") & ~text.rlike("[eE]") | text.rlike("[eE]") & (text.try_cast("double") != out.cast("double"))
+    return F.when(out.isNull(), _fail(path, f"no {t.simpleString()}").cast(t)).when(more, _fail(path, f"more digits than {t.simpleString()} holds").cast(t)).otherwise(out)
+
+
 def _boolean(value: Column, kind: Column, path: str) -> Column:
     s = F.lower(F.trim(_text(value)))
     by_text = F.when(s.isin(*TRUE_STRINGS), True).when(s.isin(*FALSE_STRINGS), False).otherwise(_fail(path, "a string that is no boolean").cast("boolean"))
@@ -126,9 +152,9 @@ def _present(value: Column, t: DataType, path: str, kind: Column) -> Column:
     elif type(t) in _WIDTH:
         out = _integer(value, kind, t, path)
     elif isinstance(t, (FloatType, DoubleType)):
-        out = F.when(kind == "BOOLEAN", F.variant_get(value, "$", "boolean").cast("int").cast(t)).otherwise(_text(value).cast(t))
+        out = _real(value, kind, t, path)
     elif isinstance(t, DecimalType):
-        out = _text(value).cast(t)
+        out = _decimal(value, t, path)
     elif isinstance(t, TimestampType):
         out = F.timestamp_millis(_integer(value, kind, LongType(), path))
     elif isinstance(t, TimestampNTZType):
@@ -167,9 +193,9 @@ def read_coerce(value: Any, t: DataType, path: str = "value") -> Any:
     if type(t) in _WIDTH:
         return _coerce_integer(value, t, path)
     if isinstance(t, (FloatType, DoubleType)):
-        return float(value)
+        return _coerce_real(value, t, path)
     if isinstance(t, DecimalType):
-        return Decimal(str(value))
+        return _coerce_decimal(value, t, path)
     if isinstance(t, (TimestampType, TimestampNTZType, DateType)):
         at = _EPOCH + dt.timedelta(milliseconds=_coerce_integer(value, LongType(), path))
         if isinstance(t, DateType):
@@ -194,8 +220,36 @@ def _coerce_boolean(value: Any, path: str) -> bool:
 def _coerce_integer(value: Any, t: DataType, path: str) -> int:
     if isinstance(value, float) and not value.is_integer():
         raise ReadSchemaMismatch(f"{path}: fraction {value!r} where {t.simpleString()} is declared")
-    out = int(value)
+    try:
+        out = Decimal(value.strip()) if isinstance(value, str) else Decimal(value)
+        if out != out.to_integral_value():
+            raise ReadSchemaMismatch(f"{path}: fraction {value!r} where {t.simpleString()} is declared")
+        out = int(out)
+    except (ArithmeticError, ValueError) as e:
+        raise ReadSchemaMismatch(f"{path}: {value!r} is not a number where {t.simpleString()} is declared") from e
     low, high = _bounds(t)
     if not low <= out <= high:
         raise ReadSchemaMismatch(f"{path}: {out} is out of range of {t.simpleString()}")
     return out
+
+
+def _coerce_real(value: Any, t: DataType, path: str) -> float:
+    try:
+        out = float(value)
+    except ValueError as e:
+        raise ReadSchemaMismatch(f"{path}: {value!r} is not a number where {t.simpleString()} is declared") from e
+    if isinstance(t, FloatType) and abs(out) > _FLOAT_MAX and abs(out) != float("inf"):
+        raise ReadSchemaMismatch(f"{path}: {value!r} is out of range of {t.simpleString()}")
+    return out
+
+
+def _coerce_decimal(value: Any, t: DecimalType, path: str) -> Decimal:
+    try:
+        out = Decimal(str(value).strip())
+        whole = out.scaleb(t.scale)
+        fits = whole == whole.to_integral_value() and abs(whole) < 10**t.precision
+    except ArithmeticError as e:
+        raise ReadSchemaMismatch(f"{path}: {value!r} is no {t.simpleString()}") from e
+    if not fits:
+        raise ReadSchemaMismatch(f"{path}: {value!r} does not fit {t.simpleString()}")
+    return out

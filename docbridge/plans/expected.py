@@ -86,7 +86,7 @@ with t as (select event_id%3 sl,(row_number() over(partition by event_id%3 order
 select event_id,event_type,value from events where event_type='error' and value>=5 and value<50 and not(user_id in (1,2,3))
 """,
     "typed_roundtrip": r"""
-select o_orderkey,o_custkey,o_orderstatus,o_totalprice,date_trunc('millisecond',o_orderdate) o_orderdate from orders
+select o_orderkey,o_custkey,o_orderstatus,o_totalprice,date_trunc('millisecond',o_orderdate) o_orderdate,o_orderpriority from orders
 """,
     "bool_parse": r"""
 with t as (select event_id,case event_id%6 when 0 then ' TRUE ' when 1 then 'y' when 2 then 'No' when 3 then '0' when 4 then 'maybe' else '' end sv from events) select event_id,case when lower(trim(sv)) in ('true','t','1','yes','y') then 'true' when lower(trim(sv)) in ('false','f','0','no','n') then 'false' else 'mismatch' end r from t
@@ -108,5 +108,14 @@ select lang,cast(sum(case when length(text)>256 then 1 else 0 end) as bigint) no
 """,
     "external_version": r"""
 with old as (select user_id,max(ts) v from events where event_id%2=0 group by user_id), inc as (select user_id,max(ts) v from events where event_id%2=1 group by user_id) select inc.user_id,case when old.user_id is null or inc.v>=old.v then 'written' else 'conflict' end outcome from inc left join old on inc.user_id=old.user_id
+""",
+    "index_roundtrip": r"""
+select o_orderkey,o_custkey,o_orderstatus,o_totalprice,date_trunc('millisecond',o_orderdate) o_orderdate,o_orderpriority from orders
+""",
+    "store_lifecycle": r"""
+select o_orderkey,o_custkey,o_orderstatus,o_totalprice,date_trunc('millisecond',o_orderdate) o_orderdate,o_orderpriority from orders where o_orderstatus not in ('F','O')
+""",
+    "streaming_sink": r"""
+select * from nation
 """,
 }

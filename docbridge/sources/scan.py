@@ -17,7 +17,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 from pyspark.sql.types import DataType, StructType
 
 from ..config import ReadConfig
-from ..functions.decode import check_schema, decode
+from ..functions.decode import check_schema, decode, read_coerce
 from .transport import Transport, connect
 
 log = logging.getLogger("docbridge")
@@ -57,11 +57,12 @@ def filter_to_query(f: Filter) -> dict | None:
     """A pushed filter as a query clause, None if it has to stay with Spark.
 
     Only filters on whole numbers and booleans at the top level are exact in an index:
-    strings may be analysed there, and floats and dates rounded.
+    strings may be analysed there, and floats and dates rounded.  Metadata (``_id``,
+    ``_source``) is not indexed as a field, so nothing about it is pushed.
     """
     exact = lambda v: isinstance(v, (bool, int))
     name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
-    if name is None:
+    if name is None or name.startswith("_"):
         return None
     if isinstance(f, IsNotNull):
         return {"exists": {"field": name}}
@@ -76,8 +77,8 @@ def filter_to_query(f: Filter) -> dict | None:
 
 
 class IndexReader(DataSourceReader):
-    def __init__(self, cfg: ReadConfig, make: Callable[[], Transport], pit: str, n: int):
-        self.cfg, self.make, self.pit, self.n = cfg, make, pit, n
+    def __init__(self, cfg: ReadConfig, make: Callable[[], Transport], pit: str, n: int, schema: StructType | None = None):
+        self.cfg, self.make, self.pit, self.n, self.schema = cfg, make, pit, n, schema
         self.clauses: list[dict] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -98,15 +99,29 @@ class IndexReader(DataSourceReader):
         transport = self.make()
         try:
             for hits in page_through(transport, self.pit, query, self.cfg.batch_size, self.cfg.pit_keep_alive, partition.value):
+                if self.schema is not None:
+                    yield from map(self._row, hits)
+                    continue
                 yield pa.RecordBatch.from_arrays([pa.array([h["_id"] for h in hits], pa.string()), pa.array([json.dumps(h.get("_source") or {}) for h in hits], pa.string())], ["_id", "_source"])
         finally:
             transport.close()
 
 
+    def _row(self, hit: dict) -> tuple:
+        """A document as the declared columns; the id column is filled where the key is absent."""
+        doc, out = hit.get("_source") or {}, []
+        for f in self.schema.fields:
+            fill = self.cfg.include_id and f.name == self.cfg.id_field and f.name not in doc
+            out.append(read_coerce(hit["_id"] if fill else doc.get(f.name), f.dataType, f.name))
+        return tuple(out)
+
+
 class DocIndex(DataSource):
-    """``spark.read.format("docindex")``: raw documents (_id, _source) of a snapshot.
+    """``spark.read.format("docindex")``: documents of a snapshot.
 
-    Options: ``config``, a JSON object of ReadConfig's fields.
+    Raw (_id, _source), or as the columns of ``.schema(...)``, whose filters on whole
+    numbers and booleans then reach the index.  Options: ``config``, a JSON object of
+    ReadConfig's fields.  Hosts ``store:`` are for ``read_index``.
     """
 
     make: Callable[[], Transport] | None = None
@@ -120,9 +135,15 @@ class DocIndex(DataSource):
 
     def reader(self, schema: StructType) -> IndexReader:
         cfg = ReadConfig(**json.loads(self.options["config"]))
-        make = connect(cfg)
+        if cfg.hosts[0].startswith("store:"):
+            raise ValueError("docindex reads over HTTP; use read_index for a store")
+        declared = None
+        if schema.names != ["_id", "_source"]:
+            check_schema(schema)
+            declared = schema
+        make = type(self).make or connect(cfg)
         pit, n = open_snapshot(cfg, make)
-        return IndexReader(cfg, make, pit, n)
+        return IndexReader(cfg, make, pit, n, declared)
 
 
 def open_snapshot(cfg: ReadConfig, make: Callable[[], Transport]) -> tuple[str, int]:

@@ -28,6 +28,7 @@ GOOD = [
     (None, "int", None), ("x", "string", "x"), (True, "string", "true"), (5, "string", "5"), (3.0, "int", 3), ("42", "bigint", 42), (True, "int", 1), (127, "tinyint", 127), (-32768, "smallint", -32768),
     (2**63 - 1, "bigint", 2**63 - 1), (1.5, "double", 1.5), (2, "double", 2.0), ("1.25", "decimal(10,2)", Decimal("1.25")), (" TRUE ", "boolean", True), ("n", "boolean", False), (0, "boolean", False), (2.5, "boolean", True),
     (-1, "date", dt.date(1969, 12, 31)), (86400000, "date", dt.date(1970, 1, 2)), (1622548800000, "timestamp_ntz", dt.datetime(2021, 6, 1, 12)), (-1, "timestamp_ntz", dt.datetime(1969, 12, 31, 23, 59, 59, 999000)),
+    ("7.000", "int", 7), (1e3, "int", 1000), ("2e2", "bigint", 200), (" 12 ", "smallint", 12), (1e300, "double", 1e300), (0.5, "float", 0.5), ("1.500", "decimal(10,2)", Decimal("1.50")), (12, "decimal(4,1)", Decimal("12.0")),
     ([1, None, 3], "array<int>", [1, None, 3]), (7, "array<int>", [7]), ({"a": 1}, "map<string,int>", {"a": 1}),
 ]
 
@@ -46,12 +47,22 @@ def test_binary_struct_and_timestamp(spark):
 
 
 BAD = [
+    (1.0000001, "int"), (0.9999999, "int"), (1e-7, "bigint"), ("1.0000004", "int"), ("3.5e-1", "int"), ("x", "int"), ("x", "double"), ("x", "decimal(5,1)"), (1.999, "decimal(10,2)"), (12345, "decimal(4,1)"), (1e300, "float"),
     (3.7, "int"), (128, "tinyint"), (40000, "smallint"), (2**31, "int"), (2**63, "bigint"), ("maybe", "boolean"), ("", "boolean"), ([1], "string"), ({"a": 1}, "int"), ([1, 2.5], "array<int>"), ({"a": 1.5}, "map<string,int>"), (5, "map<string,int>"), (5, "struct<a:int>"),
 ]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
 @pytest.mark.parametrize("value,ddl", BAD)
-def test_values_that_do_not_fit(spark, value, ddl):
+def test_values_that_do_not_fit(spark, value, ddl, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        refused(spark, value, ddl)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def refused(spark, value, ddl):
     t = T._parse_datatype_string(f"v {ddl}")["v"].dataType
     with pytest.raises(ReadSchemaMismatch):
         read_coerce(value, t)

@@ -132,7 +132,13 @@ def test_the_data_source(spark, server):
     assert df.columns == ["_id", "_source"] and df.where(F.col("_id").startswith("m")).count() == 50
     Stub.bodies.clear()
     assert df.where("_id is not null").count() >= 50
-    assert Stub.bodies[0]["query"] == {"bool": {"filter": [{"match_all": {}}, {"exists": {"field": "_id"}}]}}
+    assert Stub.bodies[0]["query"] == {"match_all": {}}  # metadata is not indexed as a field
+    Stub.bodies.clear()
+    declared = spark.read.format("docindex").schema("doc_id string, n int").option("config", read_config_json(cfg)).load()
+    assert declared.where("n > 40").count() == sum(r.n > 40 for r in declared.collect()) > 8
+    assert {"range": {"n": {"gt": 40}}} in next(b["query"]["bool"]["filter"] for b in Stub.bodies if "bool" in b.get("query", {}))
+    with pytest.raises(Exception, match="read_index"):
+        spark.read.format("docindex").option("config", read_config_json(ReadConfig(hosts="store:x", api_key="k", index="docs"))).load().count()
 
 
 def test_filters_that_an_index_answers_exactly():
@@ -142,4 +148,5 @@ def test_filters_that_an_index_answers_exactly():
     assert scan.filter_to_query(GreaterThan(("n",), 5)) == {"range": {"n": {"gt": 5}}}
     assert scan.filter_to_query(In(("n",), (1, 2))) == {"terms": {"n": [1, 2]}}
     assert scan.filter_to_query(IsNotNull(("n",))) == {"exists": {"field": "n"}}
+    assert scan.filter_to_query(IsNotNull(("_source",))) is None and scan.filter_to_query(EqualTo(("_id",), 5)) is None
     assert scan.filter_to_query(EqualTo(("s",), "text")) is None and scan.filter_to_query(EqualTo(("a", "b"), 1)) is None
