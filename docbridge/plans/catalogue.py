@@ -6,9 +6,11 @@ import json
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, ShortType, StringType, StructField, StructType
 
@@ -16,11 +18,11 @@ from ..config import ReadConfig, WriteConfig
 from ..functions import decode as dec
 from ..functions import encode as enc
 from ..operators import outcome
-from ..operators.ship import partition_writer, summary_schema
+from ..operators.ship import Send, chunks, partition_writer, ship_chunk, stats_of, summary_schema
 from ..operators.sink import bulk_write
 from ..sources import store as st
 from ..sources.dsl import IGNORE_ABOVE, compile_query, keyword
-from ..sources.scan import read_index, typed
+from ..sources.scan import page_through, read_index, slices, typed
 from ..sources.transport import ScriptedTransport
 from ..streaming.sink import latest_per_key, make_foreach_batch
 
@@ -125,8 +127,9 @@ def binary_base64(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def float_short_repr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding")[0].alias("f")).where(F.abs("f") >= F.lit(0.001))
-    return source(df, "j", "vec_id").select("vec_id", F.regexp_extract("j", r"^\{\"f\":(.*)\}$", 1).alias("f"))
+    """Every component as its document spells it: the shortest digits, with an exponent below a thousandth."""
+    df = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "f"))
+    return source(df, "j", "vec_id", "i").select("vec_id", "i", F.regexp_extract("j", r"^\{\"f\":(.*)\}$", 1).alias("f"))
 
 
 @query
@@ -151,28 +154,45 @@ def array_of_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- accounting ----------------------------------------------------------------
 
 
+#: Keys to a part: queries that hold a part in one task hold no more than that.
+PART = 4_000
+SCRIPTED = {**HOST, "index": "docs", "require_existing_index": False}
+
+
+def _parts(df: DataFrame, key: str, line: Column, **more: Column) -> Any:
+    """Action lines with their key, grouped by ranges of ``PART`` whole-number keys."""
+    part = F.floor(F.col(key) / PART).cast("long")
+    return df.select(part.alias("part"), F.col(key).alias("key"), line.alias("line"), *(c.alias(n) for n, c in more.items())).groupBy("part")
+
+
+def _line(op: str | Column, key: str, body: Column) -> Column:
+    head = F.to_json(F.struct(F.struct(F.lit("docs").alias("_index"), F.col(key).cast("string").alias("_id")).alias("x")))
+    name = F.lit(op) if isinstance(op, str) else op
+    return F.concat(F.replace(head, F.lit('"x"'), F.concat(F.lit('"'), name, F.lit('"'))), F.when(name != "delete", F.concat(F.lit("\n"), body)).otherwise(""))
+
+
+def _no_pause(seconds: float) -> None:
+    """The clock of a scripted transport whose pauses take no time."""
+
+
 @query
 def chunking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks of 500 documents in the order of their keys; places come from counts per range, not one sort."""
-    size = WriteConfig(**HOST, index="orders").chunk_size
-    keys = table(spark, sf_dir, "orders").select("o_orderkey")
-    numbered = _numbered(keys, "o_orderkey")
-    chunk = F.floor(F.col("_n") / size)
-    return numbered.groupBy(chunk.cast("long").alias("chunk")).agg(F.count(F.lit(1)).alias("docs"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+    """Chunks of 500 documents, in the order of keys, of each part of the orders."""
+    cfg = WriteConfig(**SCRIPTED, id_field="o_orderkey")
+    orders = enc.stringify_hostile(table(spark, sf_dir, "orders"))
+    return _parts(orders, "o_orderkey", _line("index", "o_orderkey", enc.source_json(orders, orders.columns))).applyInArrow(_chunked(cfg), "part long, chunk long, docs long, lo long, hi long")
 
 
-def _numbered(df: DataFrame, key: str, *groups: str) -> DataFrame:
-    """Rows with their place (_n, from 0) in the order of ``key`` within ``groups``, without a task for all rows of one.
+def _chunked(cfg: WriteConfig) -> Callable[[pa.Table], pa.Table]:
+    def cut(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("key")
+        keys, at, out = rows["key"].to_pylist(), 0, []
+        for n, held in enumerate(chunks(iter(rows["line"].to_pylist()), cfg.chunk_size, cfg.chunk_bytes)):
+            out.append((rows["part"][0].as_py(), n, len(held), keys[at], keys[at + len(held) - 1]))
+            at += len(held)
+        return pa.Table.from_pylist([dict(zip(("part", "chunk", "docs", "lo", "hi"), r)) for r in out])
 
-    Rows are dealt to ranges and sorted; within a group, each range starts where the
-    counts of those before it end.
-    """
-    ranged = df.repartitionByRange(*groups, key).sortWithinPartitions(*groups, key).withColumn("_m", F.monotonically_increasing_id())
-    ranged = ranged.select(key, *groups, F.shiftright("_m", 33).alias("_p"), F.col("_m").bitwiseAND((1 << 33) - 1).alias("_i"))
-    before = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    counts = ranged.groupBy(*groups, "_p").agg(F.count(F.lit(1)).alias("_c"), F.min("_i").alias("_first"))  # a row for each range and group
-    counts = counts.select(*groups, "_p", (F.coalesce(F.sum("_c").over(before), F.lit(0)) - F.col("_first")).alias("_b"))
-    return ranged.join(counts, [*groups, "_p"]).select(key, *groups, (F.col("_b") + F.col("_i")).alias("_n"))
+    return cut
 
 
 def _line_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,12 +256,43 @@ def reject_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.groupBy(outcome.bucket_column(F.col("st")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _refuse_by_count(n: int, actions: list[tuple]) -> list[int | None]:
+    """Request n (from 0) meets backpressure on documents that say they are refused more often."""
+    return [429 if doc["k"] > n else None for _, _, doc in actions]
+
+
+def _stubborn() -> ScriptedTransport:
+    return ScriptedTransport(_refuse_by_count, clock=_no_pause)
+
+
+def _budgeted(cfg: WriteConfig) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Ship the lines of each k apart, so that retries can be told by what became of them."""
+
+    def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found: dict[str, list[int]] = {}
+            for k in pc.unique(b.column(0)).to_pylist():
+                lines = b.filter(pc.equal(b.column(0), k)).column(1).to_pylist()
+                for held in chunks(iter(lines), cfg.chunk_size, cfg.chunk_bytes):
+                    account = ship_chunk(_stubborn(), cfg, held)
+                    for name, kind in (("written", outcome.WRITTEN), ("errors", outcome.ERROR)):
+                        if account.counts[name]:
+                            sums = found.setdefault(kind, [0, 0])
+                            sums[0] += account.counts[name]
+                            sums[1] += account.diagnostics["docs_retried"]
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), *(pa.array([v[i] for v in found.values()], pa.int64()) for i in (0, 1))], ["outcome", "n", "docs_retried"])
+
+    return ship
+
+
 @query
 def retry_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that are refused k times before they are taken, under the default budget."""
-    budget = WriteConfig(**HOST, index="events").max_retries_per_doc
-    k = table(spark, sf_dir, "events").select((F.col("event_id") % 6).alias("k"))
-    return k.groupBy(F.when(F.col("k") <= budget, outcome.WRITTEN).otherwise(outcome.ERROR).alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.least("k", F.lit(budget))).cast("long").alias("docs_retried"))
+    """Documents that are refused k times before they are taken, shipped under the default budget."""
+    cfg = WriteConfig(**SCRIPTED, id_field="event_id", bypass_fast_path=True)
+    k = F.col("event_id") % 6
+    lines = table(spark, sf_dir, "events").select(k.alias("k"), _line("index", "event_id", F.to_json(F.struct(k.alias("k")))).alias("line"))
+    shipped = lines.mapInArrow(_budgeted(cfg), "outcome string, n long, docs_retried long")
+    return shipped.groupBy("outcome").agg(F.sum("n").alias("n"), F.sum("docs_retried").alias("docs_retried"))
 
 
 @query
@@ -253,32 +304,86 @@ def merge_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome.totals(parts.withColumns({"total_input": F.col("total_input") + extra(1), "errors": F.col("errors") + extra(2)}))
 
 
+def _answer(n: int, actions: list[tuple]) -> dict:
+    """A response that gives each document the status that its id stands for."""
+    items = []
+    for op, key, _ in actions:
+        status = (200, 201, 404, 409, 429, 400, 503)[int(key) % 7]
+        items.append({op: {"_id": key, "status": status} | ({"error": {"type": "scripted", "reason": f"status {status}"}} if status >= 300 else {})})
+    return {"took": 1, "errors": True, "items": items}
+
+
+def _answering() -> ScriptedTransport:
+    return ScriptedTransport(_answer, clock=_no_pause)
+
+
+def _sampled(cfg: WriteConfig) -> Callable[[pa.Table], pa.Table]:
+    """Ship a part and list the samples of its summary."""
+    write = partition_writer(cfg, _answering)
+
+    def ship(rows: pa.Table) -> pa.Table:
+        (summary,) = write(iter(rows.sort_by("key").select(["line"]).to_batches()))
+        kept = outcome.merge(summary.to_pylist())["error_samples"]
+        return pa.table({"part": pa.array([rows["part"][0].as_py()] * len(kept), pa.int64()), "event_id": pa.array([int(s["_id"]) for s in kept], pa.int64()), "op": pa.array([s["op_type"] for s in kept], pa.string()), "st": pa.array([s["status"] for s in kept], pa.int32())})
+
+    return ship
+
+
 @query
 def error_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _responses(spark, sf_dir).where(F.col("outcome") == outcome.ERROR).orderBy("event_id").limit(outcome.SAMPLE_CAP).select("event_id", "op", "st")
+    """What the writer keeps of the failures of each part."""
+    cfg = WriteConfig(**SCRIPTED, id_field="event_id", bypass_fast_path=True, max_retries_per_doc=0)
+    op = F.get(F.array(*map(F.lit, ("index", "create", "delete"))), (F.col("event_id") % 3).cast("int"))
+    return _parts(table(spark, sf_dir, "events"), "event_id", _line(op, "event_id", F.lit("{}"))).applyInArrow(_sampled(cfg), "part long, event_id long, op string, st int")
+
+
+def _summed(rows: pa.Table) -> pa.Table:
+    stats = stats_of([Send(docs=1, size=n, rtt_ms=v, cpu_ms=0.0) for n, v in zip(rows["size"].to_pylist(), rows["value"].to_pylist())])
+    return pa.Table.from_pylist([{"part": rows["part"][0].as_py(), "n": stats["n_sends"], "bytes": stats["bytes_sent"]} | {s: None if stats[f"rtt_ms_{s}"] is None else round(stats[f"rtt_ms_{s}"], 6) for s in ("mean", "p50", "p95", "max")}])
 
 
 @query
 def send_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").groupBy((F.col("user_id") % 8).alias("part"))
-    return e.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("mean"), F.round(F.percentile("value", 0.5), 6).alias("p50"), F.round(F.percentile("value", 0.95), 6).alias("p95"), F.max("value").alias("mx"))
+    """The writer's statistics of requests for which events stand, of each part."""
+    sends = _parts(table(spark, sf_dir, "events").where("value is not null"), "event_id", F.lit(""), value=F.col("value"), size=F.col("user_id").cast("long"))
+    return sends.applyInArrow(_summed, "part long, n long, bytes long, mean double, p50 double, p95 double, max double")
 
 
 # -- scans -----------------------------------------------------------------------
 
 
+def _paged(cfg: ReadConfig) -> Callable[[pa.Table], pa.Table]:
+    """Write a part to a stand-in index and read it back, slice by slice and page by page."""
+
+    def read(rows: pa.Table) -> pa.Table:
+        index = ScriptedTransport(deal=lambda _, key: int(key))
+        index.bulk(rows["line"].to_pylist())
+        out = []
+        for spec in slices(cfg.num_slices):
+            for n, hits in enumerate(page_through(index, index.open_pit(cfg.index, cfg.pit_keep_alive), {"match_all": {}}, cfg.batch_size, cfg.pit_keep_alive, spec)):
+                keys = [h["_source"]["event_id"] for h in hits]
+                out.append({"part": rows["part"][0].as_py(), "sl": spec["id"], "pg": n, "n": len(keys), "s": sum(keys), "last": max(keys)})
+        return pa.Table.from_pylist(out)
+
+    return read
+
+
+def _pages(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    cfg = ReadConfig(**HOST, index="docs", num_slices=n)
+    padded = table(spark, sf_dir, "events").withColumn("_key", F.lpad(F.col("event_id").cast("string"), 19, "0"))  # an index orders ids as text
+    return _parts(padded, "event_id", _line("index", "_key", F.to_json(F.struct("event_id")))).applyInArrow(_paged(cfg), "part long, sl long, pg long, n long, s long, last long")
+
+
 @query
 def slice_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy((F.col("event_id") % 5).alias("slice")).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").cast("long").alias("s"))
+    """What five slices of an index of events hold, read page by page."""
+    return _pages(spark, sf_dir, 5).groupBy(F.col("sl").alias("slice")).agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
 
 
 @query
 def paging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of each of three slices, in the order of ids."""
-    size = ReadConfig(**HOST, index="events").batch_size
-    e = _numbered(table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 3).alias("sl")), "event_id", "sl")
-    page = F.floor(F.col("_n") / size).cast("long").alias("pg")
-    return e.groupBy("sl", page).agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("search_after"))
+    """Pages of three slices of each part, in the order of ids."""
+    return _pages(spark, sf_dir, 3).select("part", "sl", "pg", "n", F.col("last").alias("search_after"))
 
 
 @query
@@ -391,23 +496,35 @@ def store_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed(store.query("orders", {"bool": {"must_not": [{"term": {"o_orderstatus": "O"}}]}}), orders.drop("_is_delete").schema, ReadConfig(**HOST, index="orders", id_field="o_orderkey"))
 
 
-def _refuse_some(n: int, actions: list[tuple]) -> list[int | None]:
-    """The first two requests meet backpressure on every tenth document."""
-    return [429 if n < 2 and i % 10 == 0 else None for i in range(len(actions))]
+class _Backpressure:
+    """Refuses every tenth document twice: when the chunk goes briefly and when it goes in full."""
+
+    def __init__(self) -> None:
+        self.refused: dict[str, int] = {}
+
+    def __call__(self, n: int, actions: list[tuple]) -> list[int | None]:
+        said: list[int | None] = []
+        for _, key, _ in actions:
+            times = self.refused.pop(key, 0)  # kept for documents in flight only
+            again = int(key) % 10 == 0 and times < 2
+            if again:
+                self.refused[key] = times + 1
+            said.append(429 if again else None)
+        return said
 
 
-def _scripted() -> ScriptedTransport:
-    return ScriptedTransport(_refuse_some)
+def _pressed() -> ScriptedTransport:
+    return ScriptedTransport(_Backpressure(), clock=_no_pause)
 
 
 @query
 def ship_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ship orders through a scripted transport that refuses some; one summary row for each partition."""
-    cfg = WriteConfig(**HOST, index="docs", id_field="o_orderkey", write_concurrency=2, bulk_stats=True)
+    """Ship orders, two requests in flight, through a scripted transport that refuses some; the sums of all partitions."""
+    cfg = WriteConfig(**SCRIPTED, id_field="o_orderkey", write_concurrency=2, bulk_stats=True)
     df = enc.timestamps_to_millis(enc.stringify_hostile(table(spark, sf_dir, "orders")))
-    writer = partition_writer(cfg, _scripted)
-    parts = enc.action_lines(df, cfg).mapInArrow(writer, summary_schema(cfg))
-    return parts.select("written", "deleted", "errors", "ignored", "total_input", "n_sends", "docs_sent", "docs_retried", "rejected_429")
+    parts = enc.action_lines(df, cfg).mapInArrow(partition_writer(cfg, _pressed), summary_schema(cfg))
+    names = ("total_input", "written", "deleted", "ignored", "errors", "unaccounted", "overcounted", "docs_retried", "rejected_429")
+    return outcome.with_discrepancies(parts).agg(*(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names))
 
 
 @query

@@ -35,7 +35,10 @@ select cast(json_object('o_orderkey',o_orderkey,'st',nullif(o_orderstatus,'F'))
 select c_custkey,to_base64(encode(repeat(c_name,6))) b from customer
 """,
     "float_short_repr": r"""
-select vec_id,cast(embedding[1] as varchar) f from embeddings where abs(embedding[1])>=0.001
+with e as (select vec_id,generate_subscripts(embedding,1)-1 i,unnest(embedding) f from embeddings),
+p as (select *,case when f<0 then '-' else '' end g,cast(abs(f) as varchar) s from e),
+q as (select *,ltrim(replace(split_part(s,'e',1),'.',''),'0') d,case when contains(s,'e') then cast(split_part(s,'e',2) as int) else -(length(s)-1-length(ltrim(substr(s,3),'0'))) end x from p)
+select vec_id,cast(i as int) i,case when abs(f)>=0.001 or f=0 then cast(f as varchar) else g||d[1]||'.'||(case when length(d)=1 then '0' else d[2:] end)||'E'||x end f from q
 """,
     "variant_to_string": r"""
 select event_id,cast(json_object('k',cast(props::json->>'$.k' as int)) as varchar) p from events
@@ -47,7 +50,7 @@ select event_id,'INTERVAL '''||(event_id%5+1)||' 02:03:04'' DAY TO SECOND' i fro
 select conv_id,cast(json_object('conv_id',conv_id,'turns',list({'turn':turn,'role':role,'text':text} order by turn,role,text)) as varchar) j from conversations group by conv_id
 """,
     "chunking": r"""
-with t as (select (row_number() over(order by o_orderkey)-1)//500 c,o_orderkey from orders) select cast(c as bigint) chunk,count(*) docs,min(o_orderkey) lo,max(o_orderkey) hi from t group by c
+with t as (select o_orderkey//4000 part,(row_number() over(partition by o_orderkey//4000 order by o_orderkey)-1)//500 c,o_orderkey from orders) select part,cast(c as bigint) chunk,count(*) docs,min(o_orderkey) lo,max(o_orderkey) hi from t group by part,c
 """,
     "upsert_last_write_wins": r"""
 select id,l_partkey,l_suppkey,l_quantity from (select concat(cast(l_orderkey as varchar),'-',cast(l_linenumber as varchar)) id,l_partkey,l_suppkey,l_quantity,row_number() over(partition by l_orderkey,l_linenumber order by l_shipdate desc,l_partkey desc,l_suppkey desc,l_quantity desc,l_extendedprice desc) rn from lineitem) t where rn=1
@@ -71,16 +74,16 @@ select case when k<=3 then 'written' else 'error' end outcome,count(*) n,cast(su
 with p as (select user_id%8 part,count(*)+(case when user_id%8=1 then 5 else 0 end) total,sum(case when case when st between 200 and 299 then case when op='delete' then 'deleted' else 'written' end when op='delete' and st=404 then 'ignored' when op='create' and st=409 then 'ignored' else 'error' end='written' then 1 else 0 end) w,sum(case when case when st between 200 and 299 then case when op='delete' then 'deleted' else 'written' end when op='delete' and st=404 then 'ignored' when op='create' and st=409 then 'ignored' else 'error' end='deleted' then 1 else 0 end) d,sum(case when case when st between 200 and 299 then case when op='delete' then 'deleted' else 'written' end when op='delete' and st=404 then 'ignored' when op='create' and st=409 then 'ignored' else 'error' end='ignored' then 1 else 0 end) i,sum(case when case when st between 200 and 299 then case when op='delete' then 'deleted' else 'written' end when op='delete' and st=404 then 'ignored' when op='create' and st=409 then 'ignored' else 'error' end='error' then 1 else 0 end)+(case when user_id%8=2 then 5 else 0 end) e from (select event_id,user_id,case event_id%3 when 0 then 'index' when 1 then 'create' else 'delete' end op,case event_id%7 when 0 then 200 when 1 then 201 when 2 then 404 when 3 then 409 when 4 then 429 when 5 then 400 else 503 end st from events) r group by user_id%8) select cast(sum(total) as bigint) total_input,cast(sum(w) as bigint) written,cast(sum(d) as bigint) deleted,cast(sum(i) as bigint) ignored,cast(sum(e) as bigint) errors,cast(sum(greatest(total-w-d-i-e,0)) as bigint) unaccounted,cast(sum(greatest(w+d+i+e-total,0)) as bigint) overcounted from p
 """,
     "error_samples": r"""
-select event_id,op,st from (select event_id,user_id,case event_id%3 when 0 then 'index' when 1 then 'create' else 'delete' end op,case event_id%7 when 0 then 200 when 1 then 201 when 2 then 404 when 3 then 409 when 4 then 429 when 5 then 400 else 503 end st from events) r where case when st between 200 and 299 then case when op='delete' then 'deleted' else 'written' end when op='delete' and st=404 then 'ignored' when op='create' and st=409 then 'ignored' else 'error' end='error' order by event_id limit 20
+select part,event_id,op,st from (select *,row_number() over(partition by part order by event_id) rn from (select event_id,event_id//4000 part,case event_id%3 when 0 then 'index' when 1 then 'create' else 'delete' end op,case event_id%7 when 0 then 200 when 1 then 201 when 2 then 404 when 3 then 409 when 4 then 429 when 5 then 400 else 503 end st from events) r where st>=300 and not(op='delete' and st=404) and not(op='create' and st=409)) t where rn<=20
 """,
     "send_stats": r"""
-select user_id%8 part,count(*) n,round(avg(value),6) mean,round(quantile_cont(value,0.5),6) p50,round(quantile_cont(value,0.95),6) p95,max(value) mx from events group by user_id%8
+select event_id//4000 part,count(*) n,cast(sum(user_id) as bigint) bytes,round(avg(value),6) mean,round(quantile_cont(value,0.5),6) p50,round(quantile_cont(value,0.95),6) p95,round(max(value),6) max from events where value is not null group by 1
 """,
     "slice_cover": r"""
 select event_id%5 slice,count(*) n,cast(sum(event_id) as bigint) s from events group by 1
 """,
     "paging": r"""
-with t as (select event_id%3 sl,(row_number() over(partition by event_id%3 order by event_id)-1)//1000 pg,event_id from events) select sl,cast(pg as bigint) pg,count(*) n,max(event_id) search_after from t group by sl,pg
+with t as (select event_id//4000 part,event_id%3 sl,(row_number() over(partition by event_id//4000,event_id%3 order by event_id)-1)//1000 pg,event_id from events) select part,sl,cast(pg as bigint) pg,count(*) n,max(event_id) search_after from t group by part,sl,pg
 """,
     "dsl_bool": r"""
 select event_id,event_type,value from events where event_type='error' and value>=5 and value<50 and not(user_id in (1,2,3))
@@ -117,5 +120,8 @@ select o_orderkey,o_custkey,o_orderstatus,o_totalprice,date_trunc('millisecond',
 """,
     "streaming_sink": r"""
 select * from nation
+""",
+    "ship_accounting": r"""
+select count(*) total_input,count(*) written,cast(0 as bigint) deleted,cast(0 as bigint) ignored,cast(0 as bigint) errors,cast(0 as bigint) unaccounted,cast(0 as bigint) overcounted,cast(count(*) filter (o_orderkey%10=0) as bigint) docs_retried,cast(count(*) filter (o_orderkey%10=0) as bigint) rejected_429 from orders
 """,
 }

@@ -17,6 +17,10 @@ from urllib.parse import quote, urlsplit
 from ..config import Connection
 
 
+#: Connections to a node where the settings name none.
+CONNECTIONS = 10
+
+
 class TransportTimeout(Exception):
     """No answer in time: whether the request took effect is unknown."""
 
@@ -45,6 +49,8 @@ class HttpTransport:
         self.cfg = cfg
         self.local = threading.local()
         self.turn = 0
+        #: As many requests at once as the settings give a node connections.
+        self.slots = threading.BoundedSemaphore(cfg.client_kwargs().get("connections_per_node", CONNECTIONS))
 
     def _connection(self) -> http.client.HTTPConnection:
         if getattr(self.local, "connection", None) is None:
@@ -81,10 +87,11 @@ class HttpTransport:
             last = attempt == self.cfg.transport_max_retries
             start = time.perf_counter()
             try:
-                c = self._connection()
-                c.request(method, path, body, self._headers(kind if body is not None else None))
-                r = c.getresponse()
-                data = r.read()
+                with self.slots:
+                    c = self._connection()
+                    c.request(method, path, body, self._headers(kind if body is not None else None))
+                    r = c.getresponse()
+                    data = r.read()
             except TimeoutError as e:
                 self._drop()
                 if last or not retry:
@@ -151,10 +158,16 @@ class ScriptedTransport:
     ``script(n, actions)`` is called with the request's number and its parsed actions
     ``(op, id, source)``.  It may raise, return a list of statuses (None: as the store
     would answer), or a whole response; returning None leaves the request alone.
+    ``clock`` passes the writer's pauses instead of sleeping.  ``deal(place, id)`` is a
+    document's number, whose remainder is its slice.  Searches see all documents: the
+    query is not looked at.
     """
 
-    def __init__(self, script: Callable[[int, list[tuple]], Any] | None = None, latency: float = 0.0, indexes: tuple[str, ...] = ("docs",)):
+    def __init__(self, script: Callable[[int, list[tuple]], Any] | None = None, latency: float = 0.0, indexes: tuple[str, ...] = ("docs",), clock: Callable[[float], None] | None = None, deal: Callable[[int, str], int] | None = None):
         self.script, self.latency, self.indexes = script, latency, set(indexes)
+        if clock:
+            self.wait = clock
+        self.deal = deal or (lambda place, _: place)
         self.documents: dict[str, dict] = {}
         self.requests: list[tuple[int, str | None]] = []
         self.flying = self.most_flying = 0
@@ -217,7 +230,7 @@ class ScriptedTransport:
     def search(self, body: dict) -> dict:
         rows = sorted(self.documents.items())
         part = body.get("slice") or {"id": 0, "max": 1}
-        rows = [(k, (i, d)) for i, (k, d) in enumerate(rows) if i % part["max"] == part["id"]]
+        rows = [(k, (i, d)) for i, (k, d) in enumerate(rows) if self.deal(i, k) % part["max"] == part["id"]]
         after = body.get("search_after", [-1])[0]
         page = [(k, i, d) for k, (i, d) in rows if i > after][: body["size"]]
         return {"pit_id": body["pit"]["id"], "hits": {"hits": [{"_id": k, "_source": d, "sort": [i]} for k, i, d in page]}}
