@@ -65,6 +65,7 @@ class WriteConfig(Connection):
     delete_flag_column: str | None = None
     op_type: str = "index"
     bypass_fast_path: bool = False
+    version_field: str | None = None
 
     def __post_init__(self) -> None:
         super().__post_init__()
@@ -87,6 +88,8 @@ class WriteConfig(Connection):
             raise ValueError(f"op_type must be one of {OP_TYPES}")
         if self.op_type == "create" and not self.id_field:
             raise ValueError("op_type create needs an id_field: without one nothing can be recognised as present")
+        if self.version_field and (not self.id_field or self.op_type != "index" or self.has_deletes):
+            raise ValueError("version_field needs an id_field and op_type index, and knows no deletes")
         if self.op_type == "create" and self.has_deletes:
             raise ValueError("op_type create only appends and can't be mixed with deletes")
 

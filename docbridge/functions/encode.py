@@ -104,6 +104,11 @@ def document_id(df: DataFrame, id_field: str) -> Column:
     return c.cast("string")
 
 
+def document_version(df: DataFrame, version_field: str) -> Column:
+    """The writer's own version of a document: a whole number, or an instant's or date's epoch milliseconds."""
+    return json_value(column(version_field), df.schema[version_field].dataType).cast("long")
+
+
 def action_lines(df: DataFrame, cfg: WriteConfig, name: str = "_ndjson") -> DataFrame:
     """One column: each row's whole action, ``header`` or ``header<newline>document``.
 
@@ -123,18 +128,19 @@ def action_line(df: DataFrame, cfg: WriteConfig) -> Column:
     if not cfg.id_field:
         return F.concat(F.to_json(F.struct(F.struct(fixed).alias(cfg.op_type))), F.lit("\n"), doc)
     key = document_id(df, cfg.id_field)
+    version = [document_version(df, cfg.version_field).alias("version"), F.lit("external_gte").alias("version_type")] if cfg.version_field else []
 
     def header(op: str) -> Column:
-        return F.to_json(F.struct(F.struct(fixed, key.alias("_id")).alias(op)))
+        return F.to_json(F.struct(F.struct(fixed, key.alias("_id"), *version).alias(op)))
 
     line = F.concat(header(cfg.op_type), F.lit("\n"), doc)
     if cfg.has_deletes:
         line = F.when(column(cfg.delete_flag_column) == F.lit(True), header("delete")).otherwise(line)
-    return F.when(key.isNotNull(), line)
+    return F.when(key.isNotNull() & version[0].isNotNull() if version else key.isNotNull(), line)
 
 
 def documents(df: DataFrame, cfg: WriteConfig) -> DataFrame:
-    """Rows as _op, _id and _source columns: what the local store applies."""
+    """Rows as _op, _id, _source and, if they carry one, _version: what the local store applies."""
     df = stringify_hostile(df)
     drop = cfg.drop_fields + ((cfg.delete_flag_column,) if cfg.has_deletes else ())
     names = payload_columns(df.columns, drop)
@@ -143,7 +149,8 @@ def documents(df: DataFrame, cfg: WriteConfig) -> DataFrame:
         op = F.when(column(cfg.delete_flag_column) == F.lit(True), F.lit("delete")).otherwise(op)
     key = document_id(df, cfg.id_field) if cfg.id_field else F.expr("uuid()")
     doc = source_json(df, names) if names else F.lit("{}")
-    return df.select(op.alias("_op"), key.alias("_id"), F.when(op != "delete", doc).alias("_source"))
+    version = [document_version(df, cfg.version_field).alias("_version")] if cfg.version_field else []
+    return df.select(op.alias("_op"), key.alias("_id"), F.when(op != "delete", doc).alias("_source"), *version)
 
 
 

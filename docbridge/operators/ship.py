@@ -131,6 +131,9 @@ def ship_chunk(transport: Transport, cfg: WriteConfig, lines: list[str]) -> Acco
             again = []
             results = list(read_items(response.get("items") or []))
             for line, (op, status, body, outcome) in zip(pending, results):
+                if cfg.version_field and status == 409:
+                    outcome = IGNORED  # the index holds a newer version
+                    account.diagnostics["rejected_409"] += 1
                 if outcome == ERROR:
                     account.diagnostics[bucket(status)] += 1
                     if status in cfg.retry_on_doc_status and attempt < cfg.max_retries_per_doc:
@@ -260,7 +263,7 @@ def partition_writer(cfg: WriteConfig, connect: Callable[[], Transport]) -> Call
             for b in batches:
                 col = b.column(0)
                 if col.null_count:
-                    raise ValueError(f"{col.null_count} rows have no usable value in id column {cfg.id_field!r}; refusing to write them under ids of chance")
+                    raise ValueError(f"{col.null_count} rows have no usable value in id column {cfg.id_field!r}{f' or version column {cfg.version_field!r}' if cfg.version_field else ''}; refusing to write them under ids of chance")
                 total += len(col)
                 yield from col.to_pylist()
 

@@ -15,7 +15,7 @@ from . import outcome
 from .ship import STAT_NAMES, partition_writer, summary_schema
 
 #: Settings that name columns; each must be checked before a row is written.
-COLUMN_SETTINGS = ("id_field", "drop_fields", "delete_flag_column")
+COLUMN_SETTINGS = ("id_field", "drop_fields", "delete_flag_column", "version_field")
 
 
 def check_columns(df: DataFrame, cfg: WriteConfig) -> None:

@@ -542,6 +542,18 @@ def streaming_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed(store.state("nation"), nation.schema, ReadConfig(**HOST, index="nation", id_field="n_nationkey"))
 
 
+@query
+def external_version_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events through the sink in two batches, their instant as version: what comes late does not replace what is newer."""
+    root = folder(spark)
+    cfg = WriteConfig(hosts=(f"store:{root}",), api_key="none", index="users", id_field="user_id", version_field="ts", require_existing_index=False)
+    write = make_foreach_batch(cfg)
+    events = table(spark, sf_dir, "events")
+    for odd in (0, 1):
+        write(events.where(F.col("event_id") % 2 == odd).select("user_id", "ts"), odd)
+    return read_index(spark, ReadConfig(hosts=cfg.hosts, api_key="none", index="users"), events.select("user_id", "ts").schema)
+
+
 def read_config_json(cfg: ReadConfig) -> str:
     """Options of ``spark.read.format("docindex")``."""
     return json.dumps({f: getattr(cfg, f) for f in cfg.__dataclass_fields__})

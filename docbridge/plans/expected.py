@@ -123,5 +123,8 @@ select * from nation
 """,
     "ship_accounting": r"""
 select count(*) total_input,count(*) written,cast(0 as bigint) deleted,cast(0 as bigint) ignored,cast(0 as bigint) errors,cast(0 as bigint) unaccounted,cast(0 as bigint) overcounted,cast(count(*) filter (o_orderkey%10=0) as bigint) docs_retried,cast(count(*) filter (o_orderkey%10=0) as bigint) rejected_429 from orders
+""",
+    "external_version_sink": r"""
+select user_id,date_trunc('millisecond',max(ts)) ts from events group by user_id
 """,
 }

@@ -38,18 +38,27 @@ def _one(body: dict) -> tuple[str, Any]:
     return next(iter(body.items()))
 
 
+def _near(field: Field, name: str, value: Any) -> Column:
+    """The field as something that compares with ``value``, where its column may be of another kind."""
+    return field.like(name, value) if hasattr(field, "like") else field(name)
+
+
 def _value(v: Any, key: str = "value") -> Any:
     return v[key] if isinstance(v, dict) else v
 
 
 def _term(body: dict, field: Field, _: Column | None) -> Column:
     name, v = _one(body)
-    return field(name) == F.lit(_value(v))
+    return _near(field, name, _value(v)) == F.lit(_value(v))
 
 
 def _terms(body: dict, field: Field, _: Column | None) -> Column:
     name, values = _one(body)
-    return field(name).isin(*values) if values else F.lit(False)
+    kinds = {isinstance(v, str): [w for w in values if isinstance(w, str) == isinstance(v, str)] for v in values}
+    out = F.lit(False)
+    for same in kinds.values():
+        out |= _near(field, name, max(same, key=abs) if not isinstance(same[0], str) else same[0]).isin(*same)
+    return out
 
 
 def _range(body: dict, field: Field, _: Column | None) -> Column:
@@ -59,7 +68,7 @@ def _range(body: dict, field: Field, _: Column | None) -> Column:
         raise ValueError(f"range knows {sorted(_RANGE)}, not {sorted(unknown)}")
     out = F.lit(True)
     for k, v in limits.items():
-        out &= getattr(field(name), _RANGE[k])(F.lit(v))
+        out &= getattr(_near(field, name, v), _RANGE[k])(F.lit(v))
     return out
 
 

@@ -22,6 +22,8 @@ from ..operators import outcome
 from .dsl import IGNORE_ABOVE, compile_query, keyword
 
 STATE = "_id string, _source string"
+#: As stored: the version is null where the last write carried none.
+STORED = f"{STATE}, _version long"
 _NUMERIC = {"long": "long", "integer": "int", "short": "smallint", "byte": "tinyint", "double": "double", "float": "float"}
 
 
@@ -93,7 +95,8 @@ def winners(actions: DataFrame) -> DataFrame:
 
 def _merge(state: DataFrame, last: DataFrame) -> DataFrame:
     both = state.join(last, "_id", "full_outer")
-    return both.where(F.coalesce(F.col("_op") != "delete", F.lit(True))).select("_id", F.when(F.col("_op").isNotNull(), F.col("_new")).otherwise(F.col("_source")).alias("_source"))
+    version = [F.when(F.col("_op").isNull(), F.col("_version")).alias("_version")] if "_version" in state.columns else []
+    return both.where(F.coalesce(F.col("_op") != "delete", F.lit(True))).select("_id", F.when(F.col("_op").isNotNull(), F.col("_new")).otherwise(F.col("_source")).alias("_source"), *version)
 
 
 def upsert(state: DataFrame, actions: DataFrame) -> DataFrame:
@@ -108,7 +111,31 @@ def create(state: DataFrame, actions: DataFrame) -> tuple[DataFrame, DataFrame]:
     outcomes = actions.select("_seq", "_op", "_id").join(fresh.select("_id", "_first"), "_id", "left")
     status = F.when(F.coalesce(F.col("_first") == F.col("_seq"), F.lit(False)), 201).otherwise(409)
     outcomes = outcomes.withColumn("status", status).select("_seq", "_op", "_id", "status", outcome.classify_column(F.col("_op"), F.col("status")).alias("outcome"))
-    return state.unionByName(fresh.select("_id", "_source")), outcomes
+    return state.unionByName(fresh.select("_id", "_source"), allowMissingColumns=True), outcomes
+
+
+def apply_versions(state: DataFrame, actions: DataFrame, mapping: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The state after writes that carry a version, and the status of each.
+
+    ``state`` and ``actions`` have _version.  A write older than what the document then
+    holds is a conflict (409) that is ignored; an equal version is written, so that a
+    batch may be sent again.  Returns (state, outcomes) as ``apply_actions`` does.
+    """
+    known = state.select("_id", F.col("_version").alias("_stored"), F.lit(True).alias("_known"))
+    a = actions.withColumn("_bad", rejected(mapping or {}))
+    before = Window.partitionBy("_id").orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1)
+    newest = F.max(F.when(~F.col("_bad"), F.col("_version"))).over(before)
+    a = a.withColumn("_newest", newest).join(known, "_id", "left")
+    held = F.greatest("_newest", "_stored")  # null only if both are
+    there = F.col("_newest").isNotNull() | F.col("_known").isNotNull()
+    status = F.when(F.col("_bad"), 400).when(F.col("_version") < held, 409).otherwise(F.when(there, 200).otherwise(201))
+    judged = a.withColumn("status", status)
+    result = F.when(F.col("status") == 409, outcome.IGNORED).otherwise(outcome.classify_column(F.col("_op"), F.col("status")))
+    outcomes = judged.select("_seq", "_op", "_id", "status", result.alias("outcome"))
+    top = judged.where(F.col("status") < 300).groupBy("_id").agg(F.max_by(F.struct("_source", "_version"), F.struct("_version", "_seq")).alias("w"))
+    both = state.select("_id", F.struct("_source", "_version").alias("_old")).join(top, "_id", "full_outer")
+    now = F.coalesce("w", "_old")
+    return both.select("_id", now["_source"].alias("_source"), now["_version"].alias("_version")), outcomes
 
 
 def versioned_upsert(stored: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -170,11 +197,11 @@ class DocumentStore:
         if self.exists(index):
             raise ValueError(f"index {index!r} exists")
         self.fs.mkdirs(self._path(f"{self.root}/{index}/manifests"))
-        self._commit(index, 0, self.spark.createDataFrame([], STATE), {"mapping": mapping or {}, "shards": shards})
+        self._commit(index, 0, self.spark.createDataFrame([], STORED), {"mapping": mapping or {}, "shards": shards})
 
     def _commit(self, index: str, version: int, state: DataFrame, meta: dict) -> None:
         path = f"{self.root}/{index}/data-{version}-{uuid.uuid4().hex[:8]}"
-        state.select("_id", "_source").write.parquet(path)
+        state.select("_id", "_source", F.col("_version") if "_version" in state.columns else F.lit(None).cast("long").alias("_version")).write.parquet(path)
         if not self._write(f"{self.root}/{index}/manifests/{version}.json", meta | {"path": path}):
             self.fs.delete(self._path(path), True)
             raise RuntimeError(f"index {index!r}: another writer committed version {version} first")
@@ -192,7 +219,10 @@ class DocumentStore:
         return self._read(f"{self.root}/{index}/manifests/{self._manifests(index)[-1]}.json")["shards"]
 
     def state(self, index: str, version: int | None = None) -> DataFrame:
-        return self.spark.read.schema(STATE).parquet(self.snapshot(index, version).path)
+        return self._stored(index, version).select("_id", "_source")
+
+    def _stored(self, index: str, version: int | None = None) -> DataFrame:
+        return self.spark.read.schema(STORED).parquet(self.snapshot(index, version).path)
 
     def write(self, df: DataFrame, cfg: WriteConfig) -> dict:
         """Apply the rows of ``df`` as actions, commit, and account for each."""
@@ -208,8 +238,12 @@ class DocumentStore:
         try:
             if not actions.where("_id is null").isEmpty():
                 raise ValueError(f"rows have no usable value in id column {cfg.id_field!r}; nothing was written")
-            state = self.state(cfg.index)
-            if cfg.op_type == "create" and not now.mapping:
+            if cfg.version_field and not actions.where("_version is null").isEmpty():
+                raise ValueError(f"rows have no usable value in version column {cfg.version_field!r}; nothing was written")
+            state = self._stored(cfg.index)
+            if cfg.version_field:
+                new, outcomes = apply_versions(state, actions, now.mapping)
+            elif cfg.op_type == "create" and not now.mapping:
                 new, outcomes = create(state, actions)
             else:
                 new, outcomes = apply_actions(state, actions, now.mapping)
@@ -226,10 +260,26 @@ class DocumentStore:
         """Documents whose indexed values match."""
         snap = self.snapshot(index, version)
 
-        def field(name: str) -> Column:
-            base = name.removesuffix(".keyword")
-            if name != base:
-                return indexed_value(base, "keyword")
-            return indexed_value(name, snap.mapping[name]) if name in snap.mapping else source_field(name)
+        return self.state(index, snap.version).where(compile_query(query, IndexedFields(snap.mapping), F.col("_id")))
+
+
+class IndexedFields:
+    """The columns of an index's fields: as mapped, else as text."""
+
+    def __init__(self, mapping: dict[str, str]):
+        self.mapping = mapping
+
+    def __call__(self, name: str) -> Column:
+        base = name.removesuffix(".keyword")
+        if name != base:
+            return indexed_value(base, "keyword")
+        return indexed_value(name, self.mapping[name]) if name in self.mapping else source_field(name)
 
-        return self.state(index, snap.version).where(compile_query(query, field, F.col("_id")))
+    def like(self, name: str, value: Any) -> Column:
+        """The field for a comparison with ``value``: text that is no such value compares as null, it is no error."""
+        c = self(name)
+        if self.mapping.get(name) in (*_NUMERIC, "boolean") or isinstance(value, str):
+            return c
+        if isinstance(value, bool):
+            return c.try_cast("boolean")
+        return c.try_cast("decimal(38,6)" if isinstance(value, int) and abs(value) >= 1 << 53 else "double")

@@ -169,6 +169,7 @@ class ScriptedTransport:
             self.wait = clock
         self.deal = deal or (lambda place, _: place)
         self.documents: dict[str, dict] = {}
+        self.versions: dict[str, int] = {}
         self.requests: list[tuple[int, str | None]] = []
         self.flying = self.most_flying = 0
         self.closed = False
@@ -176,11 +177,13 @@ class ScriptedTransport:
         self.ids = 0
 
     def bulk(self, lines: list[str], filter_path: str | None = None) -> dict:
-        actions = []
+        actions: list[tuple] = []
+        versions: list[int | None] = []
         for line in lines:
             head, _, doc = line.partition("\n")
             ((op, meta),) = json.loads(head).items()
             actions.append((op, meta.get("_id"), json.loads(doc) if doc else None))
+            versions.append(meta.get("version"))
         with self.lock:
             n = len(self.requests)
             self.requests.append((len(lines), filter_path))
@@ -193,7 +196,7 @@ class ScriptedTransport:
             if isinstance(said, dict):
                 return said
             with self.lock:
-                items = [self._apply(op, i, doc, status) for (op, i, doc), status in zip(actions, said or [None] * len(actions))]
+                items = [self._apply(op, i, doc, status, v) for (op, i, doc), status, v in zip(actions, said or [None] * len(actions), versions)]
         finally:
             with self.lock:
                 self.flying -= 1
@@ -201,19 +204,22 @@ class ScriptedTransport:
         whole = {"took": 1, "errors": errors, "items": items}
         return {k: whole[k] for k in (filter_path or "took,errors,items").split(",")}
 
-    def _apply(self, op: str, key: str | None, doc: dict | None, status: int | None) -> dict:
+    def _apply(self, op: str, key: str | None, doc: dict | None, status: int | None, version: int | None = None) -> dict:
         if key is None:
             self.ids += 1
             key = f"auto-{self.ids}"
         if status is None:
             there = key in self.documents
-            status = (200 if there else 404) if op == "delete" else 409 if op == "create" and there else 200 if there else 201
+            stale = version is not None and version < self.versions.get(key, version)
+            status = (200 if there else 404) if op == "delete" else 409 if stale or op == "create" and there else 200 if there else 201
         body: dict[str, Any] = {"_id": key, "status": status}
         if status < 300:
             if op == "delete":
                 self.documents.pop(key)
             else:
                 self.documents[key] = doc or {}
+                if version is not None:
+                    self.versions[key] = version
         elif status != 404 or op != "delete":
             body["error"] = {"type": "scripted", "reason": f"status {status}"}
         return {op: body}

@@ -150,3 +150,8 @@ def test_filters_that_an_index_answers_exactly():
     assert scan.filter_to_query(IsNotNull(("n",))) == {"exists": {"field": "n"}}
     assert scan.filter_to_query(IsNotNull(("_source",))) is None and scan.filter_to_query(EqualTo(("_id",), 5)) is None
     assert scan.filter_to_query(EqualTo(("s",), "text")) is None and scan.filter_to_query(EqualTo(("a", "b"), 1)) is None
+
+
+def test_requests_wait_for_a_connection():
+    assert HttpTransport(WriteConfig(hosts="http://h:1", api_key="k", index="docs", write_concurrency=3)).slots._value == 3
+    assert HttpTransport(ReadConfig(hosts="http://h:1", api_key="k", index="docs")).slots._value == 10

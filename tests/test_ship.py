@@ -183,3 +183,24 @@ def test_every_column_setting_is_checked():
 def test_stat_names_and_schema_agree():
     schema = ship.summary_schema(WriteConfig(**AT, bulk_stats=True))
     assert [x.split()[0] for x in schema.split(", ")] == [n for n, _ in ship.SUMMARY] + list(ship.STAT_NAMES) and len(ship.STAT_NAMES) == 33
+
+
+def test_an_older_version_is_ignored(spark):
+    made = []
+
+    def make():
+        made.append(ScriptedTransport())
+        return made[-1]
+
+    cfg = WriteConfig(**AT, id_field="id", version_field="v")
+    lines = [r.line for r in ship_lines(spark, [("a", 5), ("a", 4), ("a", 5), ("b", 0)], cfg)]
+    assert json.loads(lines[0].partition("\n")[0]) == {"index": {"_index": "docs", "_id": "a", "version": 5, "version_type": "external_gte"}}
+    account = ship.ship_chunk(make(), cfg, lines)
+    assert (account.counts["written"], account.counts["ignored"], account.counts["errors"]) == (3, 1, 0)
+    assert made[0].documents["a"]["v"] == 5 and account.diagnostics["rejected_409"] == 1
+
+
+def ship_lines(spark, rows, cfg):
+    from docbridge.functions.encode import action_lines
+
+    return action_lines(spark.createDataFrame(rows, "id string, v long").coalesce(1), cfg, "line").collect()

@@ -128,3 +128,32 @@ def test_query_forms(spark):
     for bad in ({"fuzzy": {}}, {"term": {}, "terms": {}}, {"range": {"v": {"near": 1}}}, {"bool": {"mast": []}}):
         with pytest.raises(ValueError):
             run(bad)
+
+
+def test_numbers_against_fields_without_a_type(spark, store):
+    store.create_index("docs")
+    bulk_write(spark.createDataFrame([("a", "5"), ("b", "word"), ("c", "7.5"), ("d", None), ("e", "9007199254740993")], "doc_id string, v string"), cfg(store))
+    run = lambda q: sorted(r._id for r in store.query("docs", q).collect())
+    assert run({"term": {"v": 5}}) == ["a"] and run({"range": {"v": {"gt": 5, "lt": 10}}}) == ["c"]
+    assert run({"terms": {"v": [5, "word"]}}) == ["a", "b"] and run({"term": {"v": 9007199254740993}}) == ["e"]
+    assert run({"terms": {"v": [5, 9007199254740992]}}) == ["a"] and run({"term": {"v": True}}) == []
+
+
+def test_late_versions_are_ignored(spark, store):
+    store.create_index("docs", {"n": "integer"})
+    c = cfg(store, version_field="v")
+    schema = "doc_id string, v long, n string"
+    one = spark.createDataFrame([("a", 5, "1"), ("a", 4, "2"), ("b", 1, "3"), ("bad", 9, "x")], schema).coalesce(1)
+    r = bulk_write(one, c)
+    assert (r["written"], r["ignored"], r["errors"]) == (2, 1, 1)
+    two = spark.createDataFrame([("a", 4, "4"), ("b", 1, "5"), ("c", 0, "6"), ("bad", 1, "7")], schema).coalesce(1)
+    r = bulk_write(two, c)
+    assert (r["written"], r["ignored"], r["errors"]) == (3, 1, 0)
+    held = {x._id: x._source for x in store.state("docs").collect()}
+    assert sorted(held) == ["a", "b", "bad", "c"] and '"n":"1"' in held["a"] and '"n":"5"' in held["b"]
+    bulk_write(spark.createDataFrame([("d", "8")], "doc_id string, n string"), cfg(store))
+    assert bulk_write(two, c)["ignored"] == 1  # versions outlast writes without one
+    with pytest.raises(ValueError):
+        bulk_write(spark.createDataFrame([("a", None, "1")], schema), c)
+    with pytest.raises(ValueError):
+        cfg(store, version_field="v", op_type="create")
