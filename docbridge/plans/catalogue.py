@@ -339,14 +339,14 @@ def error_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _summed(rows: pa.Table) -> pa.Table:
     stats = stats_of([Send(docs=1, size=n, rtt_ms=v, cpu_ms=0.0) for n, v in zip(rows["size"].to_pylist(), rows["value"].to_pylist())])
-    return pa.Table.from_pylist([{"part": rows["part"][0].as_py(), "n": stats["n_sends"], "bytes": stats["bytes_sent"]} | {s: None if stats[f"rtt_ms_{s}"] is None else round(stats[f"rtt_ms_{s}"], 6) for s in ("mean", "p50", "p95", "max")}])
+    return pa.Table.from_pylist([{"part": rows["part"][0].as_py(), "n": stats["n_sends"], "bytes": stats["bytes_sent"], "busy": round(stats["send_busy_ms"], 2)} | {s: round(stats[f"rtt_ms_{s}"], 6) for s in ("p50", "p95", "max")}])
 
 
 @query
 def send_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The writer's statistics of requests for which events stand, of each part."""
     sends = _parts(table(spark, sf_dir, "events").where("value is not null"), "event_id", F.lit(""), value=F.col("value"), size=F.col("user_id").cast("long"))
-    return sends.applyInArrow(_summed, "part long, n long, bytes long, mean double, p50 double, p95 double, max double")
+    return sends.applyInArrow(_summed, "part long, n long, bytes long, busy double, p50 double, p95 double, max double")
 
 
 # -- scans -----------------------------------------------------------------------

@@ -77,7 +77,7 @@ with p as (select user_id%8 part,count(*)+(case when user_id%8=1 then 5 else 0 e
 select part,event_id,op,st from (select *,row_number() over(partition by part order by event_id) rn from (select event_id,event_id//4000 part,case event_id%3 when 0 then 'index' when 1 then 'create' else 'delete' end op,case event_id%7 when 0 then 200 when 1 then 201 when 2 then 404 when 3 then 409 when 4 then 429 when 5 then 400 else 503 end st from events) r where st>=300 and not(op='delete' and st=404) and not(op='create' and st=409)) t where rn<=20
 """,
     "send_stats": r"""
-select event_id//4000 part,count(*) n,cast(sum(user_id) as bigint) bytes,round(avg(value),6) mean,round(quantile_cont(value,0.5),6) p50,round(quantile_cont(value,0.95),6) p95,round(max(value),6) max from events where value is not null group by 1
+select event_id//4000 part,count(*) n,cast(sum(user_id) as bigint) bytes,round(sum(value),2) busy,round(quantile_cont(value,0.5),6) p50,round(quantile_cont(value,0.95),6) p95,round(max(value),6) max from events where value is not null group by 1
 """,
     "slice_cover": r"""
 select event_id%5 slice,count(*) n,cast(sum(event_id) as bigint) s from events group by 1

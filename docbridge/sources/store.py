@@ -24,6 +24,7 @@ from .dsl import IGNORE_ABOVE, compile_query, keyword
 STATE = "_id string, _source string"
 #: As stored: the version is null where the last write carried none.
 STORED = f"{STATE}, _version long"
+OUTCOMES = ("_seq", "_op", "_id", "status", "outcome")
 _NUMERIC = {"long": "long", "integer": "int", "short": "smallint", "byte": "tinyint", "double": "double", "float": "float"}
 
 
@@ -68,6 +69,12 @@ def apply_actions(state: DataFrame, actions: DataFrame, mapping: dict[str, str]
     a conflict, and a rejected action (status 400) has no effect.  Returns (state,
     outcomes) with outcomes: _seq, _op, _id, status, outcome.
     """
+    judged = judge_actions(state, actions, mapping)
+    return settle_actions(state, judged), judged.select(*OUTCOMES)
+
+
+def judge_actions(state: DataFrame, actions: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
+    """``actions`` with the status and outcome of each."""
     known = state.select("_id").withColumn("_stored", F.lit(True))
     a = actions.withColumn("_bad", F.when(F.col("_op") == "delete", False).otherwise(rejected(mapping or {})))
     # one id's actions in order; their number is that of the retries of one document
@@ -82,9 +89,12 @@ def apply_actions(state: DataFrame, actions: DataFrame, mapping: dict[str, str]
         .otherwise(F.when(there, 200).otherwise(201))
     )
     judged = a.withColumn("status", status)
-    outcomes = judged.select("_seq", "_op", "_id", "status", outcome.classify_column(F.col("_op"), F.col("status")).alias("outcome"))
-    last = winners(judged.where((F.col("status") < 300)))
-    return _merge(state, last), outcomes
+    return judged.select(*actions.columns, "status", outcome.classify_column(F.col("_op"), F.col("status")).alias("outcome"))
+
+
+def settle_actions(state: DataFrame, judged: DataFrame) -> DataFrame:
+    """The state after judged actions."""
+    return _merge(state, winners(judged.where(F.col("status") < 300)))
 
 
 def winners(actions: DataFrame) -> DataFrame:
@@ -106,12 +116,19 @@ def upsert(state: DataFrame, actions: DataFrame) -> DataFrame:
 
 def create(state: DataFrame, actions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Append-only: the first action of an unknown id is written, all others are conflicts."""
-    first = actions.groupBy("_id").agg(F.min_by(F.struct("_seq", "_source"), "_seq").alias("f")).select("_id", F.col("f._seq").alias("_first"), F.col("f._source").alias("_source"))
-    fresh = first.join(state.select("_id"), "_id", "left_anti")
-    outcomes = actions.select("_seq", "_op", "_id").join(fresh.select("_id", "_first"), "_id", "left")
+    judged = judge_creates(state, actions)
+    return settle_creates(state, judged), judged.select(*OUTCOMES)
+
+
+def judge_creates(state: DataFrame, actions: DataFrame, _: dict[str, str] | None = None) -> DataFrame:
+    fresh = actions.groupBy("_id").agg(F.min("_seq").alias("_first")).join(state.select("_id"), "_id", "left_anti")
+    known = actions.join(fresh, "_id", "left")
     status = F.when(F.coalesce(F.col("_first") == F.col("_seq"), F.lit(False)), 201).otherwise(409)
-    outcomes = outcomes.withColumn("status", status).select("_seq", "_op", "_id", "status", outcome.classify_column(F.col("_op"), F.col("status")).alias("outcome"))
-    return state.unionByName(fresh.select("_id", "_source"), allowMissingColumns=True), outcomes
+    return known.withColumn("status", status).select(*actions.columns, "status", outcome.classify_column(F.col("_op"), F.col("status")).alias("outcome"))
+
+
+def settle_creates(state: DataFrame, judged: DataFrame) -> DataFrame:
+    return state.unionByName(judged.where(F.col("status") == 201).select("_id", "_source"), allowMissingColumns=True)
 
 
 def apply_versions(state: DataFrame, actions: DataFrame, mapping: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -121,6 +138,11 @@ def apply_versions(state: DataFrame, actions: DataFrame, mapping: dict[str, str]
     holds is a conflict (409) that is ignored; an equal version is written, so that a
     batch may be sent again.  Returns (state, outcomes) as ``apply_actions`` does.
     """
+    judged = judge_versions(state, actions, mapping)
+    return settle_versions(state, judged), judged.select(*OUTCOMES)
+
+
+def judge_versions(state: DataFrame, actions: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
     known = state.select("_id", F.col("_version").alias("_stored"), F.lit(True).alias("_known"))
     a = actions.withColumn("_bad", rejected(mapping or {}))
     before = Window.partitionBy("_id").orderBy("_seq").rowsBetween(Window.unboundedPreceding, -1)
@@ -131,11 +153,14 @@ def apply_versions(state: DataFrame, actions: DataFrame, mapping: dict[str, str]
     status = F.when(F.col("_bad"), 400).when(F.col("_version") < held, 409).otherwise(F.when(there, 200).otherwise(201))
     judged = a.withColumn("status", status)
     result = F.when(F.col("status") == 409, outcome.IGNORED).otherwise(outcome.classify_column(F.col("_op"), F.col("status")))
-    outcomes = judged.select("_seq", "_op", "_id", "status", result.alias("outcome"))
+    return judged.select(*actions.columns, "status", result.alias("outcome"))
+
+
+def settle_versions(state: DataFrame, judged: DataFrame) -> DataFrame:
     top = judged.where(F.col("status") < 300).groupBy("_id").agg(F.max_by(F.struct("_source", "_version"), F.struct("_version", "_seq")).alias("w"))
     both = state.select("_id", F.struct("_source", "_version").alias("_old")).join(top, "_id", "full_outer")
     now = F.coalesce("w", "_old")
-    return both.select("_id", now["_source"].alias("_source"), now["_version"].alias("_version")), outcomes
+    return both.select("_id", now["_source"].alias("_source"), now["_version"].alias("_version"))
 
 
 def versioned_upsert(stored: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -242,17 +267,21 @@ class DocumentStore:
                 raise ValueError(f"rows have no usable value in version column {cfg.version_field!r}; nothing was written")
             state = self._stored(cfg.index)
             if cfg.version_field:
-                new, outcomes = apply_versions(state, actions, now.mapping)
+                judge, settle = judge_versions, settle_versions
             elif cfg.op_type == "create" and not now.mapping:
-                new, outcomes = create(state, actions)
+                judge, settle = judge_creates, settle_creates
             else:
-                new, outcomes = apply_actions(state, actions, now.mapping)
+                judge, settle = judge_actions, settle_actions
+            # judged once: the counts, the samples and the new state read the verdicts
+            judge(state, actions, now.mapping).write.parquet(f"{staged}-judged")
+            outcomes = self.spark.read.parquet(f"{staged}-judged")
             counts = {r["outcome"]: r["n"] for r in outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
             samples = [outcome.error_sample(r["_op"], r["status"], {"_id": r["_id"], "error": {"reason": "a value does not fit its mapped type"}}) for r in outcomes.where(F.col("outcome") == outcome.ERROR).orderBy("_seq").limit(outcome.SAMPLE_CAP).collect()]
             total = actions.count()
-            self._commit(cfg.index, version, new, {"mapping": meta["mapping"], "shards": meta["shards"]})
+            self._commit(cfg.index, version, settle(state, outcomes), {"mapping": meta["mapping"], "shards": meta["shards"]})
         finally:
-            self.fs.delete(self._path(staged), True)
+            for path in (staged, f"{staged}-judged"):
+                self.fs.delete(self._path(path), True)
         row = {"total_input": total, "written": counts.get(outcome.WRITTEN, 0), "deleted": counts.get(outcome.DELETED, 0), "ignored": counts.get(outcome.IGNORED, 0), "errors": counts.get(outcome.ERROR, 0), "error_samples": json.dumps(samples)}
         return outcome.merge([row])
 
