@@ -132,7 +132,11 @@ def from_text(s: str) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint of every whole text (null counts as empty); no shuffle."""
+    """doc_id, fingerprint of every whole text, however long; no shuffle.
+
+    Null text counts as empty; equal texts have equal fingerprints.  Repeated rows each
+    give a row, an empty table none; other columns are not looked at, whatever their names.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, offs in common.text_steps(batches):

@@ -190,7 +190,12 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn the model from the bounded sample; without toxic or clean rows it scores all texts alike."""
+    """Learn the model from the bounded sample; without toxic or clean rows it scores all texts alike.
+
+    Labels other than 0 and 1, null doc_ids and labels of absent documents are left out;
+    of several labels of one doc_id the greatest counts; a labelled document that stands
+    in several rows counts with each.  Null text counts as empty.
+    """
     rows, sizes = sample(docs, labels)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
