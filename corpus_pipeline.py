@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next one's ``docs``; all but the last return the columns
 of ``documents``.  Null doc_ids pass (they are judged by their text alone).
+
+An empty table gives no rows at any stage; null texts count as empty.  Repeated rows are
+judged alike by the filters; of those with words, the Jaccard join leaves one, those
+without words all stay.  Other columns, whatever their names, are kept as they are up to
+the packing.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docbridge.llm import jaccard_join, packing, quality, substring_dedup, toxicity
 from docbridge.llm.common import checkpoint, table
 
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of the upper grade reaches the threshold stay."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))

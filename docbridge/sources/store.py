@@ -258,8 +258,9 @@ class DocumentStore:
         version = now.version + 1
         staged = f"{self.root}/{cfg.index}/actions-{version}-{uuid.uuid4().hex[:8]}"
         # written once: ids of chance and the order of rows must not change between uses
-        documents(df, cfg).withColumn("_seq", F.monotonically_increasing_id()).write.parquet(staged)
-        actions = self.spark.read.parquet(staged)
+        rows = documents(df, cfg).withColumn("_seq", F.monotonically_increasing_id())
+        rows.write.parquet(staged)
+        actions = self.spark.read.schema(rows.schema).parquet(staged)
         try:
             if not actions.where("_id is null").isEmpty():
                 raise ValueError(f"rows have no usable value in id column {cfg.id_field!r}; nothing was written")
@@ -273,8 +274,9 @@ class DocumentStore:
             else:
                 judge, settle = judge_actions, settle_actions
             # judged once: the counts, the samples and the new state read the verdicts
-            judge(state, actions, now.mapping).write.parquet(f"{staged}-judged")
-            outcomes = self.spark.read.parquet(f"{staged}-judged")
+            verdicts = judge(state, actions, now.mapping)
+            verdicts.write.parquet(f"{staged}-judged")
+            outcomes = self.spark.read.schema(verdicts.schema).parquet(f"{staged}-judged")
             counts = {r["outcome"]: r["n"] for r in outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
             samples = [outcome.error_sample(r["_op"], r["status"], {"_id": r["_id"], "error": {"reason": "a value does not fit its mapped type"}}) for r in outcomes.where(F.col("outcome") == outcome.ERROR).orderBy("_seq").limit(outcome.SAMPLE_CAP).collect()]
             total = actions.count()
