@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -41,19 +42,37 @@ def checkpoint(df: DataFrame, *superseded: DataFrame) -> DataFrame:
         folder = tempfile.mkdtemp(prefix="docbridge-")
         sc.setCheckpointDir(folder)
     path = f"{folder.rstrip('/')}/docbridge-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf)
-    fs.deleteOnExit(target)
-    for old in superseded:
-        if getattr(old, "_docbridge_path", None):
-            fs.delete(jvm.org.apache.hadoop.fs.Path(old._docbridge_path), True)
+    with shuffles_end(spark):
+        df.write.parquet(path)
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(target)
+    discard(*superseded)
     out = spark.read.schema(df.schema).parquet(path)
     out._docbridge_path = path
     return out
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``checkpoint`` wrote; other frames are left alone."""
+    for old in tables:
+        if getattr(old, "_docbridge_path", None):
+            sc = old.sparkSession.sparkContext
+            path = sc._jvm.org.apache.hadoop.fs.Path(old._docbridge_path)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Queries run within leave no shuffle files; else those stay until the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def text_id(text: Column) -> list[Column]:
     """Two independent 64-bit hashes that identify a text (null counts as empty)."""
     t = F.coalesce(text, F.lit(""))

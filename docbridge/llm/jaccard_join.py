@@ -38,12 +38,14 @@ from .graph import components
 from .hashing import Runs, lower_ascii, mix, word_hashes, word_spans
 from .repeats import counted
 
-#: Cells of the frequency sketch that only orders shingles (bounded: 4 MB).
-FREQUENCY_BITS = 20
+#: Least and most cells of the frequency sketch that only orders shingles (broadcast: 16 MB at most), and shingles of a cell between them.
+FREQUENCY_BITS, MOST_FREQUENCY_BITS, CELL = 20, 24, 16
 #: Rounds with one probe for each list, and sets of a block after them.
 ROUNDS, BLOCK = 2, 256
 #: Partners of a probe that one tree holds, and that meet in one task.
 TREE, PARTNERS = 2048, 256
+#: Shingles (8 bytes each) that pairs of blocks may deal out at once, if all sets together have fewer than half of that.
+LOT = 1 << 25
 
 
 def sets_of(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,6 +91,12 @@ def _prefix(size: np.ndarray, percent: int) -> np.ndarray:
     return size - -(-percent * size // 100) + 1
 
 
+def _sets(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+    values = np.concatenate([x[2] for x in rows]).view(np.int64)
+    offsets = np.concatenate([[0], np.cumsum([len(x[2]) for x in rows])]).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["set", "size", "shingles"])
+
+
 def candidates(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """set, size, shingles (those that may repeat, by hash) of each distinct set that may have a partner."""
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
@@ -107,27 +115,46 @@ def candidates(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 yield np.concatenate(keep)
 
     units = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    once = sketch.build(texts, keys, units / 12, depth=1)  # 2 to 4 cells for each shingle: most of those that occur once must be known, not all
+    once = sketch.build_pieces(texts, keys, units / 12)  # 1 to 4 cells for each shingle: many of those that occur once must be known, not all
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Shingles of many sets at a time if the sketch has several pieces, as all are read for each lot."""
+        most = sketch.HELD if len(once.parts) > 1 else 0
+        held: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        count = 0
+        for _, raw, offs in common.text_steps(batches):
+            h, edge = sets_of(raw, offs, n)
+            held.append(h)
+            sizes.append(np.diff(edge))
+            count += len(h)
+            if count >= most:
+                yield np.concatenate(held), np.concatenate(sizes)
+                held, sizes, count = [], [], 0
+        if held:
+            yield np.concatenate(held), np.concatenate(sizes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for _, raw, offs in common.text_steps(batches):
-            h, edge = sets_of(raw, offs, n)
-            twice = once.value.repeated(h)
-            size = np.diff(edge)
+        for h, size in some(batches):
+            edge = np.concatenate([[0], np.cumsum(size)])
+            twice = once.repeated(h)
             total = np.concatenate([[0], np.cumsum(twice)])
             unique = size - (total[edge[1:]] - total[edge[:-1]])
             out: list[tuple[int, int, np.ndarray]] = []
+            held = 0
             for i in np.flatnonzero((size > 0) & (unique < _prefix(size, percent))):
                 own = h[edge[i] : edge[i + 1]]
                 s = set_id(own)
                 if s not in seen:
                     seen.add(s)
                     out.append((s, int(size[i]), own[twice[edge[i] : edge[i + 1]]]))
+                    held += len(out[-1][2])
+                    if held >= common.STEP_BYTES // 8:
+                        yield _sets(out)
+                        out, held = [], 0
             if out:
-                values = np.concatenate([x[2] for x in out]).view(np.int64)
-                offsets = np.concatenate([[0], np.cumsum([len(x[2]) for x in out])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["set", "size", "shingles"])
+                yield _sets(out)
 
     found = texts.mapInArrow(run, "set long, size long, shingles array<long>")
     out = common.checkpoint(found.groupBy("set").agg(F.any_value("size").alias("size"), F.any_value("shingles").alias("shingles")))
@@ -137,28 +164,33 @@ def candidates(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 def frequencies(sets: DataFrame) -> Broadcast:
     """Rough frequency class of shingles, by hash cell; it only decides the global order."""
-    bits, parts = FREQUENCY_BITS, 16
+    parts = 16
+    n = sets.select(F.sum(F.size("shingles"))).first()[0] or 0
+    bits = min(MOST_FREQUENCY_BITS, max(FREQUENCY_BITS, (n // CELL).bit_length()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, np.int64)
+        total = np.zeros(1 << bits, np.uint32)
         for b in batches:
-            at = sketch.cells(b.column(0).flatten().to_numpy().view(np.uint64), 3, bits)
-            total += np.bincount(at, minlength=1 << bits)
-        if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts)), pa.array([x.tobytes() for x in np.split(total, parts)], pa.binary())], ["part", "total"])
+            at, times = np.unique(sketch.cells(b.column(0).flatten().to_numpy().view(np.uint64), 3, bits), return_counts=True)
+            total[at] += times.astype(np.uint32)
+        for p, own in enumerate(np.split(total, parts)):
+            at = np.flatnonzero(own)  # a task of a large table touches few of the cells
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array([p]), pa.array([at.astype(np.uint32).tobytes()], pa.binary()), pa.array([own[at].tobytes()], pa.binary())], ["part", "cells", "times"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
-            for p, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                sums[p] = sums.get(p, 0) + np.frombuffer(t, np.int64)
+            for p, at, times in zip(*(c.to_pylist() for c in b.columns)):
+                own = sums.setdefault(p, np.zeros((1 << bits) // parts, np.int64))
+                own[np.frombuffer(at, np.uint32)] += np.frombuffer(times, np.uint32)
         for p, t in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([p]), pa.array([np.log2(np.maximum(t, 1)).astype(np.uint8).tobytes()], pa.binary())], ["part", "total"])
 
-    merged = sets.select("shingles").mapInArrow(count, "part long, total binary").repartition("part").mapInArrow(add, "part long, total binary")
+    merged = sets.select("shingles").mapInArrow(count, "part long, cells binary, times binary").repartition("part").mapInArrow(add, "part long, total binary")
     out = np.zeros(1 << bits, np.uint8)
     step = (1 << bits) // parts
-    for r in merged.collect():  # 2**FREQUENCY_BITS bytes in all
+    for r in merged.collect():  # 2**MOST_FREQUENCY_BITS bytes at most in all
         out[r["part"] * step : (r["part"] + 1) * step] = np.frombuffer(r["total"], np.uint8)
     return sets.sparkSession.sparkContext.broadcast(out)
 
@@ -168,7 +200,7 @@ def _ordered(col: pa.ListArray, classes: np.ndarray) -> tuple[np.ndarray, np.nda
     h = col.flatten().to_numpy().view(np.uint64)
     own = np.repeat(np.arange(len(col)), pa.compute.list_value_length(col).to_numpy())
     # the class takes the high bits, which orders by class and then by hash
-    rank = (classes[sketch.cells(h, 3, FREQUENCY_BITS)].astype(np.uint64) << np.uint64(57)) | (mix(h) >> np.uint64(7))
+    rank = (classes[sketch.cells(h, 3, len(classes).bit_length() - 1)].astype(np.uint64) << np.uint64(57)) | (mix(h) >> np.uint64(7))
     order = np.lexsort((rank, own))
     return rank[order], h[order], np.concatenate([[0], np.cumsum(np.bincount(own, minlength=len(col)))])
 
@@ -356,11 +388,28 @@ def verify_blocks(pairs: DataFrame, members: DataFrame, tree: DataFrame, percent
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
     full = common.checkpoint(members.join(tree.select("set", "ranks").hint("merge"), "set"))
-    sides = []
-    for kind, side in ((0, "two"), (1, "one")):
-        sides.append(pairs.withColumn("block", F.col(side)).join(full.hint("merge"), "block").select("one", "two", F.lit(kind).alias("kind"), "set", "size", "root", "ranks"))
-    dealt = sides[0].unionAll(sides[1]).repartition("one", "two").sortWithinPartitions("one", "two", "kind", "ranks")
-    return dealt.mapInArrow(run, "a long, b long")
+
+    def between(pairs: DataFrame) -> DataFrame:
+        sides = []
+        for kind, side in ((0, "two"), (1, "one")):
+            sides.append(pairs.withColumn("block", F.col(side)).join(full.hint("merge"), "block").select("one", "two", F.lit(kind).alias("kind"), "set", "size", "root", "ranks"))
+        dealt = sides[0].unionAll(sides[1]).repartition("one", "two").sortWithinPartitions("one", "two", "kind", "ranks")
+        return dealt.mapInArrow(run, "a long, b long")
+
+    # a block travels to all that it meets: lots of pairs bound what lies on disk at once, all pairs are compared
+    weight = common.checkpoint(counted(full, "block", F.sum(F.size("ranks")).alias("n")))
+    held = weight.agg(F.sum("n")).first()[0] or 0
+    ends = pairs.select(F.col("one").alias("block")).unionAll(pairs.select(F.col("two").alias("block")))
+    moved = ends.join(weight.hint("merge"), "block").agg(F.sum("n")).first()[0] or 0
+    lots = -(-moved // max(LOT, 2 * held))
+    if lots <= 1:
+        return between(pairs)
+    lot = F.pmod(F.xxhash64("one", "two"), F.lit(lots))
+    out = None
+    for k in range(lots):
+        new = common.checkpoint(between(pairs.where(lot == k)))
+        out = new if out is None else out.unionAll(new)
+    return out
 
 
 def links(sets: DataFrame, percent: int) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -11,7 +12,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from docbridge.llm import byte_bpe, fingerprints, hashing, jaccard_join, multi_index, packing, prefix_free, quality, substring_dedup, suffix_dedup, toxicity, url_filters
+from docbridge.llm import byte_bpe, common, fingerprints, hashing, jaccard_join, multi_index, packing, prefix_free, quality, sketch, substring_dedup, suffix_dedup, toxicity, url_filters
 
 from .helpers import SCHEMA, components, corpus, repeated_bytes, shingles, thue_morse
 
@@ -344,6 +345,39 @@ def test_jaccard_join(docs, rounds, monkeypatch):
         assert (got[i].n_shingles, got[i].component_id) == (len(sets[k]), data[root[k]][0])
 
 
+def test_jaccard_join_of_more_shingles_than_a_piece_of_the_sketch_has_cells(spark, monkeypatch):
+    monkeypatch.setattr(sketch, "MOST_BITS", 16)
+    r = random.Random(5)
+    texts = [" ".join(f"{r.getrandbits(30):x}" for _ in range(40)) for _ in range(3000)]
+    texts += [t + " more" for t in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert 40 <= jaccard_join.candidates(docs, 5, 80).count() < 100  # not half of all, as with one piece
+    assert {i: x.component_id for i, x in by_id(jaccard_join.join(docs)).items()} == {i: i if i < 3000 else i - 3000 for i in range(3020)}
+
+
+def test_jaccard_join_deals_pairs_of_blocks_in_lots(docs, monkeypatch):
+    want = rows(jaccard_join.join(docs))
+    for name, value in {"ROUNDS": 0, "BLOCK": 1, "LOT": 1}.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    written, real = [], common.checkpoint
+    monkeypatch.setattr(common, "checkpoint", lambda df, *old: written.append(df.columns) or real(df, *old))
+    assert rows(jaccard_join.join(docs)) == want
+    assert written.count(["a", "b"]) > 2
+
+
+def test_checkpoints_leave_no_shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {b.toString() for b in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllBlocks()) if b.isShuffle()}
+    before = shuffles()
+    common.checkpoint(spark.range(100).repartition(5, "id"))
+    for _ in range(50):  # removed by another thread
+        left = shuffles() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+
+
 def test_jaccard_join_edges(spark, empty):
     assert jaccard_join.join(empty).count() == 0
     odd = spark.createDataFrame([(None, "a b c"), (4, "A b  c"), (4, "a b c"), (2, None), (3, " ")], "doc_id long, text string")
