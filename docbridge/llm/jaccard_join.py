@@ -4,7 +4,9 @@ A text is the set of its distinct word shingles.  All sets are put in one global
 order, rare shingles first, so that two sets with Jaccard likeness of at least t
 must share one of the first n - ceil(t*n) + 1 shingles of each (its prefix).
 
-1. A merged sketch of all shingles tells which may occur in two texts.  Shingles that
+1. Copies of a set are left to its row of least doc_id, of which a sketch tells each task
+   without any text being moved (a few other rows may pass; they go by their set later).
+   A merged sketch of all their shingles tells which may occur in two texts.  Shingles that
    occur once come first in the order; a set whose prefix holds nothing else can have
    no partner and is done without any shuffle.  Most texts end here.
 2. The candidate sets that are left, one for each distinct set, post the repeated
@@ -97,68 +99,102 @@ def _sets(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["set", "size", "shingles"])
 
 
-def candidates(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """set, size, shingles (those that may repeat, by hash) of each distinct set that may have a partner."""
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+def _least(rows: DataFrame) -> DataFrame:
+    return common.checkpoint(rows.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("least")))
+
+
+def _row_keys(sets: pa.Array, doc_ids: pa.Array) -> np.ndarray:
+    """One hash of each row's set and doc_id (null counts as 0)."""
+    ids = pa.compute.fill_null(doc_ids, 0).to_numpy().view(np.uint64)
+    return mix(sets.to_numpy().view(np.uint64) ^ mix(ids + np.uint64(1)))
+
+
+def leaders(least: DataFrame) -> Broadcast:
+    """Sketch of the rows (set, least doc_id) that stand for their set: it knows all of them, and a few other rows."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for b in batches:
+            yield np.repeat(_row_keys(b.column(0), b.column(1)), 2)  # what occurs twice passes
+
+    return sketch.build(least.select("set", "least"), keys, least.count())
+
+
+def candidates(docs: DataFrame, n: int, percent: int, least: DataFrame | None = None) -> DataFrame:
+    """set, size, shingles (those that may repeat, by hash) of each distinct set that may have a partner.
+
+    ``least`` has each set with its least doc_id (made here if not given).  Copies of a set, in whatever tasks,
+    are left to that row: else they would fill the sketch, and all their shingles travel.
+    """
+    if least is None:
+        least = _least(common.checkpoint(shingle_sets(docs, n)))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    lead = leaders(least)
+
+    def led(rows: pa.RecordBatch, h: np.ndarray, edge: np.ndarray, seen: set[int]) -> list[tuple[int, int]]:
+        """Place and id of the sets that their row stands for, each once in a task."""
+        at = np.flatnonzero(np.diff(edge))
+        ids = [set_id(h[edge[i] : edge[i + 1]]) for i in at]
+        if not ids:
+            return []
+        own = lead.value.repeated(_row_keys(pa.array(ids, pa.int64()), rows.column(0).take(pa.array(at))))
+        out = []
+        for i, s in zip(at[own].tolist(), (s for s, x in zip(ids, own) if x)):
+            if s not in seen:
+                seen.add(s)
+                out.append((i, s))
+        return out
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         seen: set[int] = set()
-        for _, raw, offs in common.text_steps(batches):
+        for rows, raw, offs in common.text_steps(batches):
             h, edge = sets_of(raw, offs, n)
-            keep = []
-            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
-                s = set_id(h[a:b])
-                if s not in seen:
-                    seen.add(s)
-                    keep.append(h[a:b])
+            keep = [h[edge[i] : edge[i + 1]] for i, _ in led(rows, h, edge, seen)]
             if keep:
                 yield np.concatenate(keep)
 
     units = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
     once = sketch.build_pieces(texts, keys, units / 12)  # 1 to 4 cells for each shingle: many of those that occur once must be known, not all
 
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Shingles of many sets at a time if the sketch has several pieces, as all are read for each lot."""
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[int]]]:
+        """Shingles, sizes and ids of many sets at a time if the sketch has several pieces, as all are read for each lot."""
         most = sketch.HELD if len(once.parts) > 1 else 0
         held: list[np.ndarray] = []
-        sizes: list[np.ndarray] = []
+        names: list[int] = []
+        seen: set[int] = set()
         count = 0
-        for _, raw, offs in common.text_steps(batches):
+        for rows, raw, offs in common.text_steps(batches):
             h, edge = sets_of(raw, offs, n)
-            held.append(h)
-            sizes.append(np.diff(edge))
-            count += len(h)
-            if count >= most:
-                yield np.concatenate(held), np.concatenate(sizes)
-                held, sizes, count = [], [], 0
+            for i, s in led(rows, h, edge, seen):
+                held.append(h[edge[i] : edge[i + 1]].copy())  # not a view of all that was read
+                names.append(s)
+                count += len(held[-1])
+            if held and count >= most:
+                yield np.concatenate(held), np.array([len(x) for x in held]), names
+                held, names, count = [], [], 0
         if held:
-            yield np.concatenate(held), np.concatenate(sizes)
+            yield np.concatenate(held), np.array([len(x) for x in held]), names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for h, size in some(batches):
+        for h, size, names in some(batches):
             edge = np.concatenate([[0], np.cumsum(size)])
             twice = once.repeated(h)
             total = np.concatenate([[0], np.cumsum(twice)])
             unique = size - (total[edge[1:]] - total[edge[:-1]])
             out: list[tuple[int, int, np.ndarray]] = []
             held = 0
-            for i in np.flatnonzero((size > 0) & (unique < _prefix(size, percent))):
-                own = h[edge[i] : edge[i + 1]]
-                s = set_id(own)
-                if s not in seen:
-                    seen.add(s)
-                    out.append((s, int(size[i]), own[twice[edge[i] : edge[i + 1]]]))
-                    held += len(out[-1][2])
-                    if held >= common.STEP_BYTES // 8:
-                        yield _sets(out)
-                        out, held = [], 0
+            for i in np.flatnonzero(unique < _prefix(size, percent)):
+                out.append((names[i], int(size[i]), h[edge[i] : edge[i + 1]][twice[edge[i] : edge[i + 1]]]))
+                held += len(out[-1][2])
+                if held >= common.STEP_BYTES // 8:
+                    yield _sets(out)
+                    out, held = [], 0
             if out:
                 yield _sets(out)
 
     found = texts.mapInArrow(run, "set long, size long, shingles array<long>")
     out = common.checkpoint(found.groupBy("set").agg(F.any_value("size").alias("size"), F.any_value("shingles").alias("shingles")))
-    once.unpersist()  # workers need not hold it in what follows
+    once.unpersist()  # workers need not hold them in what follows
+    lead.unpersist()
     return out
 
 
@@ -459,9 +495,9 @@ def _between_blocks(open_: DataFrame, sets: DataFrame, order: Broadcast, percent
 def classes(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, n_shingles, set), and of each set its least doc_id and its component (set, least, root)."""
     rows = common.checkpoint(shingle_sets(docs, n))
-    sets = candidates(docs, n, percent)
+    least = _least(rows)
+    sets = candidates(docs, n, percent, least)
     nodes = links(sets, percent).select(F.col("node").alias("set"), "root")
-    least = rows.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("least"))
     return rows, common.checkpoint(least.join(nodes.hint("merge"), "set", "left").select("set", "least", F.coalesce("root", "set").alias("root")))
 
 

@@ -365,6 +365,19 @@ def test_jaccard_join_deals_pairs_of_blocks_in_lots(docs, monkeypatch):
     assert written.count(["a", "b"]) > 2
 
 
+def test_jaccard_join_takes_one_row_of_a_set_in_all_tasks(spark):
+    r = random.Random(6)
+    texts = [" ".join(f"{r.getrandbits(30):x}" for _ in range(40)) for _ in range(200)]
+    data = [(100 + i + 1000 * k, t) for k in range(12) for i, t in enumerate(texts)] + [(5000 + i, t + " more") for i, t in enumerate(texts[:20])]
+    data += [(None, texts[150]), (None, "x y"), (None, "x y")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(12)
+    # copies do not make a candidate of a text without near-copies
+    assert 40 <= jaccard_join.candidates(docs, 5, 80).count() < 60
+    got = [(x.doc_id, x.component_id) for x in jaccard_join.join(docs).collect()]
+    least = {t: 100 + i for i, t in enumerate(texts)}
+    assert sorted(got, key=str) == sorted(((d, least.get(t.removesuffix(" more"))) for d, t in data), key=str)
+
+
 def test_checkpoints_leave_no_shuffle_files(spark):
     manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     shuffles = lambda: {b.toString() for b in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllBlocks()) if b.isShuffle()}
